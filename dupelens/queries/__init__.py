@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("exact", "catalogs")
+FAMILIES = ("exact", "catalogs", "fuzzy")
 
 
 def _collect(attribute: str) -> dict:

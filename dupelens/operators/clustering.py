@@ -14,6 +14,7 @@ that no task ever sees all durations.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -93,16 +94,21 @@ def _gap_starts(durations: Durations, tolerance: float) -> DataFrame:
 
 
 def _fold(tolerance: float):
-    def heads(island: pd.DataFrame) -> pd.DataFrame:
-        island = island.sort_values("duration")
-        values = island["duration"].to_numpy()
-        start = np.empty_like(values)
-        at = 0
-        while at < len(values):
-            beyond = int(np.searchsorted(values, values[at] + tolerance, side="right"))
-            start[at:beyond] = values[at]
-            at = beyond
-        return island.assign(start=start)[["duration", "n", "start"]]
+    """Anchored fold over batches of ascending durations; only the current head is kept between batches."""
+
+    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        head = -math.inf
+        for batch in batches:
+            values = batch["duration"].to_numpy()
+            start = np.empty_like(values)
+            at = 0
+            while at < len(values):
+                if values[at] > head + tolerance:
+                    head = values[at]
+                beyond = int(np.searchsorted(values, head + tolerance, side="right"))
+                start[at:beyond] = head
+                at = beyond
+            yield batch.assign(start=start)[["duration", "n", "start"]]
 
     return heads
 
@@ -175,14 +181,15 @@ def gap_clusters(durations: Durations, tolerance: float = 5.0) -> DataFrame:
 def anchored_clusters(durations: Durations, tolerance: float = 5.0) -> DataFrame:
     """duration, n, cluster_start, cluster_size of the anchored clusters.
 
-    A gap above the tolerance always ends a cluster, so each gap-chained island is folded on its own.
+    A gap above the tolerance always ends a cluster, so the gap-chained islands are folded independently:
+    each task streams its islands in ascending order.
     """
     islands = _gap_starts(durations, tolerance)
     if durations.is_small:
         folded = (
-            islands.withColumnRenamed("start", "island")
-            .groupBy("island")
-            .applyInPandas(_fold(tolerance), "duration double, n bigint, start double")
+            islands.repartition("start")
+            .sortWithinPartitions("duration")
+            .mapInPandas(_fold(tolerance), "duration double, n bigint, start double")
         )
     else:
         folded = _anchored_by_doubling(materialize(islands, "islands"), durations, tolerance)

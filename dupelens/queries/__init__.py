@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("exact", "catalogs", "fuzzy")
+FAMILIES = ("exact", "catalogs", "fuzzy", "pairs", "ingest")
 
 
 def _collect(attribute: str) -> dict:

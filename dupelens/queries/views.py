@@ -63,6 +63,32 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                   least(1.0::double, cast(floor(o_totalprice / 450.0::double) as double) / 1000.0::double) as similarity
            from orders""",
     ),
+    "uploads": (
+        (),
+        """select cast(user_id as varchar) as asset_id, cast(event_id as varchar) as file_key,
+                  case when user_id % 2 = 0 then 'catalog_a' else 'catalog_b' end as source,
+                  cast(floor(value * 500.0::double) as bigint) as file_size,
+                  case when event_type <> 'error' then value * 40.0::double - 200.0::double end as duration,
+                  case when event_type = 'signup' then props when event_type = 'purchase' and value < 20 then null
+                       else concat(props, event_type) end as fingerprint,
+                  case event_type when 'click' then 'audio/mpeg' when 'view' then 'Application/WAV' when 'purchase' then 'text/html' end as content_type,
+                  ts as created_at
+           from events""",
+    ),
+    "validated": (
+        ("uploads",),
+        """select *, case when error_message is null then 'SUCCESS' else 'ERROR' end as processing_status from (
+             select *, case when file_size < 1024 then concat('File too small (', file_size, ' bytes)')
+                            when duration is null or duration <= 0 then 'Invalid duration'
+                            when fingerprint is null then 'No fingerprint generated'
+                            when length(fingerprint) < 10 then 'Fingerprint too short' end as error_message,
+               concat_ws(',', case when content_type <> '' and not (lower(content_type) like '%audio%' or lower(content_type) like '%mpeg%'
+                                        or lower(content_type) like '%wav%' or lower(content_type) like '%flac%') then 'unexpected content type' end,
+                 case when file_size >= 1024 and file_size < 10240 then 'suspiciously small' end,
+                 case when duration > 0 and duration < 1 then 'very short' end,
+                 case when duration > 3600 then 'very long' end) as warnings
+             from uploads)""",
+    ),
 }
 
 

@@ -123,13 +123,16 @@ def media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs_of_orders(table(spark, sf_dir, "orders"))
+
+
+def pairs_of_orders(orders: DataFrame) -> DataFrame:
     """Scored pairs for the analytics operators: one pair per order, so the table grows linearly."""
     other = F.floor(F.col("o_orderkey") / F.lit(10.0)).cast("bigint")
     length = F.floor(F.col("o_totalprice") / F.lit(1000.0)).cast("double")
     shift = (F.col("o_orderkey") % 7).cast("double")
     return (
-        table(spark, sf_dir, "orders")
-        .withColumn("other", other)
+        orders.withColumn("other", other)
         .select(
             F.col("o_custkey").cast("string").alias("asset_id_1"),
             F.col("other").cast("string").alias("asset_id_2"),
@@ -147,3 +150,26 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("similarity"),
         )
     )
+
+
+def uploads(events: DataFrame) -> DataFrame:
+    """The event stream as ingest records: asset, file, size, duration, fingerprint, content type, time."""
+    kind = F.col("event_type")
+    fingerprint = (
+        F.when(kind == "signup", F.col("props"))
+        .when((kind == "purchase") & (F.col("value") < 20), F.lit(None))
+        .otherwise(F.concat("props", kind))
+    )
+    content_type = (
+        F.when(kind == "click", "audio/mpeg").when(kind == "view", "Application/WAV").when(kind == "purchase", "text/html")
+    )
+    return events.select(
+        F.col("user_id").cast("string").alias("asset_id"),
+        F.col("event_id").cast("string").alias("file_key"),
+        F.when(F.col("user_id") % 2 == 0, "catalog_a").otherwise("catalog_b").alias("source"),
+        F.floor(F.col("value") * F.lit(500.0)).alias("file_size"),
+        F.when(kind != "error", F.col("value") * F.lit(40.0) - F.lit(200.0)).alias("duration"),
+        fingerprint.alias("fingerprint"),
+        content_type.alias("content_type"),
+        F.col("ts").alias("created_at"),
+    )

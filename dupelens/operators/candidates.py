@@ -10,6 +10,8 @@ order only decides how many others come along: frequent values go last.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -20,6 +22,7 @@ from dupelens.runtime import materialize
 
 # Values put last in the order, most frequent at the very end: a fixed bound on what reaches the driver.
 FREQUENT_VALUES = 20_000
+TOKENS_PER_CHUNK = 4_000_000
 
 
 def content_classes(records: DataFrame) -> DataFrame:
@@ -47,27 +50,47 @@ def frequent_values(classes: DataFrame, top: int = FREQUENT_VALUES) -> list[int]
     return [row["value"] for row in counted.collect()][::-1]
 
 
-def _value_order(frequent: list[int]):
-    """Distinct values of each sequence in the global order, with their suffix weights."""
+def _entries(frequent: list[int]):
+    """Rows (cluster_start, class_id, length, value, weight) of a batch of sequences."""
     known = np.array(sorted(frequent), dtype=np.int64)
     rank_of = {value: rank + 1 for rank, value in enumerate(frequent)}
     ranks = np.array([rank_of[v] for v in known], dtype=np.int64)
 
-    @F.pandas_udf("struct<value: array<bigint>, weight: array<int>>")
-    def ordered(words: pd.Series) -> pd.DataFrame:
-        values, weights = [], []
-        for sequence in words:
-            distinct, counts = np.unique(np.asarray(sequence, dtype=np.int64), return_counts=True)
-            rank = np.zeros(len(distinct), dtype=np.int64)
-            if len(known):
-                at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
-                rank = np.where(known[at] == distinct, ranks[at], 0)
-            order = np.lexsort((distinct, rank))
-            values.append(distinct[order])
-            weights.append(counts[order][::-1].cumsum()[::-1].astype(np.int32))
-        return pd.DataFrame({"value": values, "weight": weights})
+    def weigh(rows: pd.DataFrame) -> pd.DataFrame:
+        lengths = rows["length"].to_numpy()
+        flat = np.concatenate(rows["words"].to_list()).astype(np.int64)
+        owner = np.repeat(np.arange(len(rows)), lengths)
+        order = np.lexsort((flat, owner))
+        flat, owner = flat[order], owner[order]
+        first = np.flatnonzero(np.r_[True, (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])])
+        value, owner = flat[first], owner[first]
+        count = np.diff(np.r_[first, len(flat)])
+        rank = np.zeros(len(value), dtype=np.int64)
+        if len(known):
+            at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+            rank = np.where(known[at] == value, ranks[at], 0)
+        order = np.lexsort((value, rank, owner))
+        value, owner, count = value[order], owner[order], count[order]
+        # Positions before each value within its own sequence; the weight is what is left.
+        before = np.cumsum(count) - count
+        before -= (np.cumsum(lengths) - lengths)[owner]
+        return pd.DataFrame(
+            {
+                "cluster_start": rows["cluster_start"].to_numpy()[owner],
+                "class_id": rows["class_id"].to_numpy()[owner],
+                "length": lengths[owner],
+                "value": value,
+                "weight": (lengths[owner] - before).astype(np.int32),
+            }
+        )
+
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            chunk = batch["length"].cumsum() // TOKENS_PER_CHUNK
+            for _, rows in batch.groupby(chunk):
+                yield weigh(rows)
 
-    return ordered
+    return entries
 
 
 def candidate_pairs(classes: DataFrame, threshold: float, frequent: list[int] | None = None) -> DataFrame:
@@ -76,13 +99,10 @@ def candidate_pairs(classes: DataFrame, threshold: float, frequent: list[int] |
         raise ValueError("a threshold above 0 is needed: at 0 every pair of a cluster qualifies")
     if frequent is None:
         frequent = frequent_values(classes)
-    ordered = _value_order(frequent)
     entries = (
-        classes.select("cluster_start", "class_id", "length", ordered("words").alias("o"))
-        .select(
-            "cluster_start", "class_id", "length", F.explode(F.arrays_zip("o.value", "o.weight")).alias("e")
-        )
-        .select("cluster_start", "class_id", "length", F.col("e.value").alias("value"), F.col("e.weight").alias("weight"))
+        classes.where("length > 0")
+        .select("cluster_start", "class_id", "length", "words")
+        .mapInPandas(_entries(frequent), "cluster_start double, class_id bigint, length int, value bigint, weight int")
     )
     bound = F.ceil(F.col("length") * threshold - 1e-9).cast("int")
     shorter = entries.withColumn("bound", bound).where("weight >= bound").select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dupelens.functions.mapping import indicator_of_source
 from dupelens.functions.ranking import number_by_count
+from dupelens.runtime import materialize
 
 # A group with more members keeps its list in the membership table only (`duplicate_members`), which is
 # linear in the input; repeating the list in every member's row would be quadratic.
@@ -38,9 +39,17 @@ def duplicate_groups(members: DataFrame) -> DataFrame:
 
 
 def duplicate_members(fingerprints: DataFrame) -> DataFrame:
-    """The duplicate groups in long form: one row per group member, linear in the input."""
-    members = representatives(fingerprints)
-    return members.join(duplicate_groups(members), "fingerprint")
+    """The duplicate groups in long form: one row per group member, linear in the input.
+
+    The group table is written first. Joining the records with it drops all single records before their
+    shuffle, and since both join sides are then plain shuffles, adaptive execution can split a fingerprint
+    that holds a large part of all records (or broadcast the table where it turns out small).
+    """
+    groups = materialize(duplicate_groups(representatives(fingerprints)), "duplicate-groups")
+    matched = fingerprints.select("fingerprint", "asset_id", "source", "file_key").join(groups, "fingerprint")
+    return matched.groupBy("fingerprint", "asset_id", "source", "copy_count", "first_seen", "sources").agg(
+        F.min("file_key").alias("file_key")
+    )
 
 
 def per_song(members: DataFrame, list_limit: int = SONG_LIST_LIMIT) -> DataFrame:
@@ -115,9 +124,9 @@ def group_report(members: DataFrame) -> DataFrame:
     )
 
 
-def group_summary(members: DataFrame) -> DataFrame:
+def group_summary(fingerprints: DataFrame) -> DataFrame:
     """One row per group without its member list."""
-    return duplicate_groups(members.select("fingerprint", "asset_id", "source", "file_key")).select(
+    return duplicate_groups(representatives(fingerprints)).select(
         "fingerprint",
         "copy_count",
         (F.size("sources") > 1).alias("is_cross_source"),

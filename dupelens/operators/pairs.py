@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dupelens.functions.labels import duplicate_type_of_pair, experiment_type, similarity_range
+from dupelens.runtime import materialize
 
 # Default histogram thresholds.
 BUCKETS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -45,7 +46,7 @@ def with_labels(pairs: DataFrame) -> DataFrame:
 
 def star_links(records: DataFrame) -> DataFrame:
     """Every file of a fingerprint linked to the first file with it: the group's pairs in linear size."""
-    first = records.groupBy("fingerprint").agg(F.min("file_key").alias("file_key_1"))
+    first = materialize(records.groupBy("fingerprint").agg(F.min("file_key").alias("file_key_1")), "first-files")
     return (
         records.select("fingerprint", F.col("file_key").alias("file_key_2"))
         .join(first, "fingerprint")

@@ -49,7 +49,7 @@ def _members(spark, sf):
 
 
 def _groups(spark, sf):
-    return exact.group_summary(_members(spark, sf))
+    return exact.group_summary(reader.usable(fixtures.fingerprint(spark, sf)))
 
 
 def _songs(spark, sf):

@@ -9,16 +9,20 @@ from dupelens.functions.labels import status
 from dupelens.operators import candidates, clustering, compare, pair_space
 from dupelens.plans import fuzzy_detection as fuzzy
 from dupelens.queries.views import with_views
-from dupelens.runtime import materialize
+from dupelens.runtime import materialize, spread
 from dupelens.sources import fixtures
 from dupelens.sources.fingerprints import usable
 
 TOLERANCE = 5.0
 
 
+def _texts(spark, sf):
+    return spread(fixtures.table(spark, sf, "documents"))
+
+
 def _records(spark, sf):
     """Usable records with their whole content as a sequence."""
-    media = fixtures.media(spark, sf)
+    media = fixtures.media_of_documents(_texts(spark, sf))
     return usable(media.withColumn("fingerprint", F.md5("content"))).select(
         "asset_id", "file_key", "format", "source", "duration", "file_size", "fingerprint",
         sequences.token_hashes("content").alias("words"),
@@ -91,13 +95,13 @@ def _neighbours(frame, key, *columns):
 
 
 def _bit_diff(spark, sf):
-    docs = fixtures.table(spark, sf, "documents").select("doc_id", sequences.token_values("text").alias("words"))
+    docs = _texts(spark, sf).select("doc_id", sequences.token_values("text").alias("words"))
     pairs = _neighbours(docs, "doc_id", "words").withColumn("diff", sequences.bit_differences("words_1", "words_2"))
     return pairs.select("id_1", "id_2", *sequences.bit_diff_columns("diff"))
 
 
 def _positional(spark, sf):
-    docs = fixtures.table(spark, sf, "documents").select("doc_id", sequences.token_hashes("text").alias("words"))
+    docs = _texts(spark, sf).select("doc_id", sequences.token_hashes("text").alias("words"))
     pairs = _neighbours(docs, "doc_id", "words")
     shared = F.least(F.size("words_1"), F.size("words_2"))
     equal = F.zip_with(F.slice("words_1", 1, shared), F.slice("words_2", 1, shared), lambda a, b: a == b)
@@ -116,7 +120,7 @@ def _signals(spark, sf):
 
 
 def _token_fingerprint(spark, sf):
-    docs = fixtures.table(spark, sf, "documents").select("doc_id", sequences.token_values("text").alias("words"))
+    docs = _texts(spark, sf).select("doc_id", sequences.token_values("text").alias("words"))
     return docs.select(
         "doc_id",
         F.size("words").alias("length"),
@@ -139,7 +143,7 @@ def _documents(spark, sf):
 
 def _deep(spark, sf):
     docs = materialize(_documents(spark, sf), "document-hashes")
-    first = docs.groupBy("n_chars").agg(F.min("id").alias("id_2"))
+    first = materialize(docs.groupBy("n_chars").agg(F.min("id").alias("id_2")), "first-of-length")
     pairs = docs.select(F.col("id").alias("id_1"), "n_chars").join(first, "n_chars").where("id_1 <> id_2")
     return compare.deep_compare(pairs.select("id_1", "id_2"), docs)
 
@@ -163,7 +167,7 @@ def _formats(spark, sf):
 
 
 def _robust(spark, sf):
-    items = fixtures.table(spark, sf, "documents").select(
+    items = _texts(spark, sf).select(
         F.col("doc_id").alias("id"), sequences.token_hashes("text").alias("words")
     )
     return compare.robustness(items, F.xxhash64(F.lit("~filler~")))

@@ -38,3 +38,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spreads an input that is read in fewer splits than there are cores; any other passes unchanged.
+
+    For per-row work that is costly next to reading. Large inputs have many splits and are never moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

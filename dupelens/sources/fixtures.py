@@ -98,7 +98,7 @@ def fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def media(spark: SparkSession, sf_dir: str) -> DataFrame:
+def media_of_documents(documents: DataFrame) -> DataFrame:
     """The content behind :func:`fingerprint`: asset, file, format and the whole text of the file."""
     files = F.explode(
         F.array(
@@ -107,9 +107,7 @@ def media(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return (
-        table(spark, sf_dir, "documents")
-        .select("doc_id", "n_chars", files.alias("f"))
-        .select(
+        documents.select("doc_id", "n_chars", files.alias("f")).select(
             F.col("doc_id").cast("string").alias("asset_id"),
             F.concat_ws("-", F.col("doc_id"), F.col("f.format")).alias("file_key"),
             F.col("f.format").alias("format"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dupelens.functions.labels import duplicate_type_of_pair, experiment_type, similarity_range
-from dupelens.runtime import materialize
+from dupelens.runtime import materialize, side_by_side
 
 # Default histogram thresholds.
 BUCKETS = (0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0)
@@ -239,8 +239,7 @@ def insights(pairs: DataFrame, thresholds=BUCKETS) -> DataFrame:
         F.count_if(s >= 0.8).alias("high_pairs"),
         F.count_if(s < 0.5).alias("low_pairs"),
     )
-    # Both sides are single-row totals.
-    joined = shares.withColumn("k", F.lit(1)).join(modal.withColumn("k", F.lit(1)), "k").drop("k")
+    joined = side_by_side(shares, modal)
     for name in ("exact", "high", "low"):
         joined = joined.withColumn(
             f"{name}_pct", F.coalesce(F.try_divide(F.col(f"{name}_pairs") * 100.0, F.col("total_pairs")), F.lit(0.0))
@@ -290,8 +289,7 @@ def summary(pairs: DataFrame) -> DataFrame:
         F.count_if(s >= 0.95).alias("version_very_high"),
         F.count_if((s >= 0.80) & (s < 0.95)).alias("version_high"),
     )
-    # Both sides are single-row totals.
-    return stats.withColumn("k", F.lit(1)).join(median(pairs).withColumn("k", F.lit(1)), "k").drop("k")
+    return side_by_side(stats, median(pairs))
 
 
 def experiment_counts(pairs: DataFrame, threshold: float = 0.75) -> DataFrame:

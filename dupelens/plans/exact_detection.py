@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dupelens.operators.exact import duplicate_members, per_song
+from dupelens.runtime import materialize
+from dupelens.sinks.tables import full_refresh
 from dupelens.sources.fingerprints import usable
 
 
@@ -25,3 +27,18 @@ def result_rows(fingerprints: DataFrame) -> DataFrame:
         "duplicates",
         F.localtimestamp().alias("created_at"),
     )
+
+
+def write_result(fingerprints: DataFrame, songs_path: str, members_path: str) -> None:
+    """Full refresh of both result tables.
+
+    ``songs`` has one row per (song, indicator) with its group; ``members`` lists every group. A song of a
+    group too large to repeat in each of its rows has no ``duplicates`` of its own: joining ``members`` on
+    ``group_key`` gives them, whole.
+    """
+    members = materialize(duplicate_members(usable(fingerprints)), "duplicate-members")
+    full_refresh(per_song(members), songs_path)
+    full_refresh(
+        members.select(F.col("fingerprint").alias("group_key"), "asset_id", "source", "file_key", "copy_count"),
+        members_path,
+    )

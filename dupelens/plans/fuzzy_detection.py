@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from dupelens.functions.labels import duplicate_type_of_pair
 from dupelens.operators import candidates, clustering, pair_space
-from dupelens.runtime import materialize
+from dupelens.runtime import materialize, side_by_side
 
 UNIT = ["cluster_start", "fingerprint", "source", "format"]
 MODES = ("all", "cross-source", "same-source")
@@ -145,8 +145,7 @@ def run_summary(blocked: Blocked, found: DataFrame) -> DataFrame:
         F.sum(F.col("skipped_same_file") + F.col("skipped_same_asset")).alias("skipped"),
     )
     duplicates = found.agg(F.coalesce(F.sum("file_pairs"), F.lit(0)).alias("duplicates"))
-    # Both sides are single-row totals.
-    joined = counts.withColumn("k", F.lit(1)).join(duplicates.withColumn("k", F.lit(1)), "k")
+    joined = side_by_side(counts, duplicates)
     saved = (1 - F.col("comparisons") / F.lit(brute)) * 100 if brute else F.lit(0.0)
     return joined.select(
         F.lit(songs).cast("bigint").alias("songs"),

@@ -83,7 +83,7 @@ SPARK = {
     "dq_asset_type": lambda s, d: quality.asset_types(_songs(s, d)),
     "dq_indicator_domain": lambda s, d: quality.indicator_domain(_songs(s, d)),
     "dq_array_format": lambda s, d: quality.array_format(_songs_json(s, d)),
-    "dq_reciprocity": lambda s, d: quality.missing_reciprocals(_songs(s, d)),
+    "dq_reciprocity": lambda s, d: quality.missing_reciprocals(materialize(_songs(s, d), "duplicated-assets")),
     "dq_known_key": lambda s, d: quality.known_key(_songs(s, d), "1", 3),
     "dq_multi_indicator": lambda s, d: quality.multi_indicator(_songs(s, d)),
     "dq_statistics": lambda s, d: quality.statistics(_songs(s, d)),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,3 +49,9 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def side_by_side(*totals: DataFrame) -> DataFrame:
+    """Columns of several single-row frames in one row."""
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), totals)
+    return rows.agg(*(F.max(name).alias(name) for name in rows.columns))

@@ -30,8 +30,10 @@ def sample(kind, n=400, seed=7):
     return [rnd.randrange(1, 40000) / 8 for _ in range(n)]
 
 
-@pytest.mark.parametrize("kind", ["sparse", "dense", "hot", "eighths"])
-@pytest.mark.parametrize("small", [clustering.SMALL, 0])
+@pytest.mark.parametrize(
+    "kind, small",
+    [(kind, clustering.SMALL) for kind in ("sparse", "dense", "hot", "eighths")] + [("sparse", 0), ("hot", 0)],
+)
 def test_clusters_equal_a_plain_fold(spark, kind, small):
     values = sample(kind)
     records = spark.createDataFrame([(v,) for v in values], "duration double")

@@ -216,8 +216,9 @@ USABLE = """usable as (select * from fingerprint
 HEADS = (
     USABLE
     + """,
-heads(h) as (select min(duration) from usable
-             union all select (select min(duration) from usable where duration > h + 5) from heads where h is not null),
+lengths as materialized (select distinct duration from usable),
+heads(h) as (select min(duration) from lengths
+             union all select (select min(duration) from lengths where duration > h + 5) from heads where h is not null),
 placed as (select u.*, h as cluster_start from usable u asof join (select h from heads where h is not null) k on u.duration >= k.h),
 clustered as (select * from placed
               where cluster_start in (select cluster_start from placed group by cluster_start having count(*) > 1))"""

@@ -1,11 +1,16 @@
 """Similar content within duration clusters, without comparing all pairs.
 
-A score of t means at least ceil(t * shorter length) equal positions at one offset, hence as many common
-values (with multiplicity). Take any fixed order of all values and sort the distinct values of a sequence
-by it; the *suffix weight* of a value is the number of positions held by it and the values after it. The
-first common value of a qualifying pair then has a suffix weight of at least that bound in both sequences.
-So joining on (cluster, value) where both suffix weights reach the bound finds every qualifying pair. The
-order only decides how many others come along: frequent values go last.
+A score of t means that at one offset at least a = ceil(t n) of the n positions of the shorter sequence are
+equal. Every position that differs breaks at most k runs of k neighbours, so at least
+b = (n - k + 1) - k (n - a) runs of k values (*grams*) are equal too, and the two sequences have b grams in
+common, with multiplicity. Grams of the largest k that the threshold allows are used (single values for low
+thresholds or short sequences, where b would be below 1): the longer they are, the fewer sequences share one.
+
+Take any fixed order of all grams and sort the distinct grams of a sequence by it; the *weight* of a gram is
+the number of positions held by it and the grams after it. The first m common positions of a qualifying pair
+have weights of at least b - m + 1 in both sequences. So joining on (cluster, gram) where both weights reach
+that bound, and keeping pairs with m common positions, finds every qualifying pair. The order only decides how
+many others come along: frequent grams go last, where the bound leaves them out.
 """
 
 from __future__ import annotations
@@ -14,15 +19,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dupelens.functions.sequences import MAX_OFFSET, best_alignment
 from dupelens.runtime import materialize
 
-# Values put last in the order, most frequent at the very end: a fixed bound on what reaches the driver.
-FREQUENT_VALUES = 20_000
+# Grams put last in the order, most frequent at the very end: a fixed bound on what reaches the driver.
+FREQUENT_GRAMS = 20_000
+MAX_GRAM = 5
+MAX_COMMON = 5
 TOKENS_PER_CHUNK = 4_000_000
+ENTRY = "cluster_start double, class_id bigint, length int, gram bigint, weight int, times int"
 
 
 def content_classes(records: DataFrame) -> DataFrame:
@@ -37,50 +45,57 @@ def content_classes(records: DataFrame) -> DataFrame:
     )
 
 
-def frequent_values(classes: DataFrame, top: int = FREQUENT_VALUES) -> list[int]:
-    """The ``top`` values by number of classes, rarest first."""
-    counted = (
-        classes.select(F.explode(F.array_distinct("words")).alias("value"))
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .orderBy(F.desc("n"), "value")
-        .limit(top)
-    )
-    return [row["value"] for row in counted.collect()][::-1]
+def gram_size(threshold: float) -> int:
+    """Longest gram of which a qualifying pair still shares a tenth of its positions."""
+    if threshold >= 1:
+        return MAX_GRAM
+    return max(1, min(MAX_GRAM, int(0.9 / (1 - threshold) + 1e-9)))
+
+
+def _common_grams(threshold: float, k: int) -> Column:
+    """b: grams that a pair with this shorter ``length`` has in common at least."""
+    matched = F.ceil(F.col("length") * threshold - 1e-9).cast("int")
+    return (F.col("length") - (k - 1)) - k * (F.col("length") - matched)
 
 
-def _entries(frequent: list[int]):
-    """Rows (cluster_start, class_id, length, value, weight) of a batch of sequences."""
+def _entries(k: int, frequent: list[int]):
+    """Distinct grams of each sequence with their weights and occurrences, a batch of sequences at a time."""
     known = np.array(sorted(frequent), dtype=np.int64)
-    rank_of = {value: rank + 1 for rank, value in enumerate(frequent)}
-    ranks = np.array([rank_of[v] for v in known], dtype=np.int64)
+    rank_of = {gram: rank + 1 for rank, gram in enumerate(frequent)}
+    ranks = np.array([rank_of[g] for g in known], dtype=np.int64)
 
     def weigh(rows: pd.DataFrame) -> pd.DataFrame:
         lengths = rows["length"].to_numpy()
-        flat = np.concatenate(rows["words"].to_list()).astype(np.int64)
+        words = np.concatenate(rows["words"].to_list()).astype(np.uint64)
         owner = np.repeat(np.arange(len(rows)), lengths)
-        order = np.lexsort((flat, owner))
-        flat, owner = flat[order], owner[order]
-        first = np.flatnonzero(np.r_[True, (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])])
-        value, owner = flat[first], owner[first]
-        count = np.diff(np.r_[first, len(flat)])
-        rank = np.zeros(len(value), dtype=np.int64)
+        starts = np.flatnonzero(owner[: len(owner) - k + 1] == owner[k - 1 :])
+        gram = words[starts]
+        for step in range(1, k):
+            # Equal grams get equal values; a rare clash of different ones only adds a candidate.
+            gram = gram * np.uint64(0x9E3779B97F4A7C15) + words[starts + step]
+        gram, owner = gram.astype(np.int64), owner[starts]
+        grams = np.bincount(owner, minlength=len(rows))
+        order = np.lexsort((gram, owner))
+        gram, owner = gram[order], owner[order]
+        first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])][: len(gram)])
+        times = np.diff(np.r_[first, len(gram)])
+        gram, owner = gram[first], owner[first]
+        rank = np.zeros(len(gram), dtype=np.int64)
         if len(known):
-            at = np.minimum(np.searchsorted(known, value), len(known) - 1)
-            rank = np.where(known[at] == value, ranks[at], 0)
-        order = np.lexsort((value, rank, owner))
-        value, owner, count = value[order], owner[order], count[order]
-        # Positions before each value within its own sequence; the weight is what is left.
-        before = np.cumsum(count) - count
-        before -= (np.cumsum(lengths) - lengths)[owner]
+            at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
+            rank = np.where(known[at] == gram, ranks[at], 0)
+        order = np.lexsort((gram, rank, owner))
+        gram, owner, times = gram[order], owner[order], times[order]
+        # Positions before each gram within its own sequence; the weight is what is left.
+        before = np.cumsum(times) - times - (np.cumsum(grams) - grams)[owner]
         return pd.DataFrame(
             {
                 "cluster_start": rows["cluster_start"].to_numpy()[owner],
                 "class_id": rows["class_id"].to_numpy()[owner],
                 "length": lengths[owner],
-                "value": value,
-                "weight": (lengths[owner] - before).astype(np.int32),
+                "gram": gram,
+                "weight": (grams[owner] - before).astype(np.int32),
+                "times": times.astype(np.int32),
             }
         )
 
@@ -93,36 +108,72 @@ def _entries(frequent: list[int]):
     return entries
 
 
-def candidate_pairs(classes: DataFrame, threshold: float, frequent: list[int] | None = None) -> DataFrame:
-    """Pairs of classes (class_1, class_2) of one cluster that can reach ``threshold`` (> 0)."""
-    if threshold <= 0:
-        raise ValueError("a threshold above 0 is needed: at 0 every pair of a cluster qualifies")
-    if frequent is None:
-        frequent = frequent_values(classes)
-    entries = (
-        classes.where("length > 0")
-        .select("cluster_start", "class_id", "length", "words")
-        .mapInPandas(_entries(frequent), "cluster_start double, class_id bigint, length int, value bigint, weight int")
+def _gram_table(classes: DataFrame, k: int, frequent: list[int]) -> DataFrame:
+    long_enough = classes.where(F.col("length") >= k).select("cluster_start", "class_id", "length", "words")
+    return long_enough.mapInPandas(_entries(k, frequent), ENTRY)
+
+
+def frequent_grams(classes: DataFrame, k: int, top: int = FREQUENT_GRAMS) -> list[int]:
+    """The ``top`` grams by number of classes, rarest first."""
+    counted = (
+        _gram_table(classes, k, [])
+        .groupBy("gram")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .orderBy(F.desc("n"), "gram")
+        .limit(top)
     )
-    bound = F.ceil(F.col("length") * threshold - 1e-9).cast("int")
-    shorter = entries.withColumn("bound", bound).where("weight >= bound").select(
-        "cluster_start", "value", "bound", F.col("class_id").alias("id_s"), F.col("length").alias("length_s")
+    return [row["gram"] for row in counted.collect()][::-1]
+
+
+def _sharing_grams(shorter: DataFrame, longer: DataFrame, threshold: float, k: int, frequent: list[int]) -> DataFrame:
+    """Pairs of a shorter and a longer class with enough grams of size ``k`` in common."""
+    common = _common_grams(threshold, k)
+    asked = F.greatest(F.lit(1), F.least(F.lit(MAX_COMMON), F.floor(common / 5))).cast("int")
+    short = (
+        _gram_table(shorter, k, frequent)
+        .withColumn("asked", asked)
+        .withColumn("bound", common - F.col("asked") + 1)
+        .where("weight >= bound")
+        .select(
+            "cluster_start", "gram", "asked", "bound",
+            F.col("times").alias("times_s"), F.col("class_id").alias("id_s"), F.col("length").alias("length_s"),
+        )
     )
-    longer = entries.select(
-        "cluster_start", "value", "weight", F.col("class_id").alias("id_l"), F.col("length").alias("length_l")
+    long = _gram_table(longer, k, frequent).select(
+        "cluster_start", "gram", "weight",
+        F.col("times").alias("times_l"), F.col("class_id").alias("id_l"), F.col("length").alias("length_l"),
     )
     in_order = (F.col("length_s") < F.col("length_l")) | (
         (F.col("length_s") == F.col("length_l")) & (F.col("id_s") < F.col("id_l"))
     )
     return (
-        shorter.join(longer, ["cluster_start", "value"])
+        short.join(long, ["cluster_start", "gram"])
         .where(in_order & (F.col("weight") >= F.col("bound")))
-        .groupBy(F.col("id_s").alias("class_1"), F.col("id_l").alias("class_2"))
-        .agg(F.count(F.lit(1)).alias("shared_values"))
+        .groupBy(F.col("id_s").alias("class_1"), F.col("id_l").alias("class_2"), "asked")
+        .agg(F.sum(F.least("times_s", "times_l")).alias("common"))
+        .where("common >= asked")
         .select("class_1", "class_2")
     )
 
 
+def candidate_pairs(classes: DataFrame, threshold: float, frequent: list[int] | None = None) -> DataFrame:
+    """Pairs of classes (class_1, class_2) of one cluster that can reach ``threshold`` (> 0)."""
+    if threshold <= 0:
+        raise ValueError("a threshold above 0 is needed: at 0 every pair of a cluster qualifies")
+    k = gram_size(threshold)
+    if frequent is None:
+        frequent = frequent_grams(classes, k)
+    if k == 1:
+        return _sharing_grams(classes, classes, threshold, 1, frequent)
+    has_grams = _common_grams(threshold, k) >= 1
+    pairs = _sharing_grams(classes.where(has_grams), classes, threshold, k, frequent)
+    # Sequences too short for grams are searched by single values, in their own clusters only.
+    tiny = classes.where((F.col("length") > 0) & ~has_grams)
+    around = classes.join(tiny.select("cluster_start").distinct(), "cluster_start", "left_semi")
+    return pairs.unionByName(_sharing_grams(tiny, around, threshold, 1, []))
+
+
 def score_pairs(pairs: DataFrame, classes: DataFrame, max_offset: int = MAX_OFFSET) -> DataFrame:
     """Adds both fingerprints, the cluster and the best-alignment similarity, in fingerprint order."""
     left = classes.select(

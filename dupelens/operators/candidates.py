@@ -3,14 +3,17 @@
 A score of t means that at one offset at least a = ceil(t n) of the n positions of the shorter sequence are
 equal. Every position that differs breaks at most k runs of k neighbours, so at least
 b = (n - k + 1) - k (n - a) runs of k values (*grams*) are equal too, and the two sequences have b grams in
-common, with multiplicity. Grams of the largest k that the threshold allows are used (single values for low
-thresholds or short sequences, where b would be below 1): the longer they are, the fewer sequences share one.
+common, with multiplicity. Sizes k for which b stays at 1 or more can be used; k = 1 always can.
 
 Take any fixed order of all grams and sort the distinct grams of a sequence by it; the *weight* of a gram is
-the number of positions held by it and the grams after it. The first m common positions of a qualifying pair
-have weights of at least b - m + 1 in both sequences. So joining on (cluster, gram) where both weights reach
+the number of positions held by it and the grams after it. The first m common positions of a qualifying
+pair have weights of at least b - m + 1 in both sequences. So joining on (cluster, gram) where both weights reach
 that bound, and keeping pairs with m common positions, finds every qualifying pair. The order only decides how
 many others come along: frequent grams go last, where the bound leaves them out.
+
+Long grams keep unrelated texts apart, short ones keep shared passages (headers, licences) out, as their bound is
+tighter. Each shorter sequence therefore picks the gram size whose grams are held by the fewest classes; the
+longer side offers all sizes.
 """
 
 from __future__ import annotations
@@ -19,18 +22,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dupelens.functions.sequences import MAX_OFFSET, best_alignment
 from dupelens.runtime import materialize
 
 # Grams put last in the order, most frequent at the very end: a fixed bound on what reaches the driver.
-FREQUENT_GRAMS = 20_000
-MAX_GRAM = 5
+FREQUENT_GRAMS = 40_000
+MAX_GRAM = 3
 MAX_COMMON = 5
 TOKENS_PER_CHUNK = 4_000_000
-ENTRY = "cluster_start double, class_id bigint, length int, gram bigint, weight int, times int"
 
 
 def content_classes(records: DataFrame) -> DataFrame:
@@ -45,32 +47,36 @@ def content_classes(records: DataFrame) -> DataFrame:
     )
 
 
-def gram_size(threshold: float) -> int:
-    """Longest gram of which a qualifying pair still shares a tenth of its positions."""
-    if threshold >= 1:
-        return MAX_GRAM
-    return max(1, min(MAX_GRAM, int(0.9 / (1 - threshold) + 1e-9)))
+def gram_sizes(threshold: float) -> list[int]:
+    """Gram sizes of which a qualifying pair still shares a tenth of its positions, at least size 1."""
+    longest = MAX_GRAM if threshold >= 1 else min(MAX_GRAM, int(0.9 / (1 - threshold) + 1e-9))
+    return list(range(1, max(1, longest) + 1))
 
 
-def _common_grams(threshold: float, k: int) -> Column:
-    """b: grams that a pair with this shorter ``length`` has in common at least."""
-    matched = F.ceil(F.col("length") * threshold - 1e-9).cast("int")
-    return (F.col("length") - (k - 1)) - k * (F.col("length") - matched)
+class _Weigher:
+    """Distinct grams of a batch of sequences with their weights and occurrences."""
 
+    def __init__(self, frequent: list[tuple[int, int]]):
+        ordered = sorted((gram, rank + 1, n) for rank, (gram, n) in enumerate(frequent))
+        table = np.array(ordered, dtype=np.int64).reshape(-1, 3)
+        self.known, self.ranks, self.counts = table[:, 0], table[:, 1], table[:, 2]
+        self.rest = int(self.counts.min()) if len(self.counts) else 1
 
-def _entries(k: int, frequent: list[int]):
-    """Distinct grams of each sequence with their weights and occurrences, a batch of sequences at a time."""
-    known = np.array(sorted(frequent), dtype=np.int64)
-    rank_of = {gram: rank + 1 for rank, gram in enumerate(frequent)}
-    ranks = np.array([rank_of[g] for g in known], dtype=np.int64)
+    def lookup(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and number of classes of each gram; all grams that are not listed count alike."""
+        if not len(self.known):
+            return np.zeros(len(gram), dtype=np.int64), np.ones(len(gram), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.known, gram), len(self.known) - 1)
+        listed = self.known[at] == gram
+        return np.where(listed, self.ranks[at], 0), np.where(listed, self.counts[at], self.rest)
 
-    def weigh(rows: pd.DataFrame) -> pd.DataFrame:
+    def weigh(self, rows: pd.DataFrame, k: int) -> pd.DataFrame:
         lengths = rows["length"].to_numpy()
         words = np.concatenate(rows["words"].to_list()).astype(np.uint64)
         owner = np.repeat(np.arange(len(rows)), lengths)
-        starts = np.flatnonzero(owner[: len(owner) - k + 1] == owner[k - 1 :])
-        gram = words[starts]
-        for step in range(1, k):
+        starts = np.flatnonzero(owner[: max(0, len(owner) - k + 1)] == owner[k - 1 :])
+        gram = np.full(len(starts), k, dtype=np.uint64)
+        for step in range(k):
             # Equal grams get equal values; a rare clash of different ones only adds a candidate.
             gram = gram * np.uint64(0x9E3779B97F4A7C15) + words[starts + step]
         gram, owner = gram.astype(np.int64), owner[starts]
@@ -80,67 +86,107 @@ def _entries(k: int, frequent: list[int]):
         first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])][: len(gram)])
         times = np.diff(np.r_[first, len(gram)])
         gram, owner = gram[first], owner[first]
-        rank = np.zeros(len(gram), dtype=np.int64)
-        if len(known):
-            at = np.minimum(np.searchsorted(known, gram), len(known) - 1)
-            rank = np.where(known[at] == gram, ranks[at], 0)
+        rank, held_by = self.lookup(gram)
         order = np.lexsort((gram, rank, owner))
-        gram, owner, times = gram[order], owner[order], times[order]
+        gram, owner, times, held_by = gram[order], owner[order], times[order], held_by[order]
         # Positions before each gram within its own sequence; the weight is what is left.
         before = np.cumsum(times) - times - (np.cumsum(grams) - grams)[owner]
         return pd.DataFrame(
             {
+                "owner": owner,
                 "cluster_start": rows["cluster_start"].to_numpy()[owner],
                 "class_id": rows["class_id"].to_numpy()[owner],
                 "length": lengths[owner],
                 "gram": gram,
                 "weight": (grams[owner] - before).astype(np.int32),
                 "times": times.astype(np.int32),
+                "held_by": held_by,
             }
         )
 
+
+def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for _, rows in batch.groupby(batch["length"].cumsum() // TOKENS_PER_CHUNK):
+            yield rows
+
+
+LONG = "cluster_start double, class_id bigint, length int, gram bigint, weight int, times int"
+SHORT = LONG.replace("weight int", "bound int, asked int")
+
+
+def _all_grams(sizes: list[int], frequent: list[tuple[int, int]]):
+    names = [part.split()[0] for part in LONG.split(", ")]
+
     def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            chunk = batch["length"].cumsum() // TOKENS_PER_CHUNK
-            for _, rows in batch.groupby(chunk):
-                yield weigh(rows)
+        weigher = _Weigher(frequent)
+        for rows in _chunks(batches):
+            for k in sizes:
+                yield weigher.weigh(rows, k)[names]
 
     return entries
 
 
-def _gram_table(classes: DataFrame, k: int, frequent: list[int]) -> DataFrame:
-    long_enough = classes.where(F.col("length") >= k).select("cluster_start", "class_id", "length", "words")
-    return long_enough.mapInPandas(_entries(k, frequent), ENTRY)
+def _cheapest_grams(sizes: list[int], threshold: float, frequent: list[tuple[int, int]]):
+    """Grams of each sequence that reach its bound, of the size whose grams the fewest classes hold."""
+    names = [part.split()[0] for part in SHORT.split(", ")]
+
+    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weigher = _Weigher(frequent)
+        for rows in _chunks(batches):
+            n = rows["length"].to_numpy().astype(np.int64)
+            matched = np.ceil(n * threshold - 1e-9).astype(np.int64)
+            kept, costs = [], []
+            for k in sizes:
+                common = (n - k + 1) - k * (n - matched)
+                asked = np.clip(common // 5, 1, MAX_COMMON)
+                found = weigher.weigh(rows, k)
+                owner = found["owner"].to_numpy()
+                found = found.assign(bound=(common - asked + 1)[owner].astype(np.int32), asked=asked[owner].astype(np.int32))
+                found = found[found["weight"] >= found["bound"]]
+                cost = np.bincount(found["owner"], weights=found["held_by"], minlength=len(rows))
+                kept.append(found)
+                costs.append(np.where(common >= 1, cost, np.inf))
+            choice = np.argmin(np.stack(costs), axis=0)
+            for i, found in enumerate(kept):
+                yield found[choice[found["owner"].to_numpy()] == i][names]
+
+    return entries
 
 
-def frequent_grams(classes: DataFrame, k: int, top: int = FREQUENT_GRAMS) -> list[int]:
-    """The ``top`` grams by number of classes, rarest first."""
+def frequent_grams(classes: DataFrame, sizes: list[int], top: int = FREQUENT_GRAMS) -> list[tuple[int, int]]:
+    """The ``top`` grams by number of classes, with that number, rarest first."""
     counted = (
-        _gram_table(classes, k, [])
+        _sequences(classes)
+        .mapInPandas(_all_grams(sizes, []), LONG)
         .groupBy("gram")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
         .orderBy(F.desc("n"), "gram")
         .limit(top)
     )
-    return [row["gram"] for row in counted.collect()][::-1]
-
-
-def _sharing_grams(shorter: DataFrame, longer: DataFrame, threshold: float, k: int, frequent: list[int]) -> DataFrame:
-    """Pairs of a shorter and a longer class with enough grams of size ``k`` in common."""
-    common = _common_grams(threshold, k)
-    asked = F.greatest(F.lit(1), F.least(F.lit(MAX_COMMON), F.floor(common / 5))).cast("int")
-    short = (
-        _gram_table(shorter, k, frequent)
-        .withColumn("asked", asked)
-        .withColumn("bound", common - F.col("asked") + 1)
-        .where("weight >= bound")
-        .select(
-            "cluster_start", "gram", "asked", "bound",
-            F.col("times").alias("times_s"), F.col("class_id").alias("id_s"), F.col("length").alias("length_s"),
-        )
+    return [(row["gram"], row["n"]) for row in counted.collect()][::-1]
+
+
+def _sequences(classes: DataFrame) -> DataFrame:
+    return classes.where("length > 0").select("cluster_start", "class_id", "length", "words")
+
+
+def candidate_pairs(
+    classes: DataFrame, threshold: float, frequent: list[tuple[int, int]] | None = None
+) -> DataFrame:
+    """Pairs of classes (class_1, class_2) of one cluster that can reach ``threshold`` (> 0)."""
+    if threshold <= 0:
+        raise ValueError("a threshold above 0 is needed: at 0 every pair of a cluster qualifies")
+    sizes = gram_sizes(threshold)
+    if frequent is None:
+        frequent = frequent_grams(classes, sizes)
+    sequences = _sequences(classes)
+    short = sequences.mapInPandas(_cheapest_grams(sizes, threshold, frequent), SHORT).select(
+        "cluster_start", "gram", "asked", "bound",
+        F.col("times").alias("times_s"), F.col("class_id").alias("id_s"), F.col("length").alias("length_s"),
     )
-    long = _gram_table(longer, k, frequent).select(
+    long = sequences.mapInPandas(_all_grams(sizes, frequent), LONG).select(
         "cluster_start", "gram", "weight",
         F.col("times").alias("times_l"), F.col("class_id").alias("id_l"), F.col("length").alias("length_l"),
     )
@@ -157,23 +203,6 @@ def _sharing_grams(shorter: DataFrame, longer: DataFrame, threshold: float, k: i
     )
 
 
-def candidate_pairs(classes: DataFrame, threshold: float, frequent: list[int] | None = None) -> DataFrame:
-    """Pairs of classes (class_1, class_2) of one cluster that can reach ``threshold`` (> 0)."""
-    if threshold <= 0:
-        raise ValueError("a threshold above 0 is needed: at 0 every pair of a cluster qualifies")
-    k = gram_size(threshold)
-    if frequent is None:
-        frequent = frequent_grams(classes, k)
-    if k == 1:
-        return _sharing_grams(classes, classes, threshold, 1, frequent)
-    has_grams = _common_grams(threshold, k) >= 1
-    pairs = _sharing_grams(classes.where(has_grams), classes, threshold, k, frequent)
-    # Sequences too short for grams are searched by single values, in their own clusters only.
-    tiny = classes.where((F.col("length") > 0) & ~has_grams)
-    around = classes.join(tiny.select("cluster_start").distinct(), "cluster_start", "left_semi")
-    return pairs.unionByName(_sharing_grams(tiny, around, threshold, 1, []))
-
-
 def score_pairs(pairs: DataFrame, classes: DataFrame, max_offset: int = MAX_OFFSET) -> DataFrame:
     """Adds both fingerprints, the cluster and the best-alignment similarity, in fingerprint order."""
     left = classes.select(

@@ -5,10 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from dupelens.llm import decontamination, jaccard_join, sentencepiece_lattice, token_counts, toxicity
+from dupelens.llm import (
+    context_tree,
+    decontamination,
+    fingerprints,
+    html_extraction,
+    jaccard_join,
+    license_scan,
+    sentencepiece_lattice,
+    sharding,
+    token_counts,
+    toxicity,
+)
 from dupelens.llm.tables import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(table(spark, sf_dir, "documents"))
+
+
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, sf_dir, "pages"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -21,17 +44,36 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=3, percent=90))
 
 
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scores(table(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 SPARK = {
     f.__name__: f
-    for f in (op4_toxicity, op5_sentencepiece, op6_ngram_jaccard_join, op8_token_counts, op10_decontamination)
+    for f in (
+        op1_license_scan,
+        op2_fingerprints,
+        op3_html_extraction,
+        op4_toxicity,
+        op5_sentencepiece,
+        op6_ngram_jaccard_join,
+        op7_sharding,
+        op8_token_counts,
+        op9_lm_scoring,
+        op10_decontamination,
+    )
 } | {"pipeline": corpus_pipeline.run}
 
 SQL: dict[str, str] = {}

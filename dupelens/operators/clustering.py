@@ -6,40 +6,34 @@ Both rules depend on the distinct durations only, so every step works on one row
 * Gap-chained: a duration joins while it is at most ``tolerance`` above the one before it.
 * Anchored: a duration joins while it is at most ``tolerance`` above the *first* of its cluster.
 
-A cluster is named by its lowest duration, ``cluster_start``. Up to ``SMALL`` distinct durations (a fixed
-bound, checked first) one ordered window is cheapest; above it the same result comes from range cells, so
-that no task ever sees all durations.
+A cluster is named by its lowest duration, ``cluster_start``. Distinct durations are cut into range cells, so that no
+task ever sees all of them, at any size.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from functools import reduce
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dupelens.runtime import materialize
 
-SMALL = 1_000_000
 CELLS = 1_000
 
 
 class Durations:
     """Distinct durations with their record counts, written once, and their checked number."""
 
-    def __init__(self, records: DataFrame, small: int = SMALL):
+    def __init__(self, records: DataFrame):
         counted = records.groupBy("duration").agg(F.count(F.lit(1)).alias("n"))
         self.rows = materialize(counted, "durations")
         stats = self.rows.agg(
             F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.min("duration"), F.max("duration")
         ).first()
         self.distinct, self.records, self.low, self.high = stats
-        self.is_small = self.distinct <= small
 
 
 def _cell_bounds(rows: DataFrame) -> list[float]:
@@ -49,6 +43,8 @@ def _cell_bounds(rows: DataFrame) -> list[float]:
 
 def _in_cells(rows: DataFrame, bounds: list[float], column: str = "duration") -> DataFrame:
     """``rows`` with the number of the cell that ``column`` falls into; cells ascend with it."""
+    if not bounds:
+        return rows.withColumn("cell", F.lit(0).cast("bigint"))
     splits = [-math.inf, *bounds, math.inf]
     placed = Bucketizer(splits=splits, inputCol=column, outputCol="_cell").transform(rows)
     return placed.withColumn("cell", F.col("_cell").cast("bigint")).drop("_cell")
@@ -57,14 +53,6 @@ def _in_cells(rows: DataFrame, bounds: list[float], column: str = "duration") ->
 def _gap_starts(durations: Durations, tolerance: float) -> DataFrame:
     """Distinct durations with the start of their gap-chained island: (duration, n, start)."""
     rows = durations.rows
-    if durations.is_small:
-        ordered = Window.orderBy("duration")
-        previous = F.lag("duration").over(ordered)
-        begins = previous.isNull() | (F.col("duration") > previous + tolerance)
-        marked = rows.withColumn("mark", F.when(begins, F.col("duration")))
-        start = F.last("mark", ignorenulls=True).over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-        return marked.select("duration", "n", start.alias("start"))
-
     cells = materialize(_in_cells(rows, _cell_bounds(rows)), "duration-cells")
     by_cell = Window.orderBy("cell")
     edges = cells.groupBy("cell").agg(F.max("duration").alias("top")).withColumn("below", F.lag("top").over(by_cell))
@@ -93,26 +81,6 @@ def _gap_starts(durations: Durations, tolerance: float) -> DataFrame:
     )
 
 
-def _fold(tolerance: float):
-    """Anchored fold over batches of ascending durations; only the current head is kept between batches."""
-
-    def heads(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head = -math.inf
-        for batch in batches:
-            values = batch["duration"].to_numpy()
-            start = np.empty_like(values)
-            at = 0
-            while at < len(values):
-                if values[at] > head + tolerance:
-                    head = values[at]
-                beyond = int(np.searchsorted(values, head + tolerance, side="right"))
-                start[at:beyond] = head
-                at = beyond
-            yield batch.assign(start=start)[["duration", "n", "start"]]
-
-    return heads
-
-
 def _next_heads(cells: DataFrame, bounds: list[float], tolerance: float) -> DataFrame:
     """For each duration the lowest one more than ``tolerance`` above it: (duration, following)."""
     reach = cells.select("duration", (F.col("duration") + tolerance).alias("at"))
@@ -181,29 +149,21 @@ def gap_clusters(durations: Durations, tolerance: float = 5.0) -> DataFrame:
 def anchored_clusters(durations: Durations, tolerance: float = 5.0) -> DataFrame:
     """duration, n, cluster_start, cluster_size of the anchored clusters.
 
-    A gap above the tolerance always ends a cluster, so the gap-chained islands are folded independently:
-    each task streams its islands in ascending order.
+    A gap above the tolerance always ends a cluster, so heads are looked for within gap-chained islands only.
     """
-    islands = _gap_starts(durations, tolerance)
-    if durations.is_small:
-        folded = (
-            islands.repartition("start")
-            .sortWithinPartitions("duration")
-            .mapInPandas(_fold(tolerance), "duration double, n bigint, start double")
-        )
-    else:
-        folded = _anchored_by_doubling(materialize(islands, "islands"), durations, tolerance)
-    return _sized(folded)
+    islands = materialize(_gap_starts(durations, tolerance), "islands")
+    if durations.distinct == 0:
+        return _sized(islands)
+    return _sized(_anchored_by_doubling(islands, durations, tolerance))
 
 
 def attach(records: DataFrame, clusters: DataFrame, durations: Durations) -> DataFrame:
     """Records of clusters with at least two records, with ``cluster_start``.
 
-    The duration map is broadcast only while it is known to be small; otherwise it is an equi join whose
-    hot durations adaptive execution can split.
+    An equi join whose hot durations adaptive execution can split.
     """
     lookup = clusters.select("duration", "cluster_start", "cluster_size")
-    return records.join(F.broadcast(lookup) if durations.is_small else lookup, "duration")
+    return records.join(lookup, "duration")
 
 
 def blocking_reduction(durations: Durations, tolerances: list[float]) -> DataFrame:

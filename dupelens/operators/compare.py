@@ -86,8 +86,9 @@ def format_comparison(files: DataFrame, first: str, second: str) -> DataFrame:
     )
 
 
-def perturbations(words: Column, filler: Column) -> list[tuple[str, Column]]:
-    """Named altered versions of a sequence; null where the sequence is too short for one."""
+def perturbations(words: Column, filler: Column, recased: Column) -> list[tuple[str, Column]]:
+    """Named altered versions of a sequence; null where the sequence is too short for one. ``recased`` is the sequence
+    of the same text in upper case."""
     n = F.size(words)
     middle = F.floor(n / 2).cast("int") - 5
     repeated = F.flatten(F.transform(words, lambda w, i: F.when(i % 10 == 9, F.array(w, w)).otherwise(F.array(w))))
@@ -102,6 +103,7 @@ def perturbations(words: Column, filler: Column) -> list[tuple[str, Column]]:
         ("drop_tokens", F.when(n > 10, F.filter(words, lambda w, i: i % 11 != 10))),
         ("repeat_tokens", repeated),
         ("insert_start", F.concat(F.array_repeat(filler, 5), words)),
+        ("change_case", recased),
     ]
 
 
@@ -111,7 +113,7 @@ def robustness(items: DataFrame, filler: Column) -> DataFrame:
         F.array(
             *(
                 F.struct(F.lit(i).alias("created"), F.lit(name).alias("modification"), changed.alias("altered"))
-                for i, (name, changed) in enumerate(perturbations(F.col("words"), filler))
+                for i, (name, changed) in enumerate(perturbations(F.col("words"), filler, F.col("recased")))
             )
         ),
         lambda v: v["altered"].isNotNull(),
@@ -128,3 +130,13 @@ def robustness(items: DataFrame, filler: Column) -> DataFrame:
     )
     by_similarity = Window.partitionBy("id").orderBy(F.desc("similarity"), "created")
     return scored.withColumn("rank", F.row_number().over(by_similarity)).drop("created")
+
+
+def robustness_summary(scored: DataFrame) -> DataFrame:
+    """Per altered version: how many, and mean, least and greatest similarity."""
+    return scored.groupBy("modification").agg(
+        F.count(F.lit(1)).alias("versions"),
+        F.round(F.avg("similarity"), 9).alias("mean_similarity"),
+        F.min("similarity").alias("least_similarity"),
+        F.max("similarity").alias("greatest_similarity"),
+    )

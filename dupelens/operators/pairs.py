@@ -293,7 +293,8 @@ def summary(pairs: DataFrame) -> DataFrame:
 
 
 def experiment_counts(pairs: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """Pairs per experiment label among comparable pairs above the threshold."""
+    """Pairs per experiment label among pairs above the threshold. Pairs carry no sizes: filter by :func:`comparable_sizes`
+    where both sizes are known, before this."""
     label = experiment_type(F.col("similarity"), F.col("format_1") == F.col("format_2"))
     return above(pairs, threshold).groupBy(label.alias("duplicate_type")).agg(F.count(F.lit(1)).alias("pairs"))
 

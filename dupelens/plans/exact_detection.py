@@ -1,44 +1,41 @@
-"""End-to-end exact detection."""
+"""End-to-end exact detection: two tables, songs and group members, both linear in the input."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dupelens.operators.exact import duplicate_members, per_song
 from dupelens.runtime import materialize
-from dupelens.sinks.tables import full_refresh
 from dupelens.sources.fingerprints import usable
 
+SONG = ("song_id", "product_indicator", "asset_type", "group_key", "copy_count")
 
-def duplicated_assets(fingerprints: DataFrame) -> DataFrame:
-    """The per-song duplicate table: song_id, product_indicator, asset_type, duplicates."""
-    return per_song(duplicate_members(usable(fingerprints))).select(
-        "song_id", "product_indicator", "asset_type", "duplicates"
-    )
-
-
-def result_rows(fingerprints: DataFrame) -> DataFrame:
-    """The same rows in the schema of the result table (integer song id, creation time)."""
-    return duplicated_assets(fingerprints).select(
-        F.col("song_id").cast("int").alias("song_id"),
-        "product_indicator",
-        "asset_type",
-        "duplicates",
-        F.localtimestamp().alias("created_at"),
-    )
-
-
-def write_result(fingerprints: DataFrame, songs_path: str, members_path: str) -> None:
-    """Full refresh of both result tables.
-
-    ``songs`` has one row per (song, indicator) with its group; ``members`` lists every group. A song of a
-    group too large to repeat in each of its rows has no ``duplicates`` of its own: joining ``members`` on
-    ``group_key`` gives them, whole.
-    """
+
+@dataclass
+class ExactResult:
+    """``songs``: song_id, product_indicator, asset_type, group_key, copy_count (and own_source);
+    ``members``: the members of every group by fingerprint, the group key."""
+
+    songs: DataFrame
+    members: DataFrame
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The two tables as they are exported."""
+        return {
+            "songs": self.songs.select(*SONG),
+            "members": self.members.select(F.col("fingerprint").alias("group_key"), "asset_id", "source", "file_key"),
+        }
+
+
+def detect(fingerprints: DataFrame) -> ExactResult:
+    """Exact duplicates of all usable records; the member table is written once."""
     members = materialize(duplicate_members(usable(fingerprints)), "duplicate-members")
-    full_refresh(per_song(members), songs_path)
-    full_refresh(
-        members.select(F.col("fingerprint").alias("group_key"), "asset_id", "source", "file_key", "copy_count"),
-        members_path,
-    )
+    return ExactResult(per_song(members), members)
+
+
+def duplicated_assets(fingerprints: DataFrame) -> DataFrame:
+    """The song table: each (song, indicator) that has duplicates, with its group."""
+    return detect(fingerprints).songs.select(*SONG)

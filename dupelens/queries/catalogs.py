@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dupelens.functions import mapping, names
 from dupelens.operators import backlog as work
 from dupelens.queries.views import with_views
-from dupelens.sources import catalogs, files, fixtures, query
+from dupelens.sources import catalogs, fixtures, query
 from dupelens.sources import fingerprints as reader
 
 
@@ -202,7 +202,6 @@ SPARK = {
     "first_file_per_asset": lambda s, d: reader.first_file(fixtures.fingerprint(s, d), _labelled(s, d)),
     "lookup_asset": lambda s, d: reader.lookup_one(fixtures.fingerprint(s, d), "7"),
     "param_query": _param,
-    "list_files": lambda s, d: files.list_files(s, d, "*.parquet"),
     "file_name_from_key": _file_names,
     "file_name_from_url": lambda s, d: fixtures.table(s, d, "pages").select(
         "page_id", names.file_name_from_url("url", F.col("page_id")).alias("file_name")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dupelens.operators import exact, quality
-from dupelens.plans.exact_detection import duplicated_assets
+from dupelens.plans.exact_detection import detect, duplicated_assets
 from dupelens.queries.views import with_views
 from dupelens.runtime import materialize
 from dupelens.sources import fingerprints as reader
@@ -36,6 +36,7 @@ picked as (select asset_id as song_id, case source when 'catalog_a' then 1 when
                   row_number() over (partition by asset_id, source order by first_seen, file_key) as rn
            from members),
 songs as (select p.song_id, p.product_indicator, 'music' as asset_type, p.fingerprint as group_key,
+                 p.own_source, any_value(m.copy_count) as copy_count,
                  list({'product_indicator': case m.source when 'catalog_a' then 1 when 'catalog_b' then 3 else 0 end,
                        'song_id': m.asset_id} order by m.source, m.asset_id)
                    filter (m.asset_id <> p.song_id or m.source <> p.own_source) as duplicates
@@ -44,46 +45,63 @@ songs as (select p.song_id, p.product_indicator, 'music' as asset_type, p.finger
 )
 
 
-def _members(spark, sf):
-    return exact.duplicate_members(reader.usable(fixtures.fingerprint(spark, sf)))
+def _usable(spark, sf):
+    return reader.usable(fixtures.fingerprint(spark, sf))
 
 
 def _groups(spark, sf):
-    return exact.group_summary(reader.usable(fixtures.fingerprint(spark, sf)))
+    return exact.group_summary(_usable(spark, sf))
+
+
+def _found(spark, sf):
+    return detect(fixtures.fingerprint(spark, sf))
 
 
 def _songs(spark, sf):
     return duplicated_assets(fixtures.fingerprint(spark, sf))
 
 
-def _suite(spark, sf):
-    return quality.suite(materialize(_songs(spark, sf), "duplicated-assets"))
+def _report(spark, sf):
+    members = _found(spark, sf).members
+    return exact.group_report(members, exact.summary_of(exact.duplicate_groups(members)))
+
+
+def _both(spark, sf, operator, *more):
+    """An operator over songs, written once, and members."""
+    found = _found(spark, sf)
+    return operator(materialize(found.songs, "songs"), found.members, *more)
+
 
+def _asked(songs, members):
+    """The duplicates of the songs whose id ends in 7."""
+    return exact.duplicates_of(songs.where(F.col("song_id").endswith("7")), members)
 
-def _songs_json(spark, sf):
-    return _songs(spark, sf).withColumn("duplicates", F.to_json("duplicates"))
+
+def _suite(spark, sf):
+    return _both(spark, sf, quality.suite, "1", 3)
 
 
 SPARK = {
-    "duplicated_assets": _songs_json,
+    "duplicated_assets": _songs,
+    "duplicates_of_song": lambda s, d: _both(s, d, _asked),
     "scan_fingerprints": lambda s, d: reader.scan(fixtures.fingerprint(s, d)),
     "scan_fingerprints_by_duration": lambda s, d: reader.scan_by_duration(fixtures.fingerprint(s, d)),
-    "exact_duplicate_groups": lambda s, d: _members(s, d).select(
+    "exact_duplicate_groups": lambda s, d: exact.duplicate_members(_usable(s, d)).select(
         "fingerprint", "asset_id", "source", "file_key", "copy_count"
     ),
-    "duplicate_group_report": lambda s, d: exact.group_report(_members(s, d)),
+    "duplicate_group_report": _report,
     "high_copy_groups": lambda s, d: exact.high_copy(_groups(s, d), 3),
     "cross_source_groups": lambda s, d: exact.cross_source(_groups(s, d)),
-    "groups_of_asset": lambda s, d: exact.groups_of_asset(_members(s, d), _groups(s, d), "1"),
+    "groups_of_asset": lambda s, d: exact.groups_of_asset(_usable(s, d), "1"),
     "copy_count_distribution": lambda s, d: exact.copy_count_distribution(_groups(s, d)),
-    "top_duplicate_groups": lambda s, d: exact.top_groups(_groups(s, d), _members(s, d)),
-    "preview_rows": lambda s, d: exact.preview(_songs(s, d)),
+    "top_duplicate_groups": lambda s, d: exact.top_groups(_usable(s, d)),
+    "preview_rows": lambda s, d: _both(s, d, exact.preview),
     "dq_duplicate_keys": lambda s, d: quality.duplicate_keys(_songs(s, d)),
     "dq_completeness": lambda s, d: quality.completeness(_songs(s, d)),
     "dq_asset_type": lambda s, d: quality.asset_types(_songs(s, d)),
     "dq_indicator_domain": lambda s, d: quality.indicator_domain(_songs(s, d)),
-    "dq_array_format": lambda s, d: quality.array_format(_songs_json(s, d)),
-    "dq_reciprocity": lambda s, d: quality.missing_reciprocals(materialize(_songs(s, d), "duplicated-assets")),
+    "dq_array_format": lambda s, d: quality.array_format(quality.entries_json(_found(s, d).members)),
+    "dq_reciprocity": lambda s, d: _both(s, d, quality.missing_reciprocals),
     "dq_known_key": lambda s, d: quality.known_key(_songs(s, d), "1", 3),
     "dq_multi_indicator": lambda s, d: quality.multi_indicator(_songs(s, d)),
     "dq_statistics": lambda s, d: quality.statistics(_songs(s, d)),
@@ -123,13 +141,21 @@ checks as (
   union all select 'indicator_domain', (select count(distinct product_indicator) from songs where product_indicator not in (1, 3))
   union all select 'array_format', (select count(*) from songs
          where duplicates is null or len(list_filter(duplicates, lambda d: d.product_indicator is null or d.song_id is null)) > 0)
-  union all select 'reciprocity', (select count(*) from missing)),
-suite as (select check_name, findings, findings = 0 as passed from checks)"""
+  union all select 'reciprocity', (select count(*) from missing)
+  union all select 'known_key', (select greatest(count(*) - 1, 0) from songs where song_id = '1' and product_indicator = 3)
+  union all select 'multi_indicator', (select count(*) from (select 1 from songs group by song_id having count(distinct product_indicator) > 1))),
+suite as (select check_name, findings, findings = 0 or check_name = 'multi_indicator' as passed from checks)"""
 )
 
 SQL = {
     "duplicated_assets": _songs_sql(
-        "select song_id, product_indicator, asset_type, to_json(duplicates)::varchar as duplicates from songs"
+        "select song_id, product_indicator, asset_type, group_key, copy_count from songs"
+    ),
+    "duplicates_of_song": _songs_sql(
+        """select s.song_id, s.product_indicator, m.asset_id as duplicate_song_id, m.source as duplicate_source,
+                  case m.source when 'catalog_a' then 1 when 'catalog_b' then 3 else 0 end as duplicate_indicator
+           from songs s join members m on m.fingerprint = s.group_key
+           where s.song_id like '%7' and (m.asset_id <> s.song_id or m.source <> s.own_source)"""
     ),
     "scan_fingerprints": with_views(
         "fingerprint", "select asset_id, file_key, format, duration, fingerprint, source from usable order by source, asset_id", USABLE
@@ -142,11 +168,9 @@ SQL = {
     ),
     "exact_duplicate_groups": _members_sql("select fingerprint, asset_id, source, file_key, copy_count from members"),
     "duplicate_group_report": _members_sql(
-        """select row_number() over (order by copy_count desc, md5(fingerprint), fingerprint) as group_id,
-                  copy_count, is_cross_source, sources, assets, left(fingerprint, 50) || '...' as fingerprint_preview
-           from (select fingerprint, copy_count, is_cross_source, sources,
-                        string_agg(asset_id, ', ' order by source, asset_id) as assets
-                 from members group by fingerprint, copy_count, is_cross_source, sources)"""
+        """select group_id, copy_count, is_cross_source, sources, asset_id, source, left(fingerprint, 50) || '...' as fingerprint_preview
+           from (select *, row_number() over (order by copy_count desc, md5(fingerprint), fingerprint) as group_id from grp)
+           join (select fingerprint, asset_id, source from members) using (fingerprint)"""
     ),
     "high_copy_groups": _members_sql(
         "select fingerprint, copy_count, is_cross_source, sources from grp where copy_count >= 3"
@@ -199,9 +223,17 @@ SQL = {
                   count(*) filter (not json_valid(to_json(duplicates)::varchar)) as unparsable,
                   count(*) filter (json_type(to_json(duplicates)) <> 'ARRAY') as not_a_list,
                   count(*) filter (len(list_filter(duplicates, lambda d: d.product_indicator is null or d.song_id is null)) > 0) as missing_keys
-           from songs"""
+           from (select [{'product_indicator': case source when 'catalog_a' then 1 when 'catalog_b' then 3 else 0 end,
+                          'song_id': asset_id}] as duplicates from members)"""
+    ),
+    "dq_reciprocity": with_views(
+        "fingerprint",
+        """select a.group_key, b.group_key as other_group, count(*) as missing
+           from missing m join songs a using (song_id, product_indicator)
+           join songs b on b.song_id = m.listed_song_id and b.product_indicator = m.listed_indicator
+           group by all""",
+        PER_SONG + EDGES,
     ),
-    "dq_reciprocity": with_views("fingerprint", "select * from missing", PER_SONG + EDGES),
     "dq_known_key": _songs_sql("select count(*) as occurrences from songs where song_id = '1' and product_indicator = 3"),
     "dq_multi_indicator": _songs_sql(
         """select song_id, count(distinct product_indicator) as indicator_count from songs

@@ -9,7 +9,7 @@ from dupelens.functions.labels import status
 from dupelens.operators import candidates, clustering, compare, pair_space
 from dupelens.plans import fuzzy_detection as fuzzy
 from dupelens.queries.views import with_views
-from dupelens.runtime import materialize, spread
+from dupelens.runtime import materialize
 from dupelens.sources import fixtures
 from dupelens.sources.fingerprints import usable
 
@@ -17,7 +17,7 @@ TOLERANCE = 5.0
 
 
 def _texts(spark, sf):
-    return spread(fixtures.table(spark, sf, "documents"))
+    return fixtures.table(spark, sf, "documents")
 
 
 def _records(spark, sf):
@@ -166,9 +166,14 @@ def _formats(spark, sf):
     return compare.format_comparison(_records(spark, sf), "wav", "mp3")
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
 def _robust(spark, sf):
     items = _texts(spark, sf).select(
-        F.col("doc_id").alias("id"), sequences.token_hashes("text").alias("words")
+        F.col("doc_id").alias("id"),
+        sequences.token_hashes("text").alias("words"),
+        sequences.token_hashes(F.translate("text", LETTERS, LETTERS.upper())).alias("recased"),
     )
     return compare.robustness(items, F.xxhash64(F.lit("~filler~")))
 
@@ -203,6 +208,7 @@ SPARK = {
     "signal_pair_metrics": _signals,
     "format_comparison": _formats,
     "robustness_ranking": _robust,
+    "robustness_summary": lambda s, d: compare.robustness_summary(_robust(s, d)),
     "content_md5_duplicates": _hash_groups("md5"),
     "normalised_hash_duplicates": _hash_groups("sha256"),
     "tag_diff": _tags,
@@ -304,6 +310,25 @@ def _unit_sql(where: str = "", columns: str = "") -> str:
     )
 
 
+ROBUST = """with docs as (select doc_id as id, text, string_split(lower(text), ' ') as w, len(w) as n, n // 2 - 5 as m from documents),
+      versions as (
+        select id, n, 0 as created, 'exact_copy' as modification, w as altered from docs
+        union all select id, n, 1, 'trim_start', w[11:] from docs where n > 10
+        union all select id, n, 2, 'trim_end', w[:n - 10] from docs where n > 20
+        union all select id, n, 3, 'trim_middle', list_concat(w[:m], w[m + 11:]) from docs where n > 30
+        union all select id, n, 4, 'drop_tokens', list_filter(w, lambda t, i: i % 11 <> 0) from docs where n > 10
+        union all select id, n, 5, 'repeat_tokens', flatten(list_transform(w, lambda t, i: case when i % 10 = 0 then [t, t] else [t] end)) from docs
+        union all select id, n, 7, 'change_case', string_split(lower(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')), ' ') from docs
+        union all select id, n, 6, 'insert_start', list_concat(['~filler~', '~filler~', '~filler~', '~filler~', '~filler~'], w) from docs),
+      a as (select id, unnest(w) as t, unnest(range(n)) as pos from docs),
+      b as (select id, n, created, modification, len(altered) as k, unnest(altered) as t, unnest(range(len(altered))) as pos from versions),
+      votes as (select b.id, created, modification, n, k, a.pos - b.pos as shift, count(*) as hits
+                from a join b on a.id = b.id and a.t = b.t and abs(a.pos - b.pos) <= 120 group by all),
+      scored as (select v.id, v.created, v.modification, len(v.altered) - v.n as length_change,
+                        coalesce(s.hits, 0) / least(v.n, len(v.altered)) as similarity
+                 from versions v left join (select id, created, max(hits) as hits from votes group by id, created) s using (id, created))
+"""
+
 SQL = {
     "anchored_clusters": _clustered(
         """select duration, count(*) as n, cluster_start, any_value(cluster_size) as cluster_size
@@ -452,24 +477,11 @@ sized_{tol} as (select *, sum(n) over (partition by cluster_start) as cluster_si
          votes as (select p1.asset_id, n1, n2, p1.pos - p2.pos as shift, count(*) as hits
                    from p1 join p2 on p1.asset_id = p2.asset_id and p1.t = p2.t and abs(p1.pos - p2.pos) <= 120 group by all)""",
     ),
-    "robustness_ranking": """with docs as (select doc_id as id, string_split(lower(text), ' ') as w, len(w) as n, n // 2 - 5 as m from documents),
-      versions as (
-        select id, n, 0 as created, 'exact_copy' as modification, w as altered from docs
-        union all select id, n, 1, 'trim_start', w[11:] from docs where n > 10
-        union all select id, n, 2, 'trim_end', w[:n - 10] from docs where n > 20
-        union all select id, n, 3, 'trim_middle', list_concat(w[:m], w[m + 11:]) from docs where n > 30
-        union all select id, n, 4, 'drop_tokens', list_filter(w, lambda t, i: i % 11 <> 0) from docs where n > 10
-        union all select id, n, 5, 'repeat_tokens', flatten(list_transform(w, lambda t, i: case when i % 10 = 0 then [t, t] else [t] end)) from docs
-        union all select id, n, 6, 'insert_start', list_concat(['~filler~', '~filler~', '~filler~', '~filler~', '~filler~'], w) from docs),
-      a as (select id, unnest(w) as t, unnest(range(n)) as pos from docs),
-      b as (select id, n, created, modification, len(altered) as k, unnest(altered) as t, unnest(range(len(altered))) as pos from versions),
-      votes as (select b.id, created, modification, n, k, a.pos - b.pos as shift, count(*) as hits
-                from a join b on a.id = b.id and a.t = b.t and abs(a.pos - b.pos) <= 120 group by all),
-      scored as (select v.id, v.created, v.modification, len(v.altered) - v.n as length_change,
-                        coalesce(s.hits, 0) / least(v.n, len(v.altered)) as similarity
-                 from versions v left join (select id, created, max(hits) as hits from votes group by id, created) s using (id, created))
-      select id, modification, similarity, length_change::integer as length_change,
+    "robustness_ranking": ROBUST + """select id, modification, similarity, length_change::integer as length_change,
         row_number() over (partition by id order by similarity desc, created)::integer as rank from scored""",
+    "robustness_summary": ROBUST
+    + """select modification, count(*) as versions, round(avg(similarity), 9) as mean_similarity, min(similarity) as least_similarity,
+         max(similarity) as greatest_similarity from scored group by 1""",
     "content_md5_duplicates": "select md5(text) as md5, count(*) as copies from documents group by 1 having count(*) > 1",
     "normalised_hash_duplicates": """select sha256(regexp_replace(lower(trim(text)), '\\s+', ' ', 'g')) as sha256, count(*) as copies
       from documents group by 1 having count(*) > 1""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dupelens.functions import validation
 from dupelens.operators import run_stats
 from dupelens.operators.pairs import with_labels
-from dupelens.plans.exact_detection import duplicated_assets
+from dupelens.plans.exact_detection import detect
 from dupelens.queries.exact import PER_SONG
 from dupelens.queries.pairs import IS_STORED, STORED, _stored
 from dupelens.queries.views import with_views
@@ -67,30 +67,38 @@ def _stats(spark, sf):
     return stats
 
 
-def _songs(spark, sf):
-    return duplicated_assets(fixtures.fingerprint(spark, sf))
+def _round_trip(spark, sf, write, read):
+    """Writes the two result tables and reads them back: songs, each with the members counted in its group."""
+    back = {}
+    for name, rows in detect(fixtures.fingerprint(spark, sf)).tables().items():
+        path = fresh_path(spark, f"exported-{name}")
+        write(rows, path)
+        back[name] = read(spark.read.schema(rows.schema), path)
+    counted = back["members"].groupBy("group_key").agg(F.count(F.lit(1)).alias("members"))
+    return back["songs"].join(counted, "group_key")
 
 
 def _csv(spark, sf):
-    path = fresh_path(spark, "duplicates-csv")
-    exports.to_csv(_songs(spark, sf), path)
-    schema = "song_id string, product_indicator int, asset_type string, duplicates string"
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    return _round_trip(
+        spark, sf, exports.to_csv, lambda r, path: r.option("header", True).option("escape", '"').csv(path)
+    )
 
 
 def _jsonl(spark, sf):
-    path = fresh_path(spark, "duplicates-jsonl")
-    rows = _songs(spark, sf)
-    exports.to_jsonl(rows, path)
-    return spark.read.schema(rows.schema).json(path).withColumn("duplicates", F.to_json("duplicates"))
+    return _round_trip(spark, sf, exports.to_jsonl, lambda r, path: r.json(path))
 
 
 def _refresh(spark, sf):
-    path = fresh_path(spark, "duplicated-assets")
-    rows = _songs(spark, sf)
-    tables.full_refresh(rows, path)
-    tables.full_refresh(rows, path)
-    return spark.read.schema(rows.schema).parquet(path).withColumn("duplicates", F.to_json("duplicates"))
+    """Each table is refreshed twice; the second version replaces the first."""
+    database = "dupelens_refresh"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def twice(rows, path):
+        name = f"{database}.{path.rpartition('/')[2].replace('-', '_')}"
+        tables.full_refresh(rows.limit(0), name)
+        tables.full_refresh(rows, name)
+
+    return _round_trip(spark, sf, twice, lambda r, path: spark.table(f"{database}.{path.rpartition('/')[2].replace('-', '_')}"))
 
 
 def _append(spark, sf):
@@ -212,7 +220,10 @@ SPARK = {
 
 INGESTED = "select asset_id, file_key, source, file_size, processing_status, error_message from validated"
 SONGS = with_views(
-    "fingerprint", "select song_id, product_indicator, asset_type, to_json(duplicates)::varchar as duplicates from songs", PER_SONG
+    "fingerprint",
+    """select song_id, product_indicator, asset_type, group_key, copy_count,
+              (select count(*) from members m where m.fingerprint = s.group_key) as members from songs s""",
+    PER_SONG,
 )
 TYPED = """typed as (select *, case when similarity >= 0.95 then case when format_1 = format_2 and source_1 = source_2 then 'IDENTICAL'
       when source_1 = source_2 then 'SAME_CONTENT_DIFF_FORMAT' else 'CROSS_SOURCE_IDENTICAL' end

@@ -287,7 +287,7 @@ SQL = {
     ),
     "random_sample": with_views(
         "fingerprint",
-        """select song_id, product_indicator, asset_type, to_json(duplicates)::varchar as duplicates from songs
+        """select song_id, product_indicator, asset_type, group_key, copy_count from songs
            order by md5(concat_ws('|', '42', song_id, product_indicator)), song_id, product_indicator limit 5""",
         PER_SONG,
     ),

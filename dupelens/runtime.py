@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import reduce
 
@@ -11,18 +10,10 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
-
-    A local folder is used only where the setting is missing (unit tests).
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir`` where the cluster names it, else a folder of the
+    warehouse. Never a local temporary folder."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="dupelens-")
-        spark.sparkContext.setCheckpointDir(current)
-    return current.rstrip("/")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -42,15 +33,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads an input that is read in fewer splits than there are cores; any other passes unchanged.
-
-    For per-row work that is costly next to reading. Large inputs have many splits and are never moved.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def side_by_side(*totals: DataFrame) -> DataFrame:
     """Columns of several single-row frames in one row."""
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), totals)

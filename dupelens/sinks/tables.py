@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dupelens.operators.pairs import KEY_NAMES, unordered_key
+from dupelens.runtime import fresh_path
 from dupelens.schemas import DUPLICATED_ASSET, FINGERPRINT, PAIR
 from dupelens.sources.pair_files import CORRUPT, is_error
 
@@ -24,9 +25,20 @@ def create_tables(spark: SparkSession, database: str = "default") -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet")
 
 
-def full_refresh(rows: DataFrame, path: str) -> None:
-    """Replaces the whole result in one job commit."""
-    rows.write.mode("overwrite").parquet(path)
+def full_refresh(rows: DataFrame, table: str) -> None:
+    """Replaces the content of ``table``: writes a fresh path, then points the table to it.
+
+    Readers see the old rows or the new ones; a job that is lost on the way leaves the table as it was. The old
+    files stay for readers that hold them; the caller removes them.
+    """
+    spark = rows.sparkSession
+    path = fresh_path(spark, table.replace(".", "-"))
+    rows.write.parquet(path)
+    if spark.catalog.tableExists(table):
+        swap_location(spark, table, path)
+    else:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{path}'")
 
 
 def append(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -36,10 +48,13 @@ def append(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
 def upsert(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
     """``current`` with the rows of ``changes`` in place of those with equal keys.
 
-    Write the result to a new location and point the table to it (:func:`swap_location`): readers see the
-    old rows or the new ones, and a lost job leaves the table as it was.
+    A key that ``changes`` holds several times counts once, with the greatest of its rows (all other columns in
+    order), whatever the order of the input. Write the result to a new location and point the table to it
+    (:func:`swap_location`).
     """
-    return current.join(changes.select(*keys), keys, "left_anti").unionByName(changes)
+    rest = [c for c in changes.columns if c not in keys]
+    latest = changes.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("latest")).select(*keys, "latest.*") if rest else changes.distinct()
+    return current.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
 
 
 def swap_location(spark: SparkSession, table: str, path: str) -> None:
@@ -48,15 +63,17 @@ def swap_location(spark: SparkSession, table: str, path: str) -> None:
 
 
 def split_upload(lines: DataFrame, stored: DataFrame) -> DataFrame:
-    """Lines of a result file with their fate: ``uploaded``, ``skipped`` (already stored in either
-    orientation) or ``errors``."""
+    """Lines of a result file with their fate: ``uploaded``, ``skipped`` (already stored, or named by an earlier line, in
+    either orientation) or ``errors``. Of lines with one pair the least in the order of all their columns is uploaded."""
     keyed = lines.withColumn("is_error", is_error()).select("*", *unordered_key())
     known = stored.select(*unordered_key()).distinct().withColumn("known", F.lit(True))
-    return (
-        keyed.join(known, KEY_NAMES, "left")
-        .withColumn("fate", F.when(F.col("is_error"), "errors").when(F.col("known"), "skipped").otherwise("uploaded"))
-        .drop(*KEY_NAMES, "known", "is_error")
+    good = keyed.where("not is_error")
+    once = Window.partitionBy(*KEY_NAMES).orderBy(*(c for c in lines.columns if c != CORRUPT))
+    fates = good.withColumn("turn", F.row_number().over(once)).join(known, KEY_NAMES, "left").withColumn(
+        "fate", F.when(F.col("known") | (F.col("turn") > 1), "skipped").otherwise("uploaded")
     )
+    broken = keyed.where("is_error").withColumn("fate", F.lit("errors"))
+    return fates.select(*lines.columns, "fate").unionByName(broken.select(*lines.columns, "fate"))
 
 
 def new_rows(split: DataFrame) -> DataFrame:

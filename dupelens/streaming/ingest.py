@@ -51,7 +51,9 @@ def upload_pairs(source: DataFrame, path: str, checkpoint: str) -> None:
 
     def upload(batch: DataFrame, batch_id: int) -> None:
         stored = read_batches(batch.sparkSession, path, PAIR).where(F.col("batch_id") < batch_id)
-        once = batch.select("*", *unordered_key()).dropDuplicates(KEY_NAMES).drop(*KEY_NAMES)
+        # One row per key by a total order, so that a replay keeps the same one.
+        rows = batch.select(*PAIR.names, *unordered_key())
+        once = rows.groupBy(*KEY_NAMES).agg(F.min(F.struct(*PAIR.names)).alias("row")).select("row.*")
         fresh = not_stored(once, stored)
         fresh.select(*PAIR.names).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

@@ -1,4 +1,4 @@
-"""Duration clusters against a plain fold, on both the ordered-window and the range-cell path."""
+"""Duration clusters against a plain fold."""
 
 import random
 
@@ -25,20 +25,18 @@ def sample(kind, n=400, seed=7):
         return [float(rnd.randrange(1, 6000)) for _ in range(n)]
     if kind == "dense":
         return [float(rnd.randrange(1, 300)) for _ in range(n)]
+    if kind == "doubles":
+        return [rnd.uniform(1, 900) for _ in range(n)]
     if kind == "hot":
         return [30.0] * (n // 3) + [float(rnd.randrange(1, 900)) for _ in range(n)]
     return [rnd.randrange(1, 40000) / 8 for _ in range(n)]
 
 
-@pytest.mark.parametrize(
-    "kind, small",
-    [(kind, clustering.SMALL) for kind in ("sparse", "dense", "hot", "eighths")] + [("sparse", 0), ("hot", 0)],
-)
-def test_clusters_equal_a_plain_fold(spark, kind, small):
+@pytest.mark.parametrize("kind", ["sparse", "dense", "hot", "eighths", "doubles"])
+def test_clusters_equal_a_plain_fold(spark, kind):
     values = sample(kind)
     records = spark.createDataFrame([(v,) for v in values], "duration double")
-    durations = clustering.Durations(records, small)
-    assert durations.is_small == (small > 0)
+    durations = clustering.Durations(records)
     for anchored, build in ((True, clustering.anchored_clusters), (False, clustering.gap_clusters)):
         rows = build(durations, 5.0).collect()
         found = {(r["cluster_start"], r["cluster_size"]) for r in rows}

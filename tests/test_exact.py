@@ -5,18 +5,18 @@ from pyspark.sql import functions as F
 
 from dupelens.functions.ranking import number_by_count
 from dupelens.operators import exact, quality
-from dupelens.plans.exact_detection import duplicated_assets, write_result
-from dupelens.runtime import fresh_path
+from dupelens.plans.exact_detection import detect
 
 COLUMNS = "asset_id string, file_key string, source string, fingerprint string"
 
 
 def songs(spark, rows):
-    result = exact.per_song(exact.duplicate_members(spark.createDataFrame(rows, COLUMNS)))
-    return {
-        (r["song_id"], r["product_indicator"]): [(d["product_indicator"], d["song_id"]) for d in r["duplicates"]]
-        for r in result.collect()
-    }
+    members = exact.duplicate_members(spark.createDataFrame(rows, COLUMNS))
+    result = exact.per_song(members)
+    found = {(r["song_id"], r["product_indicator"]): [] for r in result.collect()}
+    for r in exact.duplicates_of(result, members).orderBy("duplicate_source", "duplicate_song_id").collect():
+        found[r["song_id"], r["product_indicator"]].append((r["duplicate_indicator"], r["duplicate_song_id"]))
+    return found
 
 
 def test_format_variants_of_one_asset_are_no_duplicates(spark):
@@ -52,31 +52,56 @@ def test_hot_group_keeps_all_rows(spark):
     assert all(len(others) == 299 for others in found.values())
 
 
-def test_groups_above_the_list_limit_stay_whole_in_the_member_table(spark):
-    rows = [(str(i), f"k{i}", "catalog_a", "x" if i < 10 else "y") for i in range(13)]
-    members = exact.duplicate_members(spark.createDataFrame(rows, COLUMNS))
-    result = {r["song_id"]: r for r in exact.per_song(members, list_limit=5).collect()}
-    assert len(result) == 13
-    assert result["0"]["duplicates"] is None and result["0"]["copy_count"] == 10
-    assert len(result["11"]["duplicates"]) == 2
-    assert members.where(F.col("fingerprint") == result["0"]["group_key"]).count() == 10
-
+def usable(frame):
+    return frame.withColumn("processing_status", F.lit("SUCCESS")).withColumn("duration", F.lit(9.0))
 
-def test_both_result_tables_are_written(spark):
-    rows = [(str(i), f"k{i}", "catalog_a", "x", "SUCCESS", 9.0) for i in range(3)]
-    frame = spark.createDataFrame(rows, COLUMNS + ", processing_status string, duration double")
-    one, two = fresh_path(spark, "songs"), fresh_path(spark, "members")
-    write_result(frame, one, two)
-    write_result(frame, one, two)
-    assert spark.read.parquet(one).count() == 3
-    assert spark.read.parquet(two).count() == 3
 
-
-def test_reciprocity_reports_one_sided_entries(spark):
+def test_a_large_group_is_whole_and_no_row_holds_a_list(spark):
+    frame = spark.range(30_050).select(
+        F.col("id").cast("string").alias("asset_id"),
+        F.concat(F.lit("k"), "id").alias("file_key"),
+        F.lit("catalog_a").alias("source"),
+        F.when(F.col("id") < 30_000, "hot").otherwise(F.concat(F.lit("u"), "id")).alias("fingerprint"),
+    )
+    found = detect(usable(frame))
+    assert found.members.count() == found.songs.count() == 30_000
+    assert found.songs.agg(F.min("copy_count"), F.max("copy_count")).first() == (30_000, 30_000)
+    assert not [kind for t in found.tables().values() for _, kind in t.dtypes if kind.startswith("array")]
+    assert exact.duplicates_of(found.songs.where("song_id = '7'"), found.members).count() == 29_999
+    assert quality.missing_reciprocals(found.songs, found.members).count() == 0
+
+
+def test_a_hot_fingerprint_is_split(spark):
+    settings = {
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        frame = spark.range(0, 300_000, 1, 8).select(
+            F.col("id").cast("string").alias("asset_id"),
+            F.sha2(F.col("id").cast("string"), 256).alias("file_key"),
+            F.lit("catalog_a").alias("source"),
+            F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") / 6).cast("int").cast("string")).alias("fingerprint"),
+        )
+        members = exact.duplicate_members(frame)
+        members.collect()
+        assert "skew=true" in members._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_reciprocity_counts_one_sided_edges_per_pair_of_groups(spark):
     rows = [("A", "A-wav", "catalog_b", "x"), ("A", "A-mp3", "catalog_b", "y"), ("B", "B-wav", "catalog_b", "x"), ("0", "0-wav", "catalog_b", "y")]
-    frame = spark.createDataFrame([(*r, "SUCCESS", 1.0) for r in rows], COLUMNS + ", processing_status string, duration double")
-    missing = quality.missing_reciprocals(duplicated_assets(frame)).collect()
-    assert [(r["song_id"], r["listed_song_id"]) for r in missing] == [("B", "A")]
+    found = detect(usable(spark.createDataFrame(rows, COLUMNS)))
+    missing = quality.missing_reciprocals(found.songs, found.members).collect()
+    assert [tuple(r) for r in missing] == [("x", "y", 1)]
 
 
 def test_audit_finds_broken_rows(spark):

@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as driver
+from dupelens.queries import check_sql, spark_queries
 from tests.compare import compare, connect
 from tests.conftest import SF_SMALL
 
-QUERIES = driver.queries()
-SQL = driver.oracle_sql()
+QUERIES = spark_queries()
+SQL = check_sql()
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +31,7 @@ def test_matches_sql(spark, duck, name):
 
 def test_entry_is_stable(spark):
     frame = driver.entry(spark)
-    assert frame.columns == ["song_id", "product_indicator", "asset_type", "duplicates"]
+    assert frame.columns == ["song_id", "product_indicator", "asset_type", "group_key", "copy_count"]
     assert frame.count() > 0
 
 

@@ -120,7 +120,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch], head: dict[str, int]) -> Ite
 
 
 def _weighted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Frequencies times pieces, added up per document; each distinct pre-token of the partition is counted once."""
+    """Frequencies times pieces; each distinct pre-token of the partition is counted once. Spark adds up per document."""
     known: dict[str, int] = {}
     for batch in batches:
         base = batch.filter(batch.column("part").is_null()).select(["row", "doc_id", "n", "size"])
@@ -138,12 +138,8 @@ def _weighted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.Recor
             known.update(zip(fresh, counter(path).counts(fresh).tolist(), strict=True))
         pieces = np.array([known[p] for p in names], np.int64)
         n = pieces[column.indices.to_numpy()] * rest.column("n").to_numpy()
-        rows, at = np.unique(rest.column("row").to_numpy(), return_inverse=True)
-        none = pa.nulls(len(rows), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows), none, pa.array(np.bincount(at, n, len(rows)).astype(np.int64)), none],
-            names=["row", "doc_id", "n", "size"],
-        )
+        none = pa.nulls(len(rest), pa.int64())
+        yield pa.RecordBatch.from_arrays([rest.column("row"), none, pa.array(n), none], names=["row", "doc_id", "n", "size"])
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:

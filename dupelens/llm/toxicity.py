@@ -35,9 +35,9 @@ class Settings:
     sample: int = 10_000
     features: int = 2_000
     support: int = 4
-    steps: int = 400
+    steps: int = 600
     rate: float = 0.1
-    shrink: float = 1e-4
+    shrink: float = 1e-5
 
 
 @dataclass

@@ -30,14 +30,15 @@ LONGEST_CACHE = 500_000
 
 @dataclass(frozen=True)
 class Settings:
-    """Bounds of the fit: labelled documents, features, and the least number of toxic documents with a feature."""
+    """Bounds of the fit: labelled documents, features, and the least number of toxic documents with a feature.
+    ``shrink`` is the precision of the weights' prior: the fewer the documents, the more it counts."""
 
     sample: int = 10_000
     features: int = 2_000
     support: int = 4
     steps: int = 600
     rate: float = 0.1
-    shrink: float = 1e-5
+    shrink: float = 0.1
 
 
 @dataclass
@@ -137,7 +138,7 @@ def noisy_or_fit(rows: list[tuple[int, int, list[list[int]]]], n_features: int,
         pull = np.where(label == 1, -1 / np.expm1(np.minimum(total, 50)), 1.0)
         by_sentence = pull[owner] / (1 + np.exp(-z))
         slope = np.empty_like(theta)
-        slope[:-1] = np.bincount(what, by_sentence[at], n_features) / len(rows) + settings.shrink * w
+        slope[:-1] = np.bincount(what, by_sentence[at], n_features) / len(rows) + settings.shrink / len(rows) * w
         slope[-1] = (by_sentence.sum() + (pull * plain).sum() / (1 + np.exp(-bias))) / len(rows)
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope * slope

@@ -43,7 +43,7 @@ class Rule:
 
     words: int = 3
     percent: int = 90
-    skip: int = 5
+    skip: int = 10
 
     def needed(self, n):
         """Least overlap of a set of size ``n`` with any partner; works on numbers, arrays and columns."""
@@ -182,7 +182,8 @@ def checked(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 def meeting_classes(sketch: DataFrame, rule: Rule) -> DataFrame:
     """``(x)``: the classes that share one of their first shingles, the commonest ones left out, with another class."""
     entries = sketch.where("x is not null").select("x", "n", F.explode("prefix").alias("s"))
-    lengths = entries.groupBy("s").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
+    # Written, so that the join has two plain shuffles and a long list can be split.
+    lengths = keep(entries.groupBy("s").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "lengths")
     shared = keep(entries.join(lengths, "s").select("s", "x", "n"), "lists").distinct()
     lengths = shared.groupBy("s").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
     longest = Window.partitionBy("x").orderBy(F.desc("length"), "s")
@@ -198,7 +199,7 @@ def short_lists(sets: DataFrame, rule: Rule) -> DataFrame:
     Lists of one class only are the shortest and meet nothing, so they are counted but not kept.
     """
     entries = sets.select("x", F.size("shingles").cast("long").alias("n"), F.explode("shingles").alias("s"))
-    lengths = entries.groupBy("s").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
+    lengths = keep(entries.groupBy("s").agg(F.count(F.lit(1)).alias("length")).where("length > 1"), "lengths")
     shared = keep(entries.join(lengths, "s").select("s", "x", "n", "length"), "lists")
     own = Window.partitionBy("x")
     rank = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("length", "s"))
@@ -273,10 +274,12 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """
     sketch = keep(sketched(docs, rule), "sketch")
     roots = linked_classes(docs, sketch, rule)
-    members = sketch.select("doc_id", "n", "x").join(roots.withColumnRenamed("a", "x"), "x", "left")
-    members = members.withColumn("root", F.coalesce("root", "x"))
-    least = members.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return members.join(least, "root", "left").select(
+    firsts = sketch.where("x is not null").groupBy("x").agg(F.min("doc_id").alias("first"))
+    rooted = firsts.join(roots.withColumnRenamed("a", "x"), "x", "left").withColumn("root", F.coalesce("root", "x"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    of_class = keep(rooted.join(least, "root").select("x", "component_id"), "components")
+    # Copies of one text are all of one class: nothing follows this join, so that a hot class can be split.
+    return sketch.select("doc_id", "n", "x").join(of_class, "x", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 

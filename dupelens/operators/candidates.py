@@ -18,7 +18,7 @@ longer side offers all sizes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -227,7 +227,16 @@ def score_pairs(pairs: DataFrame, classes: DataFrame, max_offset: int = MAX_OFFS
     )
 
 
-def similar_classes(classes: DataFrame, threshold: float, max_offset: int = MAX_OFFSET) -> DataFrame:
-    """All pairs of different content in one cluster with a similarity of at least ``threshold``."""
-    scored = score_pairs(candidate_pairs(classes, threshold), classes, max_offset)
+def similar_classes(
+    classes: DataFrame,
+    threshold: float,
+    max_offset: int = MAX_OFFSET,
+    wanted: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """All pairs of different content in one cluster with a similarity of at least ``threshold``.
+
+    ``wanted`` narrows the candidates (class_1, class_2) before any content is moved or scored.
+    """
+    pairs = candidate_pairs(classes, threshold)
+    scored = score_pairs(wanted(pairs) if wanted else pairs, classes, max_offset)
     return scored.where(F.col("similarity") >= threshold)

@@ -8,6 +8,7 @@ where a list of file pairs would grow with its square; ``unit_members`` names th
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -119,10 +120,31 @@ def in_mode(unit_pairs: DataFrame, mode: str) -> DataFrame:
     return unit_pairs.where(same_source if mode == "same-source" else ~same_source)
 
 
+def _possible_in_mode(classes: DataFrame, records: DataFrame, mode: str) -> Callable[[DataFrame], DataFrame] | None:
+    """Keeps the class pairs that can have a file pair of the mode, by the sources of either class."""
+    if mode == "all":
+        return None
+    of_content = records.groupBy("cluster_start", "fingerprint").agg(F.collect_set("source").alias("sources"))
+    sources = classes.select("class_id", "cluster_start", "fingerprint").join(of_content, ["cluster_start", "fingerprint"])
+
+    def wanted(pairs: DataFrame) -> DataFrame:
+        for side in (1, 2):
+            own = sources.select(F.col("class_id").alias(f"class_{side}"), F.col("sources").alias(f"sources_{side}"))
+            pairs = pairs.join(own, f"class_{side}")
+        shared = F.arrays_overlap("sources_1", "sources_2")
+        alone = shared & (F.size(F.array_union("sources_1", "sources_2")) == 1)
+        return pairs.where(shared if mode == "same-source" else ~alone).select("class_1", "class_2")
+
+    return wanted
+
+
 def detect(blocked: Blocked, mode: str = "all", threshold: float = DEFAULT_THRESHOLD) -> DataFrame:
     """Labelled pairs of units with a similarity of at least ``threshold``."""
     classes = candidates.content_classes(blocked.records)
-    class_pairs = materialize(candidates.similar_classes(classes, threshold), "similar-classes")
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}: expected one of {MODES}")
+    wanted = _possible_in_mode(classes, blocked.records, mode)
+    class_pairs = materialize(candidates.similar_classes(classes, threshold, wanted=wanted), "similar-classes")
     return in_mode(similar_units(blocked.records, class_pairs), mode)
 
 

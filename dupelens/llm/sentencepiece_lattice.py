@@ -17,17 +17,20 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import chain, count
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from dupelens.llm.tables import texts
+from dupelens.llm.tables import texts, tidy
 
 SPACE = "▁"
 PART = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-LONGEST_CACHE = 300_000
+LONGEST_CACHE = 500_000
+MISSING = object()
+NEVER = float("-inf")
 BEST = 4
 BYTE_GAP = 10.0
 #: Pieces at or below this score are in the model file for completeness only.
@@ -58,32 +61,43 @@ class Lattice:
                 self.piece.append(name)
         if any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in self.score):
             raise ValueError("pieces of this model cross a space or a line break")
-        self.beginnings = {p[:n] for p in self.score for n in range(1, len(p) + 1)}
+        # Pieces and all their beginnings; a beginning that is no piece has no score.
+        self.found: dict[str, tuple[float, int] | None] = {p[:n]: None for p in self.score for n in range(1, len(p) + 1)}
+        self.found.update(self.score)
+        # The same as a tree by character: for each its edge, if a piece ends there, and what may follow.
+        self.tree: dict = {}
+        for name, edge in self.found.items():
+            node = self.tree
+            for char in name[:-1]:
+                node = node.setdefault(char, [None, {}])[1]
+            node.setdefault(name[-1], [None, {}])[0] = edge
+        self.inside = {p[i : i + 2] for p in self.score for i in range(len(p) - 1)}
+        self.bytes = [p if isinstance(p, bytes) else p.encode("utf-8") for p in self.piece]
         self.fallback = min((s for s, _ in self.score.values() if s > UNWANTED), default=0.0) - BYTE_GAP
         self.known: dict[str, tuple[float, tuple[int, ...], float]] = {}
         self.several: dict[tuple[str, int], list[Path]] = {}
 
+    def by_bytes(self, char: str) -> tuple[float, tuple[int, ...]]:
+        raw = char.encode("utf-8", "surrogatepass")
+        return self.fallback * len(raw), tuple(self.byte[b] for b in raw)
+
     def forward(self, part: str) -> tuple[list[float], list[list[tuple[int, float, tuple[int, ...]]]]]:
         """Viterbi scores of all positions, and the edges ``(begin, score, ids)`` that end at each."""
         n = len(part)
         best = [0.0] + [float("-inf")] * n
         ending: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(n + 1)]
-        score, beginnings = self.score, self.beginnings
         for i in range(n):
             here, j, single = best[i], i + 1, False
-            while j <= n and (name := part[i:j]) in beginnings:
-                found = score.get(name)
-                if found is not None:
+            while j <= n and (edge := self.found.get(part[i:j], MISSING)) is not MISSING:
+                if edge is not None:
                     single |= j == i + 1
-                    ending[j].append((i, found[0], (found[1],)))
-                    if here + found[0] > best[j]:
-                        best[j] = here + found[0]
+                    ending[j].append((i, edge[0], (edge[1],)))
+                    best[j] = max(best[j], here + edge[0])
                 j += 1
             if not single:
-                raw = part[i].encode("utf-8", "surrogatepass")
-                edge = self.fallback * len(raw)
-                ending[i + 1].append((i, edge, tuple(self.byte[b] for b in raw)))
-                best[i + 1] = max(best[i + 1], here + edge)
+                score, ids = self.by_bytes(part[i])
+                ending[i + 1].append((i, score, ids))
+                best[i + 1] = max(best[i + 1], here + score)
         return best, ending
 
     def paths(self, part: str, most: int) -> list[Path]:
@@ -107,32 +121,66 @@ class Lattice:
         return out
 
     def solve(self, part: str) -> tuple[float, tuple[int, ...], float]:
-        """Best score and ids of a part, and how much its second best segmentation loses."""
-        found = self.known.get(part)
-        if found is not None:
+        """Best score and ids of a part, and how much its second best segmentation loses: Viterbi with the two best
+        scores of each position. Between two characters that stand in no piece the lattice falls apart further, and
+        the second best differs in the side where that costs least."""
+        n, inside, known = len(part), self.inside, self.known
+        if len(known) >= LONGEST_CACHE:
+            known.clear()
+        cuts = [i for i in range(1, n) if part[i - 1 : i + 1] not in inside]
+        if cuts:
+            sides = [part[a:b] for a, b in zip([0, *cuts], [*cuts, n], strict=True)]
+            solved = [known.get(p) or self.solve(p) for p in sides]
+            found = known[part] = (
+                sum(map(itemgetter(0), solved)),
+                tuple(chain.from_iterable(map(itemgetter(1), solved))),
+                min(map(itemgetter(2), solved)),
+            )
             return found
-        best, ending = self.forward(part)
-        n = len(part)
-        after = [float("-inf")] * n + [0.0]
-        for j in range(n, 0, -1):
-            for begin, edge, _ in ending[j]:
-                if after[j] + edge > after[begin]:
-                    after[begin] = after[j] + edge
-        at, ids, taken = n, (), set()
+        first, second = [NEVER] * (n + 1), [NEVER] * (n + 1)
+        back: list = [None] * (n + 1)
+        first[0] = 0.0
+        for i in range(n):
+            one, two = first[i], second[i]
+            node, j, single = self.tree, i, False
+            while j < n:
+                step = node.get(part[j])
+                if step is None:
+                    break
+                edge, node = step
+                j += 1
+                if edge is None:
+                    continue
+                single = single or j == i + 1
+                gain = edge[0]
+                score = one + gain
+                if score > first[j]:
+                    other = two + gain
+                    second[j] = first[j] if first[j] > other else other
+                    first[j] = score
+                    back[j] = (i, edge[1])
+                elif score > second[j]:
+                    second[j] = score
+            if not single:
+                gain, ids = self.by_bytes(part[i])
+                j, score = i + 1, one + gain
+                if score > first[j]:
+                    second[j] = max(first[j], two + gain)
+                    first[j] = score
+                    back[j] = (i, ids)
+                elif score > second[j]:
+                    second[j] = score
+        at, ids = n, []
         while at:
-            begin, edge, own = max(ending[at], key=lambda e: best[e[0]] + e[1])
-            taken.add((begin, at))
-            at, ids = begin, own + ids
-        second = max(
-            (best[b] + s + after[j] for j in range(1, n + 1) for b, s, _ in ending[j] if (b, j) not in taken),
-            default=float("-inf"),
-        )
-        found = (best[n], ids, best[n] - second)
-        if len(self.known) >= LONGEST_CACHE:
-            self.known.clear()
-        self.known[part] = found
+            at, own = back[at]
+            ids.extend((own,) if isinstance(own, int) else own[::-1])
+        ids.reverse()
+        found = known[part] = (first[n], tuple(ids), first[n] - second[n])
         return found
 
+    def best_ids(self, part: str) -> tuple[int, ...]:
+        return (self.known.get(part) or self.solve(part))[1]
+
     def parts(self, text: str) -> list[str]:
         return PART.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
@@ -141,14 +189,10 @@ class Lattice:
         first, each naming only the parts that differ from the best; and the parts."""
         parts = self.parts(text)
         known, solve = self.known, self.solve
-        ids: list[int] = []
-        losses = np.empty(len(parts))
-        total = 0.0
-        for i, part in enumerate(parts):
-            score, own, loss = known.get(part) or solve(part)
-            ids += own
-            total += score
-            losses[i] = loss
+        solved = [known.get(p) or solve(p) for p in parts]
+        ids = list(chain.from_iterable(map(itemgetter(1), solved)))
+        total = float(sum(map(itemgetter(0), solved)))
+        losses = np.fromiter(map(itemgetter(2), solved), float, len(solved))
         near = np.argpartition(losses, most - 1)[: most - 1] if len(parts) >= most else np.arange(len(parts))
         options: list[tuple[float, list[tuple[int, int]]]] = [(0.0, [])]
         for i in sorted(near.tolist()):
@@ -168,17 +212,12 @@ class Lattice:
     def segmentation(self, parts: list[str], changed: list[tuple[int, int]], most: int = BEST) -> list[int]:
         """The ids of one of the N best."""
         other = dict(changed)
-        return [t for i, p in enumerate(parts) for t in (self.paths(p, most)[other[i]][1] if i in other else self.solve(p)[1])]
+        return [t for i, p in enumerate(parts) for t in (self.paths(p, most)[other[i]][1] if i in other else self.best_ids(p))]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; a space symbol in the text comes back as a space."""
-        piece = self.piece
-        try:
-            whole = "".join([piece[i] for i in ids])
-        except TypeError:
-            raw = b"".join(p if isinstance(p, bytes) else p.encode("utf-8", "surrogatepass") for p in (piece[i] for i in ids))
-            whole = raw.decode("utf-8", "replace")
-        return whole.replace(SPACE, " ")[1:]
+        raw = self.bytes
+        return b"".join([raw[i] for i in ids]).decode("utf-8", "replace").replace(SPACE, " ")[1:]
 
 
 @lru_cache(maxsize=2)
@@ -205,7 +244,7 @@ def _columns(column: pa.Array, model: Lattice, most: int) -> list[pa.Array]:
         sizes.append(len(ids))
         scores.append(best[0][0])
         several.append([s for s, _ in best])
-        more = [sum(len(model.paths(parts[i], most)[r][1]) - len(model.solve(parts[i])[1]) for i, r in c) for _, c in best]
+        more = [sum(len(model.paths(parts[i], most)[r][1]) - len(model.best_ids(parts[i])) for i, r in c) for _, c in best]
         tokens.append([len(ids) + m for m in more])
         same.append(model.decode(ids) == text.replace(SPACE, " "))
     offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -239,6 +278,7 @@ def encoded(docs: DataFrame, path: str | None = None, most: int = BEST) -> DataF
         for batch in batches:
             for part in _slices(batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), *_columns(part.column("text"), model, most)], names=names)
+        tidy(model.known, model.several)
 
     return texts(docs).mapInArrow(run, "doc_id long, " + SCHEMA)
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dupelens.llm.components import components
-from dupelens.llm.tables import keep, texts
+from dupelens.llm.tables import keep, texts, tidy
 from dupelens.llm.words import row_shingles
 
 SLOTS = 1 << 20
@@ -113,7 +113,7 @@ def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
                 key = class_key(unique) if len(unique) else None
                 fresh = key is not None and key not in seen
                 if fresh:
-                    if len(seen) >= 1_000_000:
+                    if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(key)
                 sizes.append(len(unique))
@@ -123,6 +123,7 @@ def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), _long_lists(prefixes)],
                 names=["doc_id", "n", "x", "prefix"],
             )
+        tidy()
 
     return texts(docs).mapInArrow(run, "doc_id long, n long, x long, prefix array<long>")
 
@@ -146,7 +147,7 @@ def whole_sets(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
                 unique = np.unique(found)
                 key = class_key(unique) if len(unique) else 0
                 if len(unique) and hit[key & (SLOTS - 1)] and key not in seen:
-                    if len(seen) >= 1_000_000:
+                    if len(seen) >= 200_000:
                         seen.clear()
                     seen.add(key)
                     keys.append(key)
@@ -157,6 +158,7 @@ def whole_sets(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
                 [pa.array(keys, pa.int64()), _long_lists(sets), *(pa.array(np.ascontiguousarray(c)) for c in bits.T)],
                 names=["x", "shingles", *PARITY],
             )
+        tidy()
 
     made = texts(docs).mapInArrow(run, "x long, shingles array<long>, " + ", ".join(f"{p} long" for p in PARITY))
     return made.join(wanted, "x", "left_semi").dropDuplicates(["x"])

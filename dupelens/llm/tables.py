@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,5 +36,28 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
 
 
+def tidy(*caches: dict) -> None:
+    """At the end of a task: Python workers live on for later tasks, which need the memory of this one."""
+    for cache in caches:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def most_frequent(counts: DataFrame, n: str, most: int) -> DataFrame:
+    """The rows of a count table with the greatest ``n``, as many as fit into ``most``.
+
+    The border is found from a histogram of logarithms, a few hundred rows: no task and not the driver takes part of each
+    partition, as an ordered limit would.
+    """
+    step = F.floor(F.log2(F.col(n) + 1) * 16).cast("int")
+    room, border = most, None
+    for row in sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        room -= row["count"]
+        if room < 0:
+            break
+        border = row["step"]
+    return counts.where(step >= border) if border is not None else counts.limit(0)

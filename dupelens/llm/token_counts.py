@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dupelens.llm.sentencepiece_lattice import PART, SPACE, model_path
-from dupelens.llm.tables import texts
+from dupelens.llm.tables import keep, most_frequent, texts
 
 HEAD = 1 << 16
 HEAD_CHARS = 64
@@ -74,8 +74,8 @@ def head_counts(source: DataFrame, path: str, head: int = HEAD) -> dict[str, int
 
     rows = max(1, source.count())
     sample = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, rows // SAMPLE))) == 0)
-    counts = sample.mapInArrow(run, "part string, n long").groupBy("part").agg(F.sum("n").alias("n"))
-    parts = [r["part"] for r in counts.orderBy(F.desc("n"), "part").limit(head).select("part").collect()]
+    counts = keep(sample.mapInArrow(run, "part string, n long").groupBy("part").agg(F.sum("n").alias("n")), "pretokens")
+    parts = [r["part"] for r in most_frequent(counts, "n", head).select("part").collect()]
     return dict(zip(parts, counter(path).counts(parts).tolist(), strict=True)) if parts else {}
 
 

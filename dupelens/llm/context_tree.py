@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dupelens.llm.tables import keep, texts
+from dupelens.llm.tables import keep, most_frequent, texts
 from dupelens.llm.words import IS_WORD, LOWER, chunks, mixed, powers, utf8, word_spans
 
 DEPTH = 5
@@ -356,7 +356,8 @@ def head_words(source: DataFrame) -> np.ndarray:
     rows = max(1, source.count())
     sample = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, rows // SAMPLE))) == 0)
     counts = sample.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    keys = counts.orderBy(F.desc("n"), "key").limit(HEAD_WORDS).select("key").toArrow().column("key").to_numpy()
+    common = most_frequent(keep(counts, "sampled-words"), "n", HEAD_WORDS)
+    keys = common.select("key").toArrow().column("key").to_numpy()
     return np.sort(keys.view(np.uint64))
 
 
@@ -373,7 +374,7 @@ def scores(docs: DataFrame) -> DataFrame:
     nearest = F.shiftright("key", 8 * (DEPTH + 1 - GROUPED)).cast("int")
     runs = gathered.where(F.col("kind") == RUN).groupBy("key").agg(F.sum("trained").alias("n"))
     scored = keep(scored_runs(keep(runs.withColumn("nearest", nearest), "runs")), "scored-runs")
-    top = scored.orderBy(F.desc("n"), "key").limit(HEAD_RUNS).select("key", "p").toArrow()
+    top = most_frequent(scored, "n", HEAD_RUNS).select("key", "p").toArrow()
     table = RunTable(top.column("key").to_numpy().view(np.uint64), top.column("p").to_numpy())
 
     counts = np.zeros(len(head) + 1)

@@ -20,12 +20,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dupelens.llm.tables import texts
+from dupelens.llm.tables import texts, tidy
 
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 THRESHOLD = 0.7
-LONGEST_CACHE = 500_000
+LONGEST_CACHE = 200_000
 
 
 @dataclass(frozen=True)
@@ -78,13 +78,18 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "clean": pa.array([counts[0][n] for n in names], pa.int64()),
         }
     )
+    tidy(*counts)
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
     """``(doc_id, toxic, text)`` of a bounded number of labelled documents that are not held out."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~in_fold())
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample)
+    # A first cut by the hash leaves somewhat more than the sample, so the ordered limit sees a bounded number of rows.
+    share = min(1.0, 1.2 * settings.sample / max(1, labels.count()) + 1e-9)
+    order = F.xxhash64("doc_id")
+    cut = known.where(F.pmod(order, F.lit(1 << 30)) < F.lit(int(share * (1 << 30)) + 1))
+    chosen = cut.orderBy(F.pmod(order, F.lit(1 << 30)), "doc_id").limit(settings.sample)
     return texts(docs).join(F.broadcast(chosen), "doc_id")
 
 
@@ -206,6 +211,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             scores = [scorer.document(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+        tidy(scorer.known)
 
     return texts(docs).mapInArrow(run, "doc_id long, score double")
 
@@ -256,6 +262,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Setti
         for batch in batches:
             keep = [scorer.document(t.as_py() or "") < THRESHOLD for t in batch.column("text")]
             yield batch.filter(pa.array(keep, pa.bool_()))
+        tidy(scorer.known)
 
     texts(docs)
     return docs.mapInArrow(run, schema)

@@ -20,6 +20,7 @@ from dupelens.llm import (
     license_scan,
     sentencepiece_lattice,
     sharding,
+    tables,
     token_counts,
     toxicity,
     words,
@@ -263,6 +264,13 @@ def test_n_best_of_a_text_equals_the_whole_lattice(lattice):
         assert lattice.decode(lattice.segmentation(parts, changed)) == text
 
 
+def test_long_parts_without_a_cut_or_full_of_cuts(lattice):
+    for text in ("☃ü" * 20_000, "a" * 20_000, "\u2581" * 3_000, "xq7" * 5_000):
+        ids, best, _ = lattice.n_best(text, 2)
+        assert lattice.decode(ids) == text.replace("\u2581", " ")
+        assert len(best) == 1 or best[0][0] >= best[1][0]
+
+
 def test_encoding_round_trip(spark):
     docs = documents(spark)
     made = sentencepiece_lattice.encoded(docs)
@@ -374,6 +382,13 @@ def test_tree_scores_do_not_depend_on_the_head_table(spark, monkeypatch):
         assert after[i] == pytest.approx(before[i])
 
 
+def test_most_frequent_keeps_the_greatest_within_the_room(spark):
+    counts = spark.createDataFrame([(i, n) for i, n in enumerate([9, 1, 1, 5, 70, 0, 1])], "key long, n long")
+    assert {r.n for r in tables.most_frequent(counts, "n", 4).collect()} == {70, 9, 5}
+    assert tables.most_frequent(counts, "n", 100).count() == 7
+    assert tables.most_frequent(counts, "n", 0).count() == tables.most_frequent(counts.limit(0), "n", 5).count() == 0
+
+
 def test_sharding(spark):
     data = [*rows(), *((300 + i, "one text of a hot group") for i in range(1500)), *((3000 + i, prose(i % 40, 30)) for i in range(400)), (0, "again")]
     found = sharding.sharded(documents(spark, data)).collect()

@@ -107,14 +107,14 @@ class Lattice:
         best, ending = self.forward(part)
         out: list[Path] = []
         order = count()
-        queue = [(-best[-1], next(order), len(part), 0.0, ())]
+        queue = [(-best[-1], -next(order), len(part), 0.0, ())]
         while queue and len(out) < most:
             _, _, at, behind, ids = heapq.heappop(queue)
             if at == 0:
                 out.append((behind, ids))
                 continue
             for begin, edge, own in ending[at]:
-                heapq.heappush(queue, (-(best[begin] + edge + behind), next(order), begin, edge + behind, own + ids))
+                heapq.heappush(queue, (-(best[begin] + edge + behind), -next(order), begin, edge + behind, own + ids))
         if len(self.several) >= LONGEST_CACHE:
             self.several.clear()
         self.several[part, most] = out

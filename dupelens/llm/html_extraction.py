@@ -2,9 +2,10 @@
 
 A page is read into text leaves with their paths of block elements. For each path the text length and the punctuation
 are taken per leaf, less what is link text; both series are smoothed over the leaves in page order, scaled and
-multiplied, and leaves at or above a share of their mean are content. The article is the innermost element that holds
-nearly all content; all its blocks belong to the text, so short paragraphs and headings are not lost. Elements whose
-tag, role, class or id says that they are no article text (menus, footers, forms, comments and the like) are left out.
+multiplied, and leaves at or above a share of their mean are content, as are lists, tables and code that are not mostly
+links. The article is the article or main element around nearly all content, else the innermost element around all of it;
+all its blocks belong to the text, so short paragraphs, headings and small sections are not lost. Elements whose tag, role,
+class or id says that they are no article text (menus, footers, forms, comments and the like) are left out.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ CLOSES_P = frozenset(
 )
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 LISTS = frozenset("ul ol dl table".split())
+#: Elements whose text is content even though it is short and without punctuation.
+STRUCTURES = LISTS | {"pre", "code"}
 NOISE_WORDS = frozenset(
     "nav navbar navigation menu sidebar footer header masthead topbar ad ads advert adverts advertisement advertising "
     "banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
@@ -49,8 +52,10 @@ NOISE_WORDS = frozenset(
     "breadcrumbs pagination pager newsletter subscribe subscription signup login search form widget toolbar skip".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-#: Elements that hold an article as a whole; the innermost one around the content is taken.
+#: Elements that hold an article as a whole.
 CONTAINERS = frozenset("body main article section div center td".split()) | {""}
+ARTICLES = frozenset("article main".split())
+TABLE_PARTS = frozenset("table caption thead tbody tfoot tr td th".split())
 SMOOTHING = np.array([0.05, 0.25, 0.4, 0.25, 0.05])
 SHARE = 0.3
 HELD = 0.9
@@ -90,10 +95,10 @@ def _is_noise(tag: str, attributes: str) -> bool:
 class Leaf:
     """A piece of text: its block element, its text, whether it is in a link, and the number of its block."""
 
-    __slots__ = ("node", "text", "link", "block")
+    __slots__ = ("node", "text", "link", "block", "structure")
 
-    def __init__(self, node: Node, text: str, link: bool, block: int):
-        self.node, self.text, self.link, self.block = node, text, link, block
+    def __init__(self, node: Node, text: str, link: bool, block: int, structure: Node | None):
+        self.node, self.text, self.link, self.block, self.structure = node, text, link, block, structure
 
 
 def leaves(page: str) -> list[Leaf]:
@@ -106,7 +111,7 @@ def leaves(page: str) -> list[Leaf]:
 
     def add(text: str) -> None:
         if not stack[-1].noise and text:
-            out.append(Leaf(_block_of(stack[-1]), html.unescape(text), links > 0, block))
+            out.append(Leaf(_block_of(stack[-1]), html.unescape(text), links > 0, block, _nearest(stack[-1], STRUCTURES)))
 
     while at < size:
         found = TOKEN.search(page, at)
@@ -206,12 +211,33 @@ def _scores(found: list[Leaf]) -> np.ndarray:
     return np.sqrt(series[0] * (series[1] + 0.05))
 
 
+def _structured(found: list[Leaf], content: np.ndarray) -> np.ndarray:
+    """Whether each leaf stands in a list, a table or code that is not mostly links; tables around prose are layout."""
+    size: dict[Node, int] = defaultdict(int)
+    layout: set[Node] = set()
+    for leaf, good in zip(found, content, strict=True):
+        own = leaf.structure
+        if own is None:
+            continue
+        n = len(leaf.text.strip())
+        size[own] += -n if leaf.link else n
+        if own.tag == "table":
+            if good and n and leaf.node.tag not in TABLE_PARTS:
+                layout.add(own)
+            while (own := _nearest(own.parent, LISTS)) is not None:
+                layout.add(own)
+    return np.array([x.structure is not None and size[x.structure] > 0 and x.structure not in layout for x in found], bool)
+
+
 def _article(found: list[Leaf], content: np.ndarray) -> Node | None:
-    """The innermost element that holds nearly all content text."""
+    """The article or main element around nearly all content text, else the innermost element around all of it.
+
+    Links do not count: smoothing lifts those of a menu beside the article. Those inside the element belong to the text.
+    """
     weight: dict[Node, int] = defaultdict(int)
     total = 0
     for leaf, good in zip(found, content, strict=True):
-        size = len(leaf.text.strip()) if good else 0
+        size = len(leaf.text.strip()) if good and not leaf.link else 0
         if not size:
             continue
         total += size
@@ -220,7 +246,23 @@ def _article(found: list[Leaf], content: np.ndarray) -> Node | None:
             weight[node] += size
             node = node.parent
     holding = [n for n, w in weight.items() if w >= HELD * total and n.tag in CONTAINERS]
-    return max(holding, key=lambda n: n.depth, default=None)
+    inner = max(holding, key=lambda n: n.depth, default=None)
+    if inner is None:
+        return None
+    marked = _nearest(inner, ARTICLES)
+    if marked is None:
+        return max((n for n in holding if weight[n] == total), key=lambda n: n.depth)
+    around = _nearest(marked.parent, ARTICLES)
+    while around is not None and not any(n.tag == "article" and n is not marked and _inside(n, around) and not _inside(n, marked) and not _inside(marked, n) for n in weight):
+        marked, around = around, _nearest(around.parent, ARTICLES)
+    return marked
+
+
+def _nearest(node: Node | None, tags: frozenset[str]) -> Node | None:
+    """The node or its nearest ancestor with one of the tags."""
+    while node is not None and node.tag not in tags:
+        node = node.parent
+    return node
 
 
 def _inside(node: Node | None, top: Node) -> bool:
@@ -239,8 +281,9 @@ def main_text(page: str) -> str:
     scores = _scores(found)
     content = scores >= SHARE * scores.mean() if scores.max() > 0 else np.ones(len(found), bool)
     marked = next((n for n in _ancestors(found) if n.tag == "article"), None)
+    content |= _structured(found, content)
     top = _article(found, content)
-    if top is not None and marked is not None and _inside(marked, top):
+    if top is not None and top.tag not in ARTICLES and marked is not None and _inside(marked, top):
         top = marked if _weight(found, marked) >= HELD * _weight(found, top) else top
     blocks: dict[int, list[Leaf]] = {}
     for leaf in found:

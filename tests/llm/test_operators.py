@@ -173,6 +173,27 @@ def test_html_extraction(spark):
     assert html_extraction.extracted(pages.limit(0)).count() == 0
 
 
+LONG = "<p>" + "This is a sentence of the article, and it goes on. " * 12 + "</p>"
+NAV = "<nav><a href=/>Home</a></nav><div><a href=/a>One</a> <a href=/b>Two</a></div>"
+
+
+@pytest.mark.parametrize(
+    ("body", "wanted"),
+    [
+        (f"{NAV}<article><h1>Title</h1><p>Lead</p><div class=body>{LONG * 8}</div></article>", ["Title", "Lead"]),
+        (f"{NAV}<main><h1>Title</h1><article><div>{LONG * 8}</div></article></main>", ["Title"]),
+        (f"{NAV}<article><section>{LONG * 12}</section><section><p>Second part, the end.</p></section></article>", ["Second part, the end."]),
+        (f"{NAV}<div><div>{LONG * 12}</div><div>{LONG.replace('This', 'Small')}</div></div>", ["Small is"]),
+        (f"{NAV}<div><div>{LONG * 8}</div><div><table><tr><td>Berlin<td>12<tr><td>Paris<td>14</table></div></div>", ["Berlin", "14"]),
+        (f"{NAV}<div><div>{LONG * 8}</div><div><pre>first line\nlast line</pre></div></div>", ["first line last line"]),
+        (f"{NAV}<div><div>{LONG * 8}</div><div><ul><li>two eggs<li>some flour</ul></div></div>", ["two eggs", "some flour"]),
+    ],
+)
+def test_html_extraction_keeps_all_parts_of_an_article(body, wanted):
+    text = html_extraction.main_text(f"<html><body>{body}<footer>us</footer></body></html>")
+    assert all(w in text for w in ["the article, and", *wanted]) and not any(w in text for w in ("Home", "One", "us\n"))
+
+
 BAD = "idiotic moronic trashy".split()
 
 

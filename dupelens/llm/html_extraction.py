@@ -5,7 +5,8 @@ are taken per leaf, less what is link text; both series are smoothed over the le
 multiplied, and leaves at or above a share of their mean are content, as are lists, tables and code that are not mostly
 links. The article is the article or main element around nearly all content, else the innermost element around all of it;
 all its blocks belong to the text, so short paragraphs, headings and small sections are not lost. Elements whose tag, role,
-class or id says that they are no article text (menus, footers, forms, comments and the like) are left out.
+class or id says that they are no article text (menus, footers, forms, comments and the like) are left out, unless they
+hold most of the content: then they are wrappers of the article.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))
 PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、…]")
 
 RAW = frozenset("script style noscript template textarea title iframe svg math canvas object audio video".split())
-SKIPPED = frozenset("head nav header footer aside form button select option input label menu dialog".split())
+SKIPPED = frozenset("nav header footer aside form button select option input label menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
@@ -52,6 +53,13 @@ NOISE_WORDS = frozenset(
     "breadcrumbs pagination pager newsletter subscribe subscription signup login search form widget toolbar skip".split()
 )
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+#: Words that may stand beside a noise word in one name ("site-footer"); any other ("with-sidebar") says something else.
+PLAIN_WORDS = frozenset("site main global top bottom left right list box block container wrapper bar inner item items links section area".split())
+#: Marks of text that can be longer than the article beside it: such an element needs nearly all content to be a wrapper.
+BESIDE = frozenset(
+    "nav footer aside navigation contentinfo complementary navbar menu menubar ad ads advert adverts advertisement "
+    "advertising sponsor sponsored promo promotion comment comments reply replies respond disqus discussion related recommended".split()
+)
 #: Elements that hold an article as a whole.
 CONTAINERS = frozenset("body main article section div center td".split()) | {""}
 ARTICLES = frozenset("article main".split())
@@ -59,59 +67,66 @@ TABLE_PARTS = frozenset("table caption thead tbody tfoot tr td th".split())
 SMOOTHING = np.array([0.05, 0.25, 0.4, 0.25, 0.05])
 SHARE = 0.3
 HELD = 0.9
+MOST = 0.5
 
 
 class Node:
-    """An element: its parent, its tag, the path of block elements down to it, and whether it is no article text."""
+    """An element: its parent, its tag, the path of block elements down to it, and what says that it is no article text.
+
+    ``hidden``: nothing inside is text of the page; ``marks``: the words of its tag, role, class and id that mark it.
+    """
 
-    __slots__ = ("parent", "tag", "path", "noise", "depth")
+    __slots__ = ("parent", "tag", "path", "hidden", "marks", "depth")
 
-    def __init__(self, parent: Node | None, tag: str, noise: bool):
-        self.parent, self.tag, self.noise = parent, tag, noise
+    def __init__(self, parent: Node | None, tag: str, attributes: str = ""):
+        self.parent, self.tag = parent, tag
+        self.marks, hidden = _marks(tag, attributes)
+        self.hidden = hidden or (parent is not None and parent.hidden)
         above = parent.path if parent else ""
         self.path = above if tag in INLINE else f"{above}/{tag}"
         self.depth = parent.depth + 1 if parent else 0
 
 
-def _is_noise(tag: str, attributes: str) -> bool:
+def _marks(tag: str, attributes: str) -> tuple[frozenset[str], bool]:
+    marks, hidden = set(), tag == "head"
     if tag in SKIPPED:
-        return True
-    if not attributes.strip():
-        return False
-    for name, *values in ATTRIBUTE.findall(attributes):
+        marks.add(tag)
+    for name, *values in ATTRIBUTE.findall(attributes) if attributes.strip() else ():
         value = next((v for v in values if v), "")
         name = name.lower()
         if name in ("class", "id") and tag not in ("html", "body", "article", "main"):
-            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
-            if not NOISE_WORDS.isdisjoint(words):
-                return True
+            for token in value.split():
+                words = set(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", token).lower()))
+                if words <= NOISE_WORDS | PLAIN_WORDS:
+                    marks |= words & NOISE_WORDS
         elif name == "role" and value.lower() in NOISE_ROLES:
-            return True
+            marks.add(value.lower())
         elif name in ("hidden", "aria-hidden") and value.lower() == "true":
-            return True
-    return False
+            hidden = True
+    return frozenset(marks), hidden
 
 
 class Leaf:
-    """A piece of text: its block element, its text, whether it is in a link, and the number of its block."""
+    """A piece of text: its innermost element, its block element, its text, whether it is in a link, the number of its block."""
 
-    __slots__ = ("node", "text", "link", "block", "structure")
+    __slots__ = ("own", "node", "text", "link", "block", "structure")
 
-    def __init__(self, node: Node, text: str, link: bool, block: int, structure: Node | None):
-        self.node, self.text, self.link, self.block, self.structure = node, text, link, block, structure
+    def __init__(self, own: Node, text: str, link: bool, block: int):
+        self.own, self.node, self.text, self.link, self.block = own, _block_of(own), text, link, block
+        self.structure = _nearest(own, STRUCTURES)
 
 
 def leaves(page: str) -> list[Leaf]:
-    """The text leaves outside elements that are no article text, in page order."""
-    root = Node(None, "", False)
+    """The text leaves outside hidden elements, in page order."""
+    root = Node(None, "")
     stack, out = [root], []
     block, links, at = 0, 0, 0
     raw_until: re.Pattern | None = None
     size = len(page)
 
     def add(text: str) -> None:
-        if not stack[-1].noise and text:
-            out.append(Leaf(_block_of(stack[-1]), html.unescape(text), links > 0, block, _nearest(stack[-1], STRUCTURES)))
+        if not stack[-1].hidden and text:
+            out.append(Leaf(stack[-1], html.unescape(text), links > 0, block))
 
     while at < size:
         found = TOKEN.search(page, at)
@@ -153,22 +168,65 @@ def leaves(page: str) -> list[Leaf]:
             continue
         if tag in VOID:
             continue
-        parent = stack[-1]
-        noise = _is_noise(tag, attributes)
-        if parent.noise:
-            noise = not (tag in HEADINGS and _article_header(parent))
-        stack.append(Node(parent, tag, noise))
+        stack.append(Node(stack[-1], tag, attributes))
         links += tag == "a"
     return out
 
 
-def _article_header(node: Node) -> bool:
-    """Whether a left-out element is nothing but the header of an article."""
-    while node.noise and node.parent is not None:
-        if node.parent.noise is False:
-            return node.tag == "header" and node.parent.tag in ("article", "main")
+def _shown(found: list[Leaf]) -> list[Leaf]:
+    """The leaves outside elements that are marked as no article text.
+
+    Marked elements that hold most of the content (or the only article, or the main element) are wrappers and do not
+    count as marked; those of ``BESIDE`` need nearly all of it. Inside a wrapper the other marks count as before.
+    """
+    above: dict[Node, list[Node]] = {}
+    for leaf in found:
+        if leaf.own not in above:
+            above[leaf.own] = list(_upwards(leaf.own))
+    marked = dict.fromkeys(n for nodes in above.values() for n in reversed(nodes) if n.marks)
+    if not marked:
+        return found
+    weight: dict[Node, int] = defaultdict(int)
+    total = 0
+    for leaf, good in zip(found, _content(_scores(found)), strict=True):
+        size = len(leaf.text.strip()) if good and not leaf.link else 0
+        if size:
+            total += size
+            for node in above[leaf.own]:
+                weight[node] += size
+    whole = {tag: [n for n in weight if n.tag == tag] for tag in ARTICLES}
+    wrappers: set[Node] = set()
+    for node in sorted(marked, key=lambda n: n.depth):
+        if any(n.marks and n not in wrappers for n in _upwards(node.parent)):
+            continue
+        beside = not BESIDE.isdisjoint(node.marks)
+        # An article outside all marked elements says that this is not the wrapper, unless nearly all text is here.
+        other = any(
+            not _inside(n, node) and not _inside(node, n) and not any(m.marks and m not in wrappers for m in _upwards(n))
+            for nodes in whole.values() for n in nodes
+        )
+        share = HELD if beside or other else MOST
+        only = not beside and not other and any(len(nodes) == 1 and _inside(nodes[0], node) for nodes in whole.values())
+        if total and (weight[node] > share * total or only):
+            wrappers.add(node)
+    noise = {own: _is_noise(nodes, wrappers) for own, nodes in above.items()}
+    return [leaf for leaf in found if not noise[leaf.own]]
+
+
+def _is_noise(nodes: list[Node], wrappers: set[Node]) -> bool:
+    """Whether one of an element and its ancestors is marked; the headings of an article's own header are not noise."""
+    at = next((i for i in range(len(nodes) - 1, -1, -1) if nodes[i].marks and nodes[i] not in wrappers), None)
+    if at is None:
+        return False
+    top = nodes[at]
+    of_article = top.tag == "header" and top.parent is not None and top.parent.tag in ("article", "main")
+    return not (of_article and any(n.tag in HEADINGS for n in nodes[:at]))
+
+
+def _upwards(node: Node | None) -> Iterator[Node]:
+    while node is not None:
+        yield node
         node = node.parent
-    return False
 
 
 def _close(stack: list[Node], tags: set[str] | frozenset[str], fences: frozenset[str]) -> int:
@@ -211,6 +269,10 @@ def _scores(found: list[Leaf]) -> np.ndarray:
     return np.sqrt(series[0] * (series[1] + 0.05))
 
 
+def _content(scores: np.ndarray) -> np.ndarray:
+    return scores >= SHARE * scores.mean() if scores.max(initial=0.0) > 0 else np.ones(len(scores), bool)
+
+
 def _structured(found: list[Leaf], content: np.ndarray) -> np.ndarray:
     """Whether each leaf stands in a list, a table or code that is not mostly links; tables around prose are layout."""
     size: dict[Node, int] = defaultdict(int)
@@ -275,11 +337,10 @@ def _inside(node: Node | None, top: Node) -> bool:
 
 def main_text(page: str) -> str:
     """The blocks of the article, one per line, white space inside a block as single spaces."""
-    found = leaves(page)
+    found = _shown(leaves(page))
     if not any(leaf.text.strip() for leaf in found):
         return ""
-    scores = _scores(found)
-    content = scores >= SHARE * scores.mean() if scores.max() > 0 else np.ones(len(found), bool)
+    content = _content(_scores(found))
     marked = next((n for n in _ancestors(found) if n.tag == "article"), None)
     content |= _structured(found, content)
     top = _article(found, content)

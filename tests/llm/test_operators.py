@@ -194,6 +194,26 @@ def test_html_extraction_keeps_all_parts_of_an_article(body, wanted):
     assert all(w in text for w in ["the article, and", *wanted]) and not any(w in text for w in ("Home", "One", "us\n"))
 
 
+@pytest.mark.parametrize(
+    "opening",
+    [
+        "<form id=aspnetForm>", "<form><div class='site-main'>", "<div class='content with-sidebar'>", "<div class='page-with-header'>",
+        "<div class='form-wide'>", "<div id=discussion>", "<label>", "<div role=dialog>", "<div class=overlay><article>", "<dialog><main>",
+    ],
+)
+def test_html_extraction_keeps_an_article_in_a_marked_wrapper(opening):
+    page = f"<body><nav><a href=/>Home</a></nav>{opening}<h1>Title</h1>{LONG * 3}<div class=comments><p>Reader: no, not at all.</p></div>"
+    text = html_extraction.main_text(page + "<form><p>Sign up, now.</p></form>" * ("form" not in opening))
+    assert text.startswith("Title") and text.count("article, and") == 36
+    assert not any(w in text for w in ("Home", "Reader", "Sign up"))
+
+
+@pytest.mark.parametrize("mark", ["<section class=comments>", "<aside>", "<div class='site-footer'>", "<div id=commentList>", "<span class=related>"])
+def test_html_extraction_leaves_out_longer_text_beside_the_article(mark):
+    text = html_extraction.main_text(f"<body><div><h1>Title</h1>{LONG}</div>{mark}{LONG.replace('article', 'reader') * 2}")
+    assert "article, and" in text and "reader" not in text
+
+
 BAD = "idiotic moronic trashy".split()
 
 

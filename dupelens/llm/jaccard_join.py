@@ -13,6 +13,9 @@ paired. A class of size n shares at least ``T(n) = ceil(percent n / 100)`` shing
    of its lists name, and lists whose classes are already connected are left out. What is left is checked in full. So
    the pairs checked stay near the number of classes even in large families of near copies, and no link between
    components is lost.
+4. The number of links needs every pair. All links lie inside components, so the classes of a component are dealt into
+   blocks of bounded size and each pair of blocks is counted as one sparse product. Only sums per class leave it: the
+   result is linear, and no pair of classes becomes a row.
 
 A shingle hash has 64 bits, of which step 1 uses 40; classes are known by 64 bits of a digest.
 """
@@ -35,6 +38,9 @@ from dupelens.llm.words import row_shingles
 SLOTS = 1 << 20
 ROUNDS = 2
 PARITY = [f"p{i}" for i in range(8)]
+BLOCK_CLASSES = 256
+BLOCK_SHINGLES = 1 << 20
+CHUNK = 4096
 
 
 @dataclass(frozen=True)
@@ -69,6 +75,11 @@ class Rule:
         whole = 100 + self.percent
         return (whole * most >= self.percent * both) & (whole * differ <= (100 - self.percent) * both)
 
+    def links(self, sizes_a: np.ndarray, sizes_b: np.ndarray, common: np.ndarray) -> np.ndarray:
+        """Whether each pair of two series of sets links, from their sizes and the table of their common counts."""
+        union = sizes_a[:, None] + sizes_b[None, :] - common
+        return (common > 0) & (100 * common >= self.percent * union)
+
     def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
         """Whether two sorted sets link: the smaller one's elements are looked up in the larger by binary search."""
         if len(a) > len(b):
@@ -247,8 +258,8 @@ def _all_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def linked_classes(docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
-    """``(a, root)``: the component of each class that links with another one."""
+def linked_classes(docs: DataFrame, sketch: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
+    """``(a, root)``: the component of each class that links with another one; and the sets of all that could."""
     sets = keep(whole_sets(docs, rule, keep(meeting_classes(sketch, rule), "classes")), "sets")
     lists = keep(short_lists(sets, rule), "short-lists")
     links = tried = None
@@ -264,7 +275,108 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, rule: Rule) -> DataFrame:
         tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)
         roots = components(links)
-    return roots
+    return roots, sets
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The number of common elements of each set of ``left`` with each of ``right``."""
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+
+    (a, of_a), (b, of_b) = flat(left), flat(right)
+    both = np.intersect1d(a, b)
+    total = np.zeros((len(left), len(right)), np.int64)
+    if not len(both):
+        return total
+
+    def held(values: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(both, values), len(both) - 1)
+        good = both[at] == values
+        at, owner = at[good], owner[good]
+        order = np.argsort(at, kind="stable")
+        return at[order], owner[order]
+
+    (at_a, of_a), (at_b, of_b) = held(a, of_a), held(b, of_b)
+    for low in range(0, len(both), CHUNK):
+        tables = []
+        for at, owner, n in ((at_a, of_a, len(left)), (at_b, of_b, len(right))):
+            i, j = np.searchsorted(at, (low, low + CHUNK))
+            part = np.zeros((n, min(CHUNK, len(both) - low)), np.float32)
+            part[owner[i:j], at[i:j] - low] = 1
+            tables.append(part)
+        total += (tables[0] @ tables[1].T).astype(np.int64)
+    return total
+
+
+def _block_links(rule: Rule, one: bool, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    """``(x, links)`` of a pair of blocks (``one``: of a block with itself) from rows of side, x, copies and shingles."""
+    first = [r for r in rows if r[0] == 0]
+    second = first if one else [r for r in rows if r[0] == 1]
+    if not first or not second:
+        return
+    sizes = [np.array([len(r[3]) for r in side]) for side in (first, second)]
+    copies = [np.array([r[2] for r in side]) for side in (first, second)]
+    linked = rule.links(*sizes, common_counts([r[3] for r in first], [r[3] for r in second]))
+    if one:
+        np.fill_diagonal(linked, False)
+    yield from zip((r[1] for r in first), (linked @ copies[1]).tolist(), strict=True)
+    if not one:
+        yield from zip((r[1] for r in second), (copies[0] @ linked).tolist(), strict=True)
+
+
+def link_counts(roots: DataFrame, sets: DataFrame, sizes: DataFrame, rule: Rule) -> DataFrame:
+    """``(x, links)``: with how many rows of other classes the rows of each class link; classes without links left out.
+
+    ``sizes (x, copies)`` has the number of rows of each class. A component of m blocks sends each class to m tasks.
+    """
+    of = roots.select(F.col("a").alias("x"), "root").union(roots.select(F.col("root").alias("x"), "root").distinct())
+    members = keep(of.join(sizes, "x").join(sets.select("x", "shingles"), "x"), "members")
+    weight = F.sum(F.size("shingles").cast("long"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_CLASSES, weight / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    dealt = members.join(members.groupBy("root").agg(blocks), "root")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    sent = dealt.select("root", "own", "x", "copies", "shingles", other).select(
+        "root", low.alias("low"), high.alias("high"), (F.col("own") > low).cast("int").alias("side"), "x", "copies", "shingles"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rows, made = None, [], []
+
+        def flush(force: bool) -> Iterator[pa.RecordBatch]:
+            if made and (force or len(made) > 10_000):
+                x, n = zip(*made, strict=True)
+                made.clear()
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(n, pa.int64())], names=["x", "links"])
+
+        for batch in batches:
+            names = ("root", "low", "high", "side", "x", "copies")
+            plain = zip(*(batch.column(n).to_pylist() for n in names), strict=True)
+            shingles = batch.column("shingles")
+            for i, (root, low, high, *row) in enumerate(plain):
+                if (root, low, high) != now:
+                    if rows:
+                        made.extend(_block_links(rule, now[1] == now[2], rows))
+                    yield from flush(False)
+                    now, rows = (root, low, high), []
+                rows.append((*row, shingles[i].values.to_numpy().view(np.uint64).copy()))
+        if rows:
+            made.extend(_block_links(rule, now[1] == now[2], rows))
+        yield from flush(True)
+        tidy()
+
+    keys = ["root", "low", "high"]
+    counted = sent.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "x long, links long")
+    return counted.groupBy("x").agg(F.sum("links").alias("links"))
+
+
+def _of_classes(sketch: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(x, copies, component_id)`` of every class."""
+    firsts = sketch.where("x is not null").groupBy("x").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("copies"))
+    rooted = firsts.join(roots.withColumnRenamed("a", "x"), "x", "left").withColumn("root", F.coalesce("root", "x"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return keep(rooted.join(least, "root").select("x", "copies", "component_id"), "components")
 
 
 def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -275,17 +387,32 @@ def jaccard_components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     separate rows. An empty table gives an empty result; other columns are ignored.
     """
     sketch = keep(sketched(docs, rule), "sketch")
-    roots = linked_classes(docs, sketch, rule)
-    firsts = sketch.where("x is not null").groupBy("x").agg(F.min("doc_id").alias("first"))
-    rooted = firsts.join(roots.withColumnRenamed("a", "x"), "x", "left").withColumn("root", F.coalesce("root", "x"))
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    of_class = keep(rooted.join(least, "root").select("x", "component_id"), "components")
+    of_class = _of_classes(sketch, linked_classes(docs, sketch, rule)[0]).drop("copies")
     # Copies of one text are all of one class: nothing follows this join, so that a hot class can be split.
     return sketch.select("doc_id", "n", "x").join(of_class, "x", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
+def jaccard_links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """``jaccard_components`` with ``n_links``: with how many other rows each row links, rows of the same set included.
+
+    Every pair inside a component is counted exactly.
+    """
+    sketch = keep(sketched(docs, rule), "sketch")
+    roots, sets = linked_classes(docs, sketch, rule)
+    of_class = _of_classes(sketch, roots)
+    links = link_counts(roots, sets, of_class.select("x", "copies"), rule)
+    n_links = (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    counted = keep(of_class.join(links, "x", "left").select("x", "component_id", n_links), "link-counts")
+    return sketch.select("doc_id", "n", "x").join(counted, "x", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )
+
+
 def one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the row with the least ``doc_id`` stays."""
     keepers = jaccard_components(docs, rule).where("doc_id = component_id or doc_id is null").select("doc_id").distinct()

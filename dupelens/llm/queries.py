@@ -41,7 +41,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=3, percent=90))
+    return jaccard_join.jaccard_links(table(spark, sf_dir, "documents"), jaccard_join.Rule(words=3, percent=90))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -83,6 +83,31 @@ def test_jaccard_on_a_large_family(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(data, 3, 90)
 
 
+def brute_links(data, size, percent):
+    sets = [shingle_set(t, size) for _, t in data]
+    return [
+        sum(i != j and bool(a & b) and 100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)
+    ]
+
+
+@pytest.mark.parametrize("block", [7, 256])
+def test_jaccard_counts_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK_CLASSES", block)
+    base = prose(7, 90)
+    data = [(i, near(base, i, 1 + i % 5)) for i in range(60)] + [(100 + i, base) for i in range(3)] + [(i + 200, t) for i, t in rows()]
+    found = {r.doc_id: r for r in jaccard_join.jaccard_links(documents(spark, data), jaccard_join.Rule()).collect()}
+    assert [found[i].n_links for i, _ in data] == brute_links(data, 3, 90)
+    assert {i: (r.n_shingles, r.component_id) for i, r in found.items()} == brute_components(data, 3, 90)
+    assert jaccard_join.jaccard_links(empty(spark)).count() == 0
+
+
+def test_common_counts_over_chunks(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "CHUNK", 10)
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 300, n).astype(np.uint64)) for n in (5, 80, 200, 1)]
+    assert jaccard_join.common_counts(sets, sets[1:]).tolist() == [[len(np.intersect1d(a, b)) for b in sets[1:]] for a in sets]
+
+
 def test_jaccard_keeps_repeated_rows_and_takes_nulls(spark):
     data = [(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (2, None), (2, None)]
     found = jaccard_join.jaccard_components(documents(spark, data)).collect()

@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 BANDS = 24
 CONTAINMENT = 0.8
 WORDS = 3
+#: Share of the smaller of two templates that makes them variants of each other.
+VARIANT = 0.5
 
 # Notices of common licenses as they stand in documents.
 TEMPLATES = {
@@ -38,6 +40,25 @@ TEMPLATES = {
     "cc-by-nc": "Licensed under CC BY-NC 4.0.",
     "cc": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "reserved": "All rights reserved.",
+    "cc-by": "Licensed under CC BY 4.0.",
+    "cc-by-sa": "Licensed under CC BY-SA 4.0.",
+    "lgpl": "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation",
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+    "Public License as published by the Free Software Foundation",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "mpl2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+    "distributed with this file, You can obtain one at",
+    "epl1": "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 "
+    "which accompanies this distribution",
+    "epl2": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+    "which is available at",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+    "publish, use, compile, sell, or distribute this software",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+    "liable for any damages arising from the use of this software",
+    "cc0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
 }
 
 
@@ -77,10 +98,13 @@ def scanned(docs: DataFrame, notices: dict[str, str] | None = None, containment:
     """``(doc_id, license, containment, first_word, windows)`` for each row and each template that it contains.
 
     ``first_word`` is the begin of the first matching window, ``windows`` their number. Null, empty and short texts
-    contain nothing. Rows that repeat a ``doc_id`` and text give one result; an empty table gives an empty one.
+    contain nothing. Where windows of templates that mostly share their words overlap, the better covered template counts
+    (an LGPL notice is not reported as GPL as well). Rows that repeat a ``doc_id`` and text give one result; an empty table gives an empty one.
     """
     spark = docs.sparkSession
     known = templates(spark, TEMPLATES if notices is None else notices).cache()
+    sets = {r["license"]: set(r["shingles"]) for r in known.collect()}
+    alike = [f"{a}\n{b}" for a in sets for b in sets if a != b and len(sets[a] & sets[b]) >= VARIANT * min(len(sets[a]), len(sets[b]))]
     # The templates are a parameter of a few entries; their shingles go into the plan as constants.
     wanted = sorted({h for r in known.collect() for h in r["shingles"]})
     widths = sorted({r["width"] for r in known.select("width").distinct().collect()})
@@ -103,6 +127,17 @@ def scanned(docs: DataFrame, notices: dict[str, str] | None = None, containment:
     met = asked.join(F.broadcast(keys), ["width", "band", "value"])
     share = F.size(F.array_intersect("shingles", "template")) / F.col("m")
     sure = met.withColumn("share", share).where(F.col("share") >= containment)
+    if alike:
+        columns = ("license", "share", "begin", "width")
+        found = sure.select("doc_id", F.struct(*columns).alias("own")).distinct().groupBy("doc_id").agg(F.collect_set("own").alias("every"))
+        each = found.select("doc_id", "every", F.explode("every").alias("own"))
+        own, variants = F.col("own"), F.array(*map(F.lit, alike))
+
+        def better(o: Column) -> Column:
+            near = (o["begin"] < own["begin"] + 2 * own["width"]) & (own["begin"] < o["begin"] + 2 * o["width"])
+            return near & (o["share"] > own["share"]) & F.array_contains(variants, F.concat_ws("\n", own["license"], o["license"]))
+
+        sure = each.where(~F.exists("every", better)).select("doc_id", *(own[c].alias(c) for c in columns))
     return sure.groupBy("doc_id", "license").agg(
         F.max("share").alias("containment"), F.min("begin").alias("first_word"), F.count_distinct("begin").alias("windows")
     )

@@ -542,3 +542,10 @@ def test_license_scan(spark):
     assert "Arrow" not in found._jdf.queryExecution().executedPlan().toString()
     assert license_scan.scanned(empty(spark)).count() == 0
     assert license_scan.scanned(documents(spark), {}).count() == 0
+
+
+def test_license_scan_knows_common_notices_and_their_variants(spark):
+    asked = "lgpl agpl gpl isc mpl2 epl1 epl2 unlicense zlib cc0 cc-by cc-by-sa cc-by-nc".split()
+    data = [(i, f"{prose(i, 9)} {license_scan.TEMPLATES[name]} {prose(i + 99, 9)}") for i, name in enumerate(asked)]
+    found = license_scan.scanned(documents(spark, data)).collect()
+    assert sorted((r.doc_id, r.license) for r in found) == list(enumerate(asked))

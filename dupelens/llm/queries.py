@@ -8,6 +8,7 @@ import corpus_pipeline
 from dupelens.llm import (
     context_tree,
     decontamination,
+    filter_audit,
     fingerprints,
     html_extraction,
     jaccard_join,
@@ -16,6 +17,8 @@ from dupelens.llm import (
     sharding,
     token_counts,
     toxicity,
+    warc,
+    whitening,
 )
 from dupelens.llm.tables import table
 
@@ -60,6 +63,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 SPARK = {
     f.__name__: f
     for f in (
@@ -73,7 +88,10 @@ SPARK = {
         op8_token_counts,
         op9_lm_scoring,
         op10_decontamination,
+        op11_warc_revisits,
+        op12_embedding_whitening,
+        op13_filter_audit,
     )
 } | {"pipeline": corpus_pipeline.run}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op11_warc_revisits": warc.SQL, "op13_filter_audit": filter_audit.SQL}

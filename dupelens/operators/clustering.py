@@ -6,39 +6,47 @@ Both rules depend on the distinct durations only, so every step works on one row
 * Gap-chained: a duration joins while it is at most ``tolerance`` above the one before it.
 * Anchored: a duration joins while it is at most ``tolerance`` above the *first* of its cluster.
 
-A cluster is named by its lowest duration, ``cluster_start``. Distinct durations are cut into range cells, so that no
-task ever sees all of them, at any size.
+A cluster is named by its lowest duration, ``cluster_start``. Distinct durations are cut into range cells of about
+``CELL_ROWS``, so that no task ever sees all of them. A gap above the tolerance ends clusters of either rule: durations
+between two such gaps are an island. An anchored chain enters a cell at one duration of each island in it. Islands within one
+cell are entered at their start; for those that reach over several cells, pointer doubling from cell to cell finds the
+entries, in as many rounds as the logarithm of the cells that the longest island covers.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
+from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dupelens.runtime import materialize
 
-CELLS = 1_000
+CELL_ROWS = 50_000
+MOST_CELLS = 10_000
 
 
 class Durations:
-    """Distinct durations with their record counts, written once, and their checked number."""
+    """Distinct durations with their record counts, cut into cells and written once, and their checked number."""
 
     def __init__(self, records: DataFrame):
-        counted = records.groupBy("duration").agg(F.count(F.lit(1)).alias("n"))
-        self.rows = materialize(counted, "durations")
-        stats = self.rows.agg(
-            F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.min("duration"), F.max("duration")
-        ).first()
-        self.distinct, self.records, self.low, self.high = stats
+        counted = materialize(records.groupBy("duration").agg(F.count(F.lit(1)).alias("n")), "durations")
+        stats = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        self.distinct, self.records = stats
+        self.cells = max(1, min(MOST_CELLS, math.ceil(self.distinct / CELL_ROWS)))
+        self.bounds = _cell_bounds(counted, self.cells)
+        self.rows = _in_cells(counted, self.bounds)
 
 
-def _cell_bounds(rows: DataFrame) -> list[float]:
+def _cell_bounds(rows: DataFrame, cells: int) -> list[float]:
     """Inner bounds of range cells that hold about equally many durations each."""
-    return sorted(set(rows.approxQuantile("duration", [i / CELLS for i in range(1, CELLS)], 0.2 / CELLS)))
+    if cells == 1:
+        return []
+    return sorted(set(rows.approxQuantile("duration", [i / cells for i in range(1, cells)], 0.2 / cells)))
 
 
 def _in_cells(rows: DataFrame, bounds: list[float], column: str = "duration") -> DataFrame:
@@ -50,41 +58,38 @@ def _in_cells(rows: DataFrame, bounds: list[float], column: str = "duration") ->
     return placed.withColumn("cell", F.col("_cell").cast("bigint")).drop("_cell")
 
 
-def _gap_starts(durations: Durations, tolerance: float) -> DataFrame:
-    """Distinct durations with the start of their gap-chained island: (duration, n, start)."""
-    rows = durations.rows
-    cells = materialize(_in_cells(rows, _cell_bounds(rows)), "duration-cells")
-    by_cell = Window.orderBy("cell")
-    edges = cells.groupBy("cell").agg(F.max("duration").alias("top")).withColumn("below", F.lag("top").over(by_cell))
+def _carried(rows: DataFrame, column: str, *keys: str) -> DataFrame:
+    """The last ``column`` of the cells before each cell, as ``carry``: one row per cell (and key)."""
+    before = Window.partitionBy(*keys).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        rows.groupBy("cell", *keys)
+        .agg(F.max(column).alias("_last"))
+        .select("cell", *keys, F.last("_last", ignorenulls=True).over(before).alias("carry"))
+    )
+
+
+def _islands(durations: Durations, tolerances: Sequence[float]) -> DataFrame:
+    """Distinct durations with the start of their island, for each tolerance: (tolerance, cell, duration, n, start)."""
+    cells = durations.rows
+    edges = cells.groupBy("cell").agg(F.max("duration").alias("_last"))
+    below = edges.select("cell", F.lag("_last").over(Window.orderBy("cell")).alias("below"))
     inside = Window.partitionBy("cell").orderBy("duration")
     previous = F.coalesce(F.lag("duration").over(inside), F.col("below"))
-    begins = previous.isNull() | (F.col("duration") > previous + tolerance)
-    marked = materialize(
-        cells.join(F.broadcast(edges.select("cell", "below")), "cell").withColumn(
-            "mark", F.when(begins, F.col("duration"))
-        ),
-        "duration-marks",
-    )
-    # Start carried into each cell: the last mark of the cells before it. At most CELLS rows.
-    carried = (
-        marked.groupBy("cell")
-        .agg(F.max("mark").alias("last_mark"))
-        .withColumn(
-            "carry",
-            F.last("last_mark", ignorenulls=True).over(by_cell.rowsBetween(Window.unboundedPreceding, -1)),
-        )
-        .select("cell", "carry")
-    )
-    local = F.last("mark", ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    return marked.join(F.broadcast(carried), "cell").select(
-        "duration", "n", F.coalesce(local, F.col("carry")).alias("start")
+    stepped = cells.join(F.broadcast(below), "cell").withColumn("previous", previous)
+    tolerance = F.explode(F.array(*(F.lit(float(t)) for t in tolerances)))
+    begins = F.col("previous").isNull() | (F.col("duration") > F.col("previous") + F.col("tolerance"))
+    marked = stepped.withColumn("tolerance", tolerance).withColumn("mark", F.when(begins, F.col("duration")))
+    so_far = Window.partitionBy("cell", "tolerance").orderBy("duration").rowsBetween(Window.unboundedPreceding, 0)
+    local = marked.withColumn("local", F.last("mark", ignorenulls=True).over(so_far))
+    carried = _carried(marked, "mark", "tolerance")
+    return local.join(F.broadcast(carried), ["cell", "tolerance"]).select(
+        "tolerance", "cell", "duration", "n", F.coalesce("local", "carry").alias("start")
     )
 
 
-def _next_heads(cells: DataFrame, bounds: list[float], tolerance: float) -> DataFrame:
-    """For each duration the lowest one more than ``tolerance`` above it: (duration, following)."""
-    reach = cells.select("duration", (F.col("duration") + tolerance).alias("at"))
-    asked = _in_cells(reach, bounds, "at").select("cell", "at", F.lit(1).alias("is_query"), "duration")
+def _next_heads(cells: DataFrame, bounds: list[float], asked: DataFrame) -> DataFrame:
+    """``asked`` (duration, reach) with the lowest duration above each reach, as ``following``, where there is one."""
+    placed = _in_cells(asked, bounds, "reach").select("cell", F.col("reach").alias("at"), F.lit(1).alias("is_query"), "duration")
     points = cells.select(
         "cell", F.col("duration").alias("at"), F.lit(0).alias("is_query"), F.lit(None).cast("double").alias("duration")
     )
@@ -96,7 +101,7 @@ def _next_heads(cells: DataFrame, bounds: list[float], tolerance: float) -> Data
     ahead = Window.partitionBy("cell").orderBy("at", "is_query").rowsBetween(1, Window.unboundedFollowing)
     inside = F.min(F.when(F.col("is_query") == 0, F.col("at"))).over(ahead)
     return (
-        points.unionByName(asked)
+        points.unionByName(placed)
         .withColumn("inside", inside)
         .where("is_query = 1")
         .join(F.broadcast(upper), "cell")
@@ -105,32 +110,61 @@ def _next_heads(cells: DataFrame, bounds: list[float], tolerance: float) -> Data
     )
 
 
-def _anchored_by_doubling(islands: DataFrame, durations: Durations, tolerance: float) -> DataFrame:
-    """Heads by pointer doubling: after k rounds the first 2^k heads of every island are known."""
-    bounds = _cell_bounds(islands)
-    cells = materialize(_in_cells(islands, bounds), "anchor-cells")
-    jump = materialize(_next_heads(cells, bounds, tolerance), "anchor-jumps")
-    heads = materialize(islands.select(F.col("start").alias("head")).distinct(), "anchor-heads")
-    rounds = math.ceil(math.log2((durations.high - durations.low) / max(tolerance, 1e-9) + 2))
-    for _ in range(max(1, min(rounds, 64))):
-        reached = heads.join(jump, F.col("head") == F.col("duration")).select(F.col("following").alias("head"))
-        heads = materialize(heads.unionByName(reached).distinct(), "anchor-heads")
-        second = jump.select(F.col("duration").alias("following"), F.col("following").alias("further"))
-        jump = materialize(
-            jump.join(second, "following").select("duration", F.col("further").alias("following")), "anchor-jumps"
-        )
-    marked = cells.join(heads, F.col("duration") == F.col("head"), "left")
-    inside = Window.partitionBy("cell").orderBy("duration").rowsBetween(Window.unboundedPreceding, 0)
-    by_cell = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        marked.groupBy("cell")
-        .agg(F.max("head").alias("last_head"))
-        .select("cell", F.last("last_head", ignorenulls=True).over(by_cell).alias("carry"))
-    )
-    local = F.last("head", ignorenulls=True).over(inside)
-    return marked.join(F.broadcast(carried), "cell").select(
-        "duration", "n", F.coalesce(local, F.col("carry")).alias("start")
+def _last_heads(rows: pd.DataFrame, tolerance: float) -> pd.DataFrame:
+    """For each duration of a cell how far the chain that enters there reaches: the last of its heads in the cell."""
+    values = np.sort(rows["duration"].to_numpy())
+    following = np.searchsorted(values, values + tolerance, side="right")
+    last = np.arange(len(values))
+    for i in range(len(values) - 1, -1, -1):
+        if following[i] < len(values):
+            last[i] = last[following[i]]
+    return pd.DataFrame({"duration": values, "reach": values[last] + tolerance})
+
+
+def _heads(rows: pd.DataFrame, tolerance: float) -> pd.DataFrame:
+    """Durations of a cell with their head, from the entries of the chains; none before the first entry."""
+    rows = rows.sort_values("duration")
+    values, entry = rows["duration"].to_numpy(), rows["entry"].to_numpy()
+    heads = np.full(len(values), np.nan)
+    head, limit = np.nan, np.inf
+    for i, value in enumerate(values):
+        if entry[i] or value > limit:
+            head, limit = value, value + tolerance
+        heads[i] = head
+    rows = rows[["cell", "duration", "n"]]
+    return rows.assign(head=pd.Series(heads, index=rows.index).astype("float64"))
+
+
+def _entries(islands: DataFrame, durations: Durations, tolerance: float) -> DataFrame:
+    """(duration): where chains enter a cell. After k rounds the first 2^k cells of every island are done."""
+    entries = islands.where("duration = start").select("duration")
+    if durations.cells == 1:
+        return entries
+    spans = islands.groupBy("start").agg((F.max("cell") - F.min("cell")).alias("cells"))
+    longest = spans.agg(F.max("cells")).first()[0] or 0
+    if longest == 0:
+        return entries
+    # Only islands that go on in another cell have anything to follow.
+    wide = materialize(islands.join(spans.where("cells > 0").select("start"), "start", "left_semi"), "wide-islands")
+    reaches = wide.groupBy("cell").applyInPandas(lambda rows: _last_heads(rows, tolerance), "duration double, reach double")
+    following = _next_heads(wide, durations.bounds, reaches)
+    # A chain ends with its island.
+    of_island = wide.select("duration", "start")
+    jump = (
+        following.join(of_island, "duration")
+        .join(of_island.select(F.col("duration").alias("following"), F.col("start").alias("next_start")), "following")
+        .where("start = next_start")
+        .select("duration", "following")
     )
+    jump = materialize(jump, "cell-jumps")
+    entries = materialize(entries, "cell-entries")
+    for left in range(math.ceil(math.log2(longest + 1)) - 1, -1, -1):
+        reached = entries.join(jump, "duration").select(F.col("following").alias("duration"))
+        entries = materialize(entries.unionByName(reached).distinct(), "cell-entries")
+        if left:
+            second = jump.select(F.col("duration").alias("following"), F.col("following").alias("further"))
+            jump = materialize(jump.join(second, "following").select("duration", F.col("further").alias("following")), "cell-jumps")
+    return entries
 
 
 def _sized(starts: DataFrame) -> DataFrame:
@@ -143,18 +177,24 @@ def _sized(starts: DataFrame) -> DataFrame:
 
 def gap_clusters(durations: Durations, tolerance: float = 5.0) -> DataFrame:
     """duration, n, cluster_start, cluster_size of the gap-chained clusters."""
-    return _sized(_gap_starts(durations, tolerance))
+    return _sized(_islands(durations, [tolerance]))
 
 
 def anchored_clusters(durations: Durations, tolerance: float = 5.0) -> DataFrame:
-    """duration, n, cluster_start, cluster_size of the anchored clusters.
-
-    A gap above the tolerance always ends a cluster, so heads are looked for within gap-chained islands only.
-    """
-    islands = materialize(_gap_starts(durations, tolerance), "islands")
-    if durations.distinct == 0:
-        return _sized(islands)
-    return _sized(_anchored_by_doubling(islands, durations, tolerance))
+    """duration, n, cluster_start, cluster_size of the anchored clusters."""
+    islands = materialize(_islands(durations, [tolerance]).drop("tolerance"), "islands")
+    entries = _entries(islands, durations, tolerance).withColumn("entry", F.lit(True))
+    marked = islands.join(entries, "duration", "left").select(
+        "cell", "duration", "n", F.coalesce("entry", F.lit(False)).alias("entry")
+    )
+    local = materialize(
+        marked.groupBy("cell").applyInPandas(
+            lambda rows: _heads(rows, tolerance), "cell bigint, duration double, n bigint, head double"
+        ),
+        "heads",
+    ).withColumn("head", F.nanvl("head", F.lit(None)))
+    placed = local.join(F.broadcast(_carried(local, "head")), "cell")
+    return _sized(placed.select("duration", "n", F.coalesce("head", "carry").alias("start")))
 
 
 def attach(records: DataFrame, clusters: DataFrame, durations: Durations) -> DataFrame:
@@ -167,21 +207,17 @@ def attach(records: DataFrame, clusters: DataFrame, durations: Durations) -> Dat
 
 
 def blocking_reduction(durations: Durations, tolerances: list[float]) -> DataFrame:
-    """Per tolerance: clusters and comparisons left by gap-chained blocking against all pairs."""
+    """Per tolerance: clusters and comparisons left by gap-chained blocking against all pairs, in one pass."""
     naive = durations.records * (durations.records - 1) // 2
-    parts = [
-        gap_clusters(durations, tolerance)
-        .select("cluster_start", "cluster_size")
-        .distinct()
-        .agg(
-            F.count(F.lit(1)).alias("clusters"),
-            F.coalesce(F.sum(F.expr("cluster_size * (cluster_size - 1) div 2")), F.lit(0)).alias("comparisons"),
-        )
-        .withColumn("tolerance", F.lit(float(tolerance)))
-        for tolerance in tolerances
-    ]
+    sizes = _islands(durations, tolerances).groupBy("tolerance", "start").agg(F.sum("n").alias("size")).where("size > 1")
+    counts = sizes.groupBy("tolerance").agg(
+        F.count(F.lit(1)).alias("clusters"), F.sum(F.expr("size * (size - 1) div 2")).alias("comparisons")
+    )
+    asked = durations.rows.sparkSession.createDataFrame([(float(t),) for t in tolerances], "tolerance double")
+    # The left side is as long as the list of tolerances.
+    every = asked.join(counts, "tolerance", "left").fillna(0, ["clusters", "comparisons"])
     share = (1 - F.col("comparisons") / F.lit(naive)) * 100 if naive else F.lit(0.0)
-    return reduce(DataFrame.unionByName, parts).select(
+    return every.select(
         "tolerance", "clusters", "comparisons", F.lit(naive).cast("bigint").alias("naive_comparisons"), share.alias("reduction_pct")
     )
 

@@ -39,33 +39,42 @@ def sign_word(vector: Column | str) -> Column:
     return F.aggregate(bits, none, lambda word, bit: word.bitwiseOR(bit))
 
 
-def _best_alignment(a: np.ndarray, b: np.ndarray, max_offset: int) -> float:
+def _best_alignment(a: np.ndarray, b: np.ndarray, max_offset: int, max_bits: int = 0) -> float:
     """Matches at the best relative offset, divided by the shorter length."""
     if len(a) > len(b):
         a, b = b, a
     n, reach = len(a), max_offset
-    padded = np.empty(len(b) + 2 * reach, dtype=np.int64)
+    padded = np.zeros(len(b) + 2 * reach, dtype=np.int64)
     padded[reach : reach + len(b)] = b
-    # The padding must match nothing in `a`: any value that `a` lacks will do.
-    filler = np.int64(0)
-    while (a == filler).any():
-        filler += 1
-    padded[:reach] = filler
-    padded[reach + len(b) :] = filler
+    inside = np.zeros(len(padded), dtype=bool)
+    inside[reach : reach + len(b)] = True
+    if not max_bits:
+        # The padding must match nothing in `a`: any value that `a` lacks will do.
+        filler = np.int64(0)
+        while (a == filler).any():
+            filler += 1
+        padded[~inside] = filler
     windows = np.lib.stride_tricks.sliding_window_view(padded, n)[: 2 * reach + 1]
+    valid = np.lib.stride_tricks.sliding_window_view(inside, n)[: 2 * reach + 1]
     step = max(1, _BLOCK // n)
     best = 0
     for low in range(0, len(windows), step):
-        best = max(best, int((windows[low : low + step] == a).sum(axis=1).max()))
+        part = windows[low : low + step]
+        if max_bits:
+            equal = (np.bitwise_count(part ^ a) <= max_bits) & valid[low : low + step]
+        else:
+            equal = part == a
+        best = max(best, int(equal.sum(axis=1).max()))
     return best / n
 
 
-def best_alignment(max_offset: int = MAX_OFFSET):
+def best_alignment(max_offset: int = MAX_OFFSET, max_bits: int = 0):
     """Vectorised scorer of two sequence columns: similarity in [0, 1], null for a missing or empty one.
 
-    score = max over offsets o, |o| <= max_offset, of #{i : a[i + o] = b[i]} / min(length). Work per pair
-    is bounded by (2 max_offset + 1) * length however often a value repeats, which a join of the positions
-    is not. Built-in array functions can express it but evaluate lambda by lambda, about 50 times slower.
+    score = max over offsets o, |o| <= max_offset, of #{i : a[i + o] matches b[i]} / min(length); two values match if at most
+    ``max_bits`` of their bits differ. Work per pair is bounded by (2 max_offset + 1) * length however often a value
+    repeats, which a join of the positions is not. Built-in array functions can express it but evaluate lambda by lambda,
+    about 50 times slower.
     """
 
     @F.pandas_udf("double")
@@ -73,7 +82,7 @@ def best_alignment(max_offset: int = MAX_OFFSET):
         return pd.Series(
             [
                 None if a is None or b is None or len(a) == 0 or len(b) == 0
-                else _best_alignment(np.asarray(a), np.asarray(b), max_offset)
+                else _best_alignment(np.asarray(a), np.asarray(b), max_offset, max_bits)
                 for a, b in zip(left, right)
             ],
             dtype="float64",

@@ -1,38 +1,40 @@
 """Similar content within duration clusters, without comparing all pairs.
 
-A score of t means that at one offset at least a = ceil(t n) of the n positions of the shorter sequence are
-equal. Every position that differs breaks at most k runs of k neighbours, so at least
-b = (n - k + 1) - k (n - a) runs of k values (*grams*) are equal too, and the two sequences have b grams in
-common, with multiplicity. Sizes k for which b stays at 1 or more can be used; k = 1 always can.
+A score of t means that at one offset at least a = ceil(t n) of the n positions of the shorter sequence match. Every position
+that does not match breaks at most k runs of k neighbours, so at that offset at least b = (n - k + 1) - k (n - a) runs
+of k values (*grams*) match too. Sizes k for which b stays at 1 or more can be used; k = 1 always can.
 
-Take any fixed order of all grams and sort the distinct grams of a sequence by it; the *weight* of a gram is
-the number of positions held by it and the grams after it. The first m common positions of a qualifying
-pair have weights of at least b - m + 1 in both sequences. So joining on (cluster, gram) where both weights reach
-that bound, and keeping pairs with m common positions, finds every qualifying pair. The order only decides how
-many others come along: frequent grams go last, where the bound leaves them out.
+Of the grams of a sequence only those count that another sequence of the cluster has too, say s of its positions; the
+others match nothing. Put these s positions in any order: as at least b of them match at the one offset, the first s - b + m hold m
+that do. So joining these first positions of the shorter sequence with all positions of the longer ones on (cluster, gram), and
+keeping the pairs with m matches at one offset, finds every qualifying pair; with s < b there is none. The order only decides
+how many others come along: the positions whose grams the cluster holds least often go first. How often is counted by an
+aggregation and joined to the postings, so nothing about the corpus reaches the driver, and every gram has its exact count.
 
 Long grams keep unrelated texts apart, short ones keep shared passages (headers, licences) out, as their bound is
-tighter. Each shorter sequence therefore picks the gram size whose grams are held by the fewest classes; the
-longer side offers all sizes.
+tighter. Each shorter sequence therefore picks the gram size that makes the fewest joined rows; the longer side offers all sizes.
+
+**Bit errors.** With ``max_bits`` = e two 32-bit values match if at most e of their bits differ. Cut into e + 1 blocks they agree
+in one block at least, so the blocks of a value take the place of its gram: a position is searched by each of its blocks, and a
+match counts at the first block that agrees.
+
+Positions are dealt into blocks of the width of the offset window, so a gram that fills a sequence meets only the places
+around its own in another, not all of them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dupelens.functions.sequences import MAX_OFFSET, best_alignment
+from dupelens.functions.sequences import MAX_OFFSET, WORD_BITS, best_alignment
 from dupelens.runtime import materialize
 
-# Grams put last in the order, most frequent at the very end: a fixed bound on what reaches the driver.
-FREQUENT_GRAMS = 40_000
 MAX_GRAM = 3
 MAX_COMMON = 5
-TOKENS_PER_CHUNK = 4_000_000
 
 
 def content_classes(records: DataFrame) -> DataFrame:
@@ -42,7 +44,7 @@ def content_classes(records: DataFrame) -> DataFrame:
     """
     distinct = records.select("cluster_start", "fingerprint", "words").dropDuplicates(["cluster_start", "fingerprint"])
     return materialize(
-        distinct.withColumn("length", F.size("words")).withColumn("class_id", F.monotonically_increasing_id()),
+        distinct.withColumn("length", F.coalesce(F.size("words"), F.lit(0))).withColumn("class_id", F.monotonically_increasing_id()),
         "content-classes",
     )
 
@@ -53,158 +55,125 @@ def gram_sizes(threshold: float) -> list[int]:
     return list(range(1, max(1, longest) + 1))
 
 
-class _Weigher:
-    """Distinct grams of a batch of sequences with their weights and occurrences."""
-
-    def __init__(self, frequent: list[tuple[int, int]]):
-        ordered = sorted((gram, rank + 1, n) for rank, (gram, n) in enumerate(frequent))
-        table = np.array(ordered, dtype=np.int64).reshape(-1, 3)
-        self.known, self.ranks, self.counts = table[:, 0], table[:, 1], table[:, 2]
-        self.rest = int(self.counts.min()) if len(self.counts) else 1
-
-    def lookup(self, gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and number of classes of each gram; all grams that are not listed count alike."""
-        if not len(self.known):
-            return np.zeros(len(gram), dtype=np.int64), np.ones(len(gram), dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.known, gram), len(self.known) - 1)
-        listed = self.known[at] == gram
-        return np.where(listed, self.ranks[at], 0), np.where(listed, self.counts[at], self.rest)
-
-    def weigh(self, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-        lengths = rows["length"].to_numpy()
-        words = np.concatenate(rows["words"].to_list()).astype(np.uint64)
-        owner = np.repeat(np.arange(len(rows)), lengths)
-        starts = np.flatnonzero(owner[: max(0, len(owner) - k + 1)] == owner[k - 1 :])
-        gram = np.full(len(starts), k, dtype=np.uint64)
-        for step in range(k):
-            # Equal grams get equal values; a rare clash of different ones only adds a candidate.
-            gram = gram * np.uint64(0x9E3779B97F4A7C15) + words[starts + step]
-        gram, owner = gram.astype(np.int64), owner[starts]
-        grams = np.bincount(owner, minlength=len(rows))
-        order = np.lexsort((gram, owner))
-        gram, owner = gram[order], owner[order]
-        first = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])][: len(gram)])
-        times = np.diff(np.r_[first, len(gram)])
-        gram, owner = gram[first], owner[first]
-        rank, held_by = self.lookup(gram)
-        order = np.lexsort((gram, rank, owner))
-        gram, owner, times, held_by = gram[order], owner[order], times[order], held_by[order]
-        # Positions before each gram within its own sequence; the weight is what is left.
-        before = np.cumsum(times) - times - (np.cumsum(grams) - grams)[owner]
-        return pd.DataFrame(
-            {
-                "owner": owner,
-                "cluster_start": rows["cluster_start"].to_numpy()[owner],
-                "class_id": rows["class_id"].to_numpy()[owner],
-                "length": lengths[owner],
-                "gram": gram,
-                "weight": (grams[owner] - before).astype(np.int32),
-                "times": times.astype(np.int32),
-                "held_by": held_by,
-            }
-        )
+def bit_blocks(max_bits: int) -> list[tuple[int, int]]:
+    """(shift, width) of ``max_bits + 1`` blocks that make up a value: with fewer differing bits one of them is equal."""
+    edges = [WORD_BITS * i // (max_bits + 1) for i in range(max_bits + 2)]
+    return [(low, high - low) for low, high in zip(edges, edges[1:])]
 
 
-def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for _, rows in batch.groupby(batch["length"].cumsum() // TOKENS_PER_CHUNK):
-            yield rows
-
-
-LONG = "cluster_start double, class_id bigint, length int, gram bigint, weight int, times int"
-SHORT = LONG.replace("weight int", "bound int, asked int")
-
-
-def _all_grams(sizes: list[int], frequent: list[tuple[int, int]]):
-    names = [part.split()[0] for part in LONG.split(", ")]
-
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weigher = _Weigher(frequent)
-        for rows in _chunks(batches):
-            for k in sizes:
-                yield weigher.weigh(rows, k)[names]
-
-    return entries
-
-
-def _cheapest_grams(sizes: list[int], threshold: float, frequent: list[tuple[int, int]]):
-    """Grams of each sequence that reach its bound, of the size whose grams the fewest classes hold."""
-    names = [part.split()[0] for part in SHORT.split(", ")]
-
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weigher = _Weigher(frequent)
-        for rows in _chunks(batches):
-            n = rows["length"].to_numpy().astype(np.int64)
-            matched = np.ceil(n * threshold - 1e-9).astype(np.int64)
-            kept, costs = [], []
-            for k in sizes:
-                common = (n - k + 1) - k * (n - matched)
-                asked = np.clip(common // 5, 1, MAX_COMMON)
-                found = weigher.weigh(rows, k)
-                owner = found["owner"].to_numpy()
-                found = found.assign(bound=(common - asked + 1)[owner].astype(np.int32), asked=asked[owner].astype(np.int32))
-                found = found[found["weight"] >= found["bound"]]
-                cost = np.bincount(found["owner"], weights=found["held_by"], minlength=len(rows))
-                kept.append(found)
-                costs.append(np.where(common >= 1, cost, np.inf))
-            choice = np.argmin(np.stack(costs), axis=0)
-            for i, found in enumerate(kept):
-                yield found[choice[found["owner"].to_numpy()] == i][names]
-
-    return entries
-
-
-def frequent_grams(classes: DataFrame, sizes: list[int], top: int = FREQUENT_GRAMS) -> list[tuple[int, int]]:
-    """The ``top`` grams by number of classes, with that number, rarest first."""
-    counted = (
-        _sequences(classes)
-        .mapInPandas(_all_grams(sizes, []), LONG)
-        .groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .orderBy(F.desc("n"), "gram")
-        .limit(top)
-    )
-    return [(row["gram"], row["n"]) for row in counted.collect()][::-1]
+def _block(value: Column, shift: int, width: int) -> Column:
+    return F.shiftright(value, shift).bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
 
 
 def _sequences(classes: DataFrame) -> DataFrame:
     return classes.where("length > 0").select("cluster_start", "class_id", "length", "words")
 
 
+def _postings(classes: DataFrame, sizes: list[int], max_bits: int) -> DataFrame:
+    """cluster_start, class_id, length, size, key, position, value: every place of every gram (or block of bits)."""
+    words = F.col("words")
+    shifted = [words, *(F.slice(words, k + 1, F.col("length")) for k in range(1, max(sizes)))]
+    zipped = F.arrays_zip(*(column.alias(f"w{k}") for k, column in enumerate(shifted)))
+    places = _sequences(classes).select("cluster_start", "class_id", "length", F.posexplode(zipped).alias("position", "w"))
+    value = F.col("w.w0")
+    if max_bits:
+        keys = [
+            F.struct(F.lit(1).alias("size"), (F.lit(i << WORD_BITS) + _block(value, *part)).alias("key"))
+            for i, part in enumerate(bit_blocks(max_bits))
+        ]
+    else:
+        # Equal grams get equal keys; a rare clash of different ones only adds a candidate.
+        keys = [
+            F.struct(F.lit(k).alias("size"), F.xxhash64(F.lit(k), *(F.col(f"w.w{i}") for i in range(k))).alias("key")) for k in sizes
+        ]
+    each = places.select("cluster_start", "class_id", "length", "position", value.alias("value"), F.explode(F.array(*keys)).alias("k"))
+    kept = ["cluster_start", "class_id", "length", "position", "k.size", "k.key"] + (["value"] if max_bits else [])
+    return each.where("position + k.size <= length").select(*kept)
+
+
+def _shared_postings(classes: DataFrame, sizes: list[int], max_bits: int) -> DataFrame:
+    """Postings whose gram another class of the cluster holds too, with ``n``, the places that it has in the cluster."""
+    postings = _postings(classes, sizes, max_bits)
+    counts = postings.groupBy("cluster_start", "key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("class_id").alias("least"), F.max("class_id").alias("greatest")
+    )
+    shared = counts.where("least < greatest").select("cluster_start", "key", "n")
+    return materialize(postings.join(shared, ["cluster_start", "key"]), "shared-postings")
+
+
+def _searched(postings: DataFrame, threshold: float, cost: Column) -> DataFrame:
+    """Places of each sequence that its longer partners are searched by, with ``asked``: the matches that must be found."""
+    place = Window.partitionBy("class_id", "size", "position")
+    of_size, of_class = Window.partitionBy("class_id", "size"), Window.partitionBy("class_id")
+    matched = F.ceil(F.col("length") * threshold - 1e-9)
+    common = (F.col("length") - F.col("size") + 1) - F.col("size") * (F.col("length") - matched)
+    ranked = (
+        postings.withColumn("common", common.cast("int"))
+        .where("common >= 1")
+        .withColumn("asked", F.expr(f"least(greatest(common div 5, 1), {MAX_COMMON})").cast("int"))
+        .withColumn("cost", F.sum(cost).over(place))
+        .withColumn("turn", F.dense_rank().over(of_size.orderBy("cost", "position")))
+        .withColumn("shared", F.max("turn").over(of_size))
+        .withColumn("first", (F.col("shared") >= F.col("common")) & (F.col("turn") <= F.col("shared") - F.col("common") + F.col("asked")))
+        .withColumn("rows", F.sum(F.when(F.col("first"), F.col("n")).otherwise(0)).over(of_size))
+        .withColumn("best", F.min(F.struct("rows", "size")).over(of_class))
+    )
+    return ranked.where(F.col("first") & (F.col("size") == F.col("best.size")))
+
+
 def candidate_pairs(
-    classes: DataFrame, threshold: float, frequent: list[tuple[int, int]] | None = None
+    classes: DataFrame, threshold: float, max_offset: int = MAX_OFFSET, max_bits: int = 0, cost: Column | None = None
 ) -> DataFrame:
-    """Pairs of classes (class_1, class_2) of one cluster that can reach ``threshold`` (> 0)."""
+    """Pairs of classes (class_1, class_2) of one cluster that can reach ``threshold`` (> 0).
+
+    ``cost`` puts the places of a sequence in order, by default the number of places its grams have in the cluster.
+    """
     if threshold <= 0:
         raise ValueError("a threshold above 0 is needed: at 0 every pair of a cluster qualifies")
-    sizes = gram_sizes(threshold)
-    if frequent is None:
-        frequent = frequent_grams(classes, sizes)
-    sequences = _sequences(classes)
-    short = sequences.mapInPandas(_cheapest_grams(sizes, threshold, frequent), SHORT).select(
-        "cluster_start", "gram", "asked", "bound",
-        F.col("times").alias("times_s"), F.col("class_id").alias("id_s"), F.col("length").alias("length_s"),
+    if not 0 <= max_bits < WORD_BITS:
+        raise ValueError(f"max_bits must be from 0 to {WORD_BITS - 1}")
+    sizes = [1] if max_bits else gram_sizes(threshold)
+    postings = _shared_postings(classes, sizes, max_bits)
+    span = 2 * max_offset + 1
+    values = ["value"] if max_bits else []
+    around = F.array_distinct(F.array(*(F.floor((F.col("position") + side) / span) for side in (-max_offset, max_offset))))
+    short = _searched(postings, threshold, F.col("n") if cost is None else cost).select(
+        "cluster_start", "key", "asked", F.explode(around).alias("block"),
+        *(F.col(c).alias(f"{c}_s") for c in ("class_id", "length", "position", *values)),
     )
-    long = sequences.mapInPandas(_all_grams(sizes, frequent), LONG).select(
-        "cluster_start", "gram", "weight",
-        F.col("times").alias("times_l"), F.col("class_id").alias("id_l"), F.col("length").alias("length_l"),
+    long = postings.select(
+        "cluster_start", "key", F.floor(F.col("position") / span).alias("block"),
+        *(F.col(c).alias(f"{c}_l") for c in ("class_id", "length", "position", *values)),
     )
     in_order = (F.col("length_s") < F.col("length_l")) | (
-        (F.col("length_s") == F.col("length_l")) & (F.col("id_s") < F.col("id_l"))
+        (F.col("length_s") == F.col("length_l")) & (F.col("class_id_s") < F.col("class_id_l"))
     )
+    offset = F.col("position_l") - F.col("position_s")
+    met = short.join(long, ["cluster_start", "key", "block"]).where(in_order & (F.abs(offset) <= max_offset))
+    if max_bits:
+        met = met.where(_first_match(max_bits))
     return (
-        short.join(long, ["cluster_start", "gram"])
-        .where(in_order & (F.col("weight") >= F.col("bound")))
-        .groupBy(F.col("id_s").alias("class_1"), F.col("id_l").alias("class_2"), "asked")
-        .agg(F.sum(F.least("times_s", "times_l")).alias("common"))
+        met.groupBy(F.col("class_id_s").alias("class_1"), F.col("class_id_l").alias("class_2"), offset.alias("offset"), "asked")
+        .agg(F.count(F.lit(1)).alias("common"))
         .where("common >= asked")
         .select("class_1", "class_2")
+        .distinct()
     )
 
 
-def score_pairs(pairs: DataFrame, classes: DataFrame, max_offset: int = MAX_OFFSET) -> DataFrame:
-    """Adds both fingerprints, the cluster and the best-alignment similarity, in fingerprint order."""
+def _first_match(max_bits: int) -> Column:
+    """Both values match, and the block they met by is the first in which they agree."""
+    differing = F.col("value_s").bitwiseXOR(F.col("value_l"))
+    blocks = [_block(differing, *part) == 0 for part in bit_blocks(max_bits)]
+    first = reduce(lambda rest, i: F.when(blocks[i], i).otherwise(rest), reversed(range(max_bits + 1)), F.lit(-1))
+    return (F.bit_count(differing) <= max_bits) & (F.shiftright(F.col("key"), WORD_BITS) == first)
+
+
+def score_pairs(pairs: DataFrame, classes: DataFrame, max_offset: int = MAX_OFFSET, max_bits: int = 0) -> DataFrame:
+    """Adds both fingerprints, the cluster and the best-alignment similarity, in fingerprint order.
+
+    The similarity is null where a content is missing. A pair without a second class is scored as one with missing content.
+    """
     left = classes.select(
         "cluster_start", F.col("class_id").alias("class_1"), F.col("fingerprint").alias("fp_1"), F.col("words").alias("words_1")
     )
@@ -214,14 +183,14 @@ def score_pairs(pairs: DataFrame, classes: DataFrame, max_offset: int = MAX_OFFS
     swap = F.col("fp_1") > F.col("fp_2")
     return (
         pairs.join(left, "class_1")
-        .join(right, "class_2")
-        .withColumn("similarity", best_alignment(max_offset)("words_1", "words_2"))
+        .join(right, "class_2", "left")
+        .withColumn("similarity", best_alignment(max_offset, max_bits)("words_1", "words_2"))
         .select(
             "cluster_start",
             F.when(swap, F.col("class_2")).otherwise(F.col("class_1")).alias("class_1"),
             F.when(swap, F.col("class_1")).otherwise(F.col("class_2")).alias("class_2"),
-            F.least("fp_1", "fp_2").alias("fingerprint_1"),
-            F.greatest("fp_1", "fp_2").alias("fingerprint_2"),
+            F.when(swap, F.col("fp_2")).otherwise(F.col("fp_1")).alias("fingerprint_1"),
+            F.when(swap, F.col("fp_1")).otherwise(F.col("fp_2")).alias("fingerprint_2"),
             "similarity",
         )
     )
@@ -232,11 +201,12 @@ def similar_classes(
     threshold: float,
     max_offset: int = MAX_OFFSET,
     wanted: Callable[[DataFrame], DataFrame] | None = None,
+    max_bits: int = 0,
 ) -> DataFrame:
     """All pairs of different content in one cluster with a similarity of at least ``threshold``.
 
     ``wanted`` narrows the candidates (class_1, class_2) before any content is moved or scored.
     """
-    pairs = candidate_pairs(classes, threshold)
-    scored = score_pairs(wanted(pairs) if wanted else pairs, classes, max_offset)
+    pairs = candidate_pairs(classes, threshold, max_offset, max_bits)
+    scored = score_pairs(wanted(pairs) if wanted else pairs, classes, max_offset, max_bits)
     return scored.where(F.col("similarity") >= threshold)

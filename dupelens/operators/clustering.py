@@ -21,7 +21,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from dupelens.runtime import materialize
@@ -34,9 +34,11 @@ class Durations:
     """Distinct durations with their record counts, cut into cells and written once, and their checked number."""
 
     def __init__(self, records: DataFrame):
-        counted = materialize(records.groupBy("duration").agg(F.count(F.lit(1)).alias("n")), "durations")
-        stats = counted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
-        self.distinct, self.records = stats
+        seen = Observation()
+        counts = records.groupBy("duration").agg(F.count(F.lit(1)).alias("n"))
+        totals = F.count(F.lit(1)).alias("distinct"), F.coalesce(F.sum("n"), F.lit(0)).alias("records")
+        counted = materialize(counts.observe(seen, *totals), "durations")
+        self.distinct, self.records = seen.get["distinct"], seen.get["records"]
         self.cells = max(1, min(MOST_CELLS, math.ceil(self.distinct / CELL_ROWS)))
         self.bounds = _cell_bounds(counted, self.cells)
         self.rows = _in_cells(counted, self.bounds)

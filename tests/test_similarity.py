@@ -90,12 +90,94 @@ def test_order_of_values_never_changes_the_result(spark):
     _, frame = make_classes(spark)
     classes = candidates.content_classes(frame)
 
-    def scored(frequent):
-        pairs = candidates.candidate_pairs(classes, 0.6, frequent)
+    def scored(cost):
+        pairs = candidates.candidate_pairs(classes, 0.6, cost=cost)
         hits = candidates.score_pairs(pairs, classes).where("similarity >= 0.6")
         return {(r["fingerprint_1"], r["fingerprint_2"]) for r in hits.collect()}
 
-    assert scored([]) == scored([(1, 9), (0, 40)]) == scored(candidates.frequent_grams(classes, [1, 2]))
+    assert scored(None) == scored(F.lit(1)) == scored(-F.col("n")) == scored(F.xxhash64("key"))
+
+
+def flipped(value, rnd, most):
+    for bit in rnd.sample(range(32), rnd.randrange(0, most + 1)):
+        value ^= 1 << bit
+    return value
+
+
+def naive_bits(a, b, reach, bits):
+    best = 0
+    for shift in range(-reach, reach + 1):
+        best = max(best, sum((x ^ b[i + shift]).bit_count() <= bits for i, x in enumerate(a) if 0 <= i + shift < len(b)))
+    return best / min(len(a), len(b))
+
+
+@pytest.mark.parametrize("bits", [1, 2, 5])
+def test_bit_tolerant_score_equals_brute_force(monkeypatch, bits):
+    monkeypatch.setattr(sequences, "_BLOCK", 64)
+    rnd = random.Random(bits)
+    for _ in range(100):
+        a = [rnd.getrandbits(32) if rnd.random() < 0.7 else 0 for _ in range(rnd.randrange(1, 25))]
+        b = [flipped(v, rnd, bits + 1) for v in a[rnd.randrange(len(a)) :]] + [rnd.getrandbits(32)] * rnd.randrange(3)
+        if b:
+            for reach in (0, 4, 40):
+                score = _best_alignment(np.array(a), np.array(b), reach, bits)
+                assert score == naive_bits(a, b, reach, bits) == _best_alignment(np.array(b), np.array(a), reach, bits)
+
+
+def test_blocks_of_bits_cover_a_word():
+    for bits in range(0, 32):
+        blocks = candidates.bit_blocks(bits)
+        assert len(blocks) == bits + 1 and sum(width for _, width in blocks) == 32
+        assert [shift for shift, _ in blocks] == [sum(w for _, w in blocks[:i]) for i in range(bits + 1)]
+
+
+@pytest.mark.parametrize(("bits", "threshold"), [(1, 0.5), (2, 0.75), (2, 0.3), (4, 0.6)])
+def test_bit_tolerant_search_misses_nothing(spark, bits, threshold):
+    rnd = random.Random(bits)
+    rows = []
+    for i in range(90):
+        if rows and rnd.random() < 0.7:
+            words = [flipped(v, rnd, bits + 1) for v in rnd.choice(rows)[2]]
+            words = words[rnd.randrange(3) :] or words
+        else:
+            words = [rnd.choice([rnd.getrandbits(32), 0, 0xFFFFFFFF, 1 << 31]) for _ in range(rnd.randrange(1, 20))]
+        rows.append((float(i % 2), f"fp{i:03d}", words))
+    frame = spark.createDataFrame(rows, "cluster_start double, fingerprint string, words array<bigint>")
+    found = {
+        (r["fingerprint_1"], r["fingerprint_2"]): r["similarity"]
+        for r in candidates.similar_classes(candidates.content_classes(frame), threshold, 6, max_bits=bits).collect()
+    }
+    expected = {}
+    for i, (cluster, fp, words) in enumerate(rows):
+        for other, fp2, words2 in rows[i + 1 :]:
+            if other == cluster and (score := naive_bits(words, words2, 6, bits)) >= threshold:
+                expected[(fp, fp2)] = score
+    assert found == expected and len(expected) > 20
+
+
+def test_bit_errors_are_bounded(spark):
+    _, frame = make_classes(spark, n=5)
+    with pytest.raises(ValueError):
+        candidates.candidate_pairs(candidates.content_classes(frame), 0.5, max_bits=32)
+
+
+def test_matches_must_lie_at_one_offset(spark):
+    """The same values in another order: many common values, but few at any one offset."""
+    rnd = random.Random(1)
+    base = [rnd.randrange(10**6) for _ in range(60)]
+    rows = [(0.0, "base", base), (0.0, "moved", [base[i] for i in rnd.sample(range(60), 60)]), (0.0, "near", base[2:50] + [7] * 10)]
+    classes = candidates.content_classes(spark.createDataFrame(rows, "cluster_start double, fingerprint string, words array<bigint>"))
+    names = {r["class_id"]: r["fingerprint"] for r in classes.collect()}
+    pairs = [{names[r["class_1"]], names[r["class_2"]]} for r in candidates.candidate_pairs(classes, 0.5).collect()]
+    assert pairs == [{"base", "near"}]
+
+
+def test_repeated_values_meet_only_around_their_place(spark):
+    """A value that fills two long sequences: matches grow with the length times the window, not with its square."""
+    rows = [(0.0, name, [5] * 4000 + [own] * 400) for name, own in (("a", 1), ("b", 2))]
+    classes = candidates.content_classes(spark.createDataFrame(rows, "cluster_start double, fingerprint string, words array<bigint>"))
+    found = candidates.similar_classes(classes, 0.9, 3).collect()
+    assert [r["similarity"] for r in found] == [4000 / 4400]
 
 
 def test_threshold_must_be_positive(spark):

@@ -42,7 +42,8 @@ def content_classes(records: DataFrame) -> DataFrame:
 
     Copies share a class, so scoring costs nothing more for content that occurs very often.
     """
-    distinct = records.select("cluster_start", "fingerprint", "words").dropDuplicates(["cluster_start", "fingerprint"])
+    # Copies have equal content, but that of a copy may be missing.
+    distinct = records.groupBy("cluster_start", "fingerprint").agg(F.first("words", ignorenulls=True).alias("words"))
     return materialize(
         distinct.withColumn("length", F.coalesce(F.size("words"), F.lit(0))).withColumn("class_id", F.monotonically_increasing_id()),
         "content-classes",
@@ -101,24 +102,30 @@ def _shared_postings(classes: DataFrame, sizes: list[int], max_bits: int) -> Dat
     return materialize(postings.join(shared, ["cluster_start", "key"]), "shared-postings")
 
 
-def _searched(postings: DataFrame, threshold: float, cost: Column) -> DataFrame:
+def _searched(postings: DataFrame, threshold: float, cost: Column, max_bits: int) -> DataFrame:
     """Places of each sequence that its longer partners are searched by, with ``asked``: the matches that must be found."""
-    place = Window.partitionBy("class_id", "size", "position")
     of_size, of_class = Window.partitionBy("class_id", "size"), Window.partitionBy("class_id")
     matched = F.ceil(F.col("length") * threshold - 1e-9)
     common = (F.col("length") - F.col("size") + 1) - F.col("size") * (F.col("length") - matched)
-    ranked = (
-        postings.withColumn("common", common.cast("int"))
-        .where("common >= 1")
-        .withColumn("asked", F.expr(f"least(greatest(common div 5, 1), {MAX_COMMON})").cast("int"))
-        .withColumn("cost", F.sum(cost).over(place))
-        .withColumn("turn", F.dense_rank().over(of_size.orderBy("cost", "position")))
-        .withColumn("shared", F.max("turn").over(of_size))
-        .withColumn("first", (F.col("shared") >= F.col("common")) & (F.col("turn") <= F.col("shared") - F.col("common") + F.col("asked")))
-        .withColumn("rows", F.sum(F.when(F.col("first"), F.col("n")).otherwise(0)).over(of_size))
+    usable = postings.withColumn("common", common.cast("int")).where("common >= 1")
+    # Sequences without enough shared places are left out before anything is put in order.
+    places = usable.select("class_id", "size", "common", "position")
+    places = places.distinct() if max_bits else places
+    counted = places.groupBy("class_id", "size").agg(F.count(F.lit(1)).alias("shared"), F.first("common").alias("common"))
+    enough = counted.where("shared >= common").drop("common")
+    valued = usable.join(enough, ["class_id", "size"]).withColumn("cost", cost)
+    if max_bits:
+        # A place is searched by each of its blocks.
+        valued = valued.withColumn("cost", F.sum("cost").over(Window.partitionBy("class_id", "size", "position")))
+    turn = F.dense_rank() if max_bits else F.row_number()
+    return (
+        valued.withColumn("asked", F.expr(f"least(greatest(common div 5, 1), {MAX_COMMON})").cast("int"))
+        .withColumn("turn", turn.over(of_size.orderBy("cost", "position")))
+        .where(F.col("turn") <= F.col("shared") - F.col("common") + F.col("asked"))
+        .withColumn("rows", F.sum("n").over(of_size))
         .withColumn("best", F.min(F.struct("rows", "size")).over(of_class))
+        .where(F.col("size") == F.col("best.size"))
     )
-    return ranked.where(F.col("first") & (F.col("size") == F.col("best.size")))
 
 
 def candidate_pairs(
@@ -137,7 +144,7 @@ def candidate_pairs(
     span = 2 * max_offset + 1
     values = ["value"] if max_bits else []
     around = F.array_distinct(F.array(*(F.floor((F.col("position") + side) / span) for side in (-max_offset, max_offset))))
-    short = _searched(postings, threshold, F.col("n") if cost is None else cost).select(
+    short = _searched(postings, threshold, F.col("n") if cost is None else cost, max_bits).select(
         "cluster_start", "key", "asked", F.explode(around).alias("block"),
         *(F.col(c).alias(f"{c}_s") for c in ("class_id", "length", "position", *values)),
     )

@@ -292,9 +292,11 @@ def summary(pairs: DataFrame) -> DataFrame:
     return side_by_side(stats, median(pairs))
 
 
-def experiment_counts(pairs: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """Pairs per experiment label among pairs above the threshold. Pairs carry no sizes: filter by :func:`comparable_sizes`
-    where both sizes are known, before this."""
+def experiment_counts(pairs: DataFrame, threshold: float = 0.75, sizes: tuple[str, str] | None = None) -> DataFrame:
+    """Pairs per experiment label among pairs above the threshold; with ``sizes``, the columns of both file sizes, pairs of
+    very different sizes are left out before anything else."""
+    if sizes:
+        pairs = pairs.where(comparable_sizes(*(F.col(c) for c in sizes)))
     label = experiment_type(F.col("similarity"), F.col("format_1") == F.col("format_2"))
     return above(pairs, threshold).groupBy(label.alias("duplicate_type")).agg(F.count(F.lit(1)).alias("pairs"))
 

@@ -8,8 +8,10 @@ from dupelens.functions import sequences
 from dupelens.functions.labels import status
 from dupelens.operators import candidates, clustering, compare, pair_space
 from dupelens.plans import fuzzy_detection as fuzzy
+from dupelens.plans import resumable
 from dupelens.queries.views import with_views
-from dupelens.runtime import materialize
+from dupelens.runtime import fresh_path, materialize
+from dupelens.sinks import tables
 from dupelens.sources import fixtures
 from dupelens.sources.fingerprints import usable
 
@@ -17,15 +19,17 @@ TOLERANCE = 5.0
 
 
 def _texts(spark, sf):
-    return fixtures.table(spark, sf, "documents")
+    """The documents, dealt to all tasks: the given file is one split, and what follows is work per text."""
+    return fixtures.spread(fixtures.table(spark, sf, "documents"))
 
 
-def _records(spark, sf):
-    """Usable records with their whole content as a sequence."""
+def _records(spark, sf, complete=True):
+    """Usable records with their whole content as a sequence; without ``complete`` some contents are missing."""
     media = fixtures.media_of_documents(_texts(spark, sf))
+    words = sequences.token_hashes("content")
     return usable(media.withColumn("fingerprint", F.md5("content"))).select(
         "asset_id", "file_key", "format", "source", "duration", "file_size", "fingerprint",
-        sequences.token_hashes("content").alias("words"),
+        (words if complete else F.when(~fixtures.is_unreadable(), words)).alias("words"),
     )
 
 
@@ -37,8 +41,8 @@ def _durations(spark, sf):
     return clustering.Durations(_plain_records(spark, sf))
 
 
-def _blocked(spark, sf):
-    return fuzzy.block(_records(spark, sf), TOLERANCE)
+def _blocked(spark, sf, complete=True):
+    return fuzzy.block(_records(spark, sf, complete), TOLERANCE)
 
 
 def _plain_blocked(spark, sf):
@@ -50,14 +54,47 @@ def _found(mode="all"):
 
 
 def _new_only(spark, sf):
-    found = fuzzy.detect(_blocked(spark, sf))
-    same = found.where("fingerprint_1 = fingerprint_2").select("fingerprint_1", "fingerprint_2")
-    return fuzzy.not_known(found, same)
+    """Known pairs come from a stored table: each file of an exact group with the group's first file."""
+    records = _plain_records(spark, sf)
+    first = records.groupBy("fingerprint").agg(F.min(F.struct("asset_id", "file_key")).alias("first"))
+    stored = records.join(first, "fingerprint").select(
+        F.col("asset_id").alias("asset_id_1"), F.col("file_key").alias("file_key_1"),
+        F.col("first.asset_id").alias("asset_id_2"), F.col("first.file_key").alias("file_key_2"),
+    )
+    path = fresh_path(spark, "stored-pairs")
+    tables.append(stored, path)
+    return fuzzy.detect(_blocked(spark, sf), known=spark.read.schema(stored.schema).parquet(path))
 
 
 def _summary(spark, sf):
-    blocked = _blocked(spark, sf)
-    return fuzzy.run_summary(blocked, fuzzy.detect(blocked))
+    blocked = _blocked(spark, sf, complete=False)
+    return fuzzy.run_summary(blocked, fuzzy.compare(blocked))
+
+
+def _errors(spark, sf):
+    """Files that could not be compared go to a path of their own, beside the results."""
+    path = fresh_path(spark, "duplicates")
+    found = fuzzy.compare(_blocked(spark, sf, complete=False))
+    tables.append(found.pairs, path, "json")
+    tables.append(found.errors, f"{path}_errors", "json")
+    return spark.read.schema(found.errors.schema).json(f"{path}_errors").drop("timestamp")
+
+
+def _stopped(spark, sf):
+    """A run that was stopped after two of its four batches: its records and its folder."""
+    blocked, path = _blocked(spark, sf), fresh_path(spark, "run")
+    resumable.run(blocked, path, batches=4, most_batches=2)
+    return blocked, path
+
+
+def _remaining(spark, sf):
+    return resumable.remaining(*_stopped(spark, sf))
+
+
+def _resumed(spark, sf):
+    blocked, path = _stopped(spark, sf)
+    resumable.run(blocked, path, batches=4)
+    return resumable.pairs(spark, path)
 
 
 def _matrix(spark, sf):
@@ -72,19 +109,29 @@ def _matrix(spark, sf):
 
 
 def _scores(spark, sf):
-    classes = candidates.content_classes(_blocked(spark, sf).records)
-    return candidates.similar_classes(classes, 0.5).select(
+    return candidates.similar_classes(_blocked(spark, sf).classes, 0.5).select(
         "cluster_start", "fingerprint_1", "fingerprint_2", "similarity"
     )
 
 
-def _remaining(spark, sf):
-    """Clusters still to do; those with a labelled document count as completed."""
-    records = _plain_blocked(spark, sf)
-    labelled = fixtures.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("asset_id")).distinct()
-    completed = records.join(labelled, "asset_id", "left_semi").select("cluster_start").distinct()
-    sizes = records.groupBy("cluster_start").agg(F.count(F.lit(1)).alias("records"))
-    return sizes.join(completed, "cluster_start", "left_anti")
+def _bit_tolerant(spark, sf):
+    """Scores with up to two bit errors per value; every second value of the mp3 files has one or two bits turned."""
+    media = fixtures.media_of_documents(_texts(spark, sf))
+    words = sequences.token_values("content")
+    key = F.col("asset_id").cast("bigint")
+    one, other = (F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(key + n, F.lit(32)).cast("int")) for n in (0, 7))
+    turned = F.transform(
+        words,
+        lambda word, at: F.when(at % 4 == 0, word.bitwiseXOR(one)).when(at % 4 == 2, word.bitwiseXOR(one.bitwiseXOR(other))).otherwise(word),
+    )
+    is_mp3 = F.col("format") == "mp3"
+    records = usable(media.withColumn("fingerprint", F.md5(F.concat_ws("-", "content", "format", F.pmod(key, F.lit(32)))))).select(
+        "duration", "fingerprint", F.when(is_mp3, turned).otherwise(words).alias("words")
+    )
+    blocked = fuzzy.block(records, TOLERANCE)
+    return candidates.similar_classes(blocked.classes, 0.75, max_bits=2).select(
+        "cluster_start", "fingerprint_1", "fingerprint_2", "similarity"
+    )
 
 
 def _neighbours(frame, key, *columns):
@@ -197,6 +244,9 @@ SPARK = {
     "pairs_same_source": lambda s, d: _found("same-source")(s, d).drop("duplicate_type"),
     "fuzzy_duplicates_new_only": _new_only,
     "detection_run_summary": _summary,
+    "pair_errors": _errors,
+    "bit_tolerant_similarity": _bit_tolerant,
+    "resumed_detection": _resumed,
     "all_pairs_matrix": _matrix,
     "resume_remaining_clusters": _remaining,
     "token_fingerprint": _token_fingerprint,
@@ -284,6 +334,28 @@ labelled as (select *,
   from found)"""
 )
 
+# Contents that cannot be read in any copy.
+FAILED = """,
+failed as (select cluster_start, fingerprint from clustered group by cluster_start, fingerprint
+           having bool_and(format = 'mp3' and cast(asset_id as bigint) % 50 = 5))"""
+
+# The same without the pairs of a file and the first file of its exact group.
+NEW_UNITS = UNITS.replace(
+    """   and (a.fingerprint, a.source, a.format, a.file_key) < (b.fingerprint, b.source, b.format, b.file_key)
+""",
+    """   and (a.fingerprint, a.source, a.format, a.file_key) < (b.fingerprint, b.source, b.format, b.file_key)
+  where not exists (select 1 from first_files f where f.fingerprint = a.fingerprint and f.fingerprint = b.fingerprint
+                      and ((f.asset_id, f.file_key) = (a.asset_id, a.file_key) or (f.asset_id, f.file_key) = (b.asset_id, b.file_key)))
+""",
+).replace(
+    """
+unit_pairs as (""",
+    """
+first_files as (select fingerprint, asset_id, file_key from usable
+                qualify row_number() over (partition by fingerprint order by asset_id, file_key) = 1),
+unit_pairs as (""",
+)
+
 # Pairs of files in one cluster, made one by one.
 FILE_PAIRS = (
     HEADS
@@ -302,11 +374,11 @@ def _clustered(body: str, cte: str = HEADS, views: str = "fingerprint") -> str:
     return with_views(views, body, cte, recursive=True)
 
 
-def _unit_sql(where: str = "", columns: str = "") -> str:
+def _unit_sql(where: str = "", columns: str = "", cte: str = UNITS) -> str:
     return _clustered(
         f"""select cluster_start, fingerprint_1, source_1, format_1, fingerprint_2, source_2, format_2, similarity,
             {columns} files_1, files_2, file_pairs from labelled {where}""",
-        UNITS,
+        cte,
     )
 
 
@@ -400,9 +472,10 @@ sized_{tol} as (select *, sum(n) over (partition by cluster_start) as cluster_si
     "pairs_all": _unit_sql(),
     "pairs_cross_source": _unit_sql("where source_1 <> source_2"),
     "pairs_same_source": _unit_sql("where source_1 = source_2"),
-    "fuzzy_duplicates_new_only": _unit_sql("where fingerprint_1 <> fingerprint_2", "duplicate_type,"),
+    "fuzzy_duplicates_new_only": _unit_sql("", "duplicate_type,", NEW_UNITS),
+    "resumed_detection": _unit_sql("", "duplicate_type,"),
     "detection_run_summary": _clustered(
-        """select songs, clusters, comparisons, skipped, duplicates,
+        """select songs, clusters, comparisons, skipped, errors, duplicates,
              round((1 - comparisons / (songs * (songs - 1) // 2)) * 100, 6) as efficiency_pct
            from (select (select count(*) from usable) as songs,
              (select count(distinct cluster_start) from clustered) as clusters,
@@ -410,8 +483,45 @@ sized_{tol} as (select *, sum(n) over (partition by cluster_start) as cluster_si
                 and a.file_key < b.file_key and a.asset_id <> b.asset_id) as comparisons,
              (select count(*) from clustered a join clustered b on a.cluster_start = b.cluster_start
                 and a.file_key < b.file_key and a.asset_id = b.asset_id) as skipped,
-             (select sum(file_pairs)::bigint from labelled) as duplicates)""",
-        UNITS,
+             (select count(*) from clustered a join clustered b on a.cluster_start = b.cluster_start
+                and a.file_key < b.file_key and a.asset_id <> b.asset_id
+              where exists (select 1 from failed f where f.cluster_start = a.cluster_start and f.fingerprint in (a.fingerprint, b.fingerprint))) as errors,
+             (select sum(file_pairs)::bigint from labelled p
+              where not exists (select 1 from failed f where f.cluster_start = p.cluster_start
+                                  and f.fingerprint in (p.fingerprint_1, p.fingerprint_2))) as duplicates)""",
+        UNITS + FAILED,
+    ),
+    "pair_errors": _clustered(
+        """select 'comparison_returned_none' as error_type, 'no content to compare' as error_message, cluster_start, asset_id, file_key,
+             fingerprint, format, source, duration, comparisons
+           from (select c.*, (select count(*) from clustered o where o.cluster_start = c.cluster_start and o.asset_id <> c.asset_id) as comparisons
+                 from clustered c join failed using (cluster_start, fingerprint))
+           where comparisons > 0""",
+        HEADS + FAILED,
+    ),
+    "bit_tolerant_similarity": _clustered(
+        """select cluster_start, fingerprint_1, fingerprint_2, max(hits) / any_value(shorter) as similarity
+           from votes group by cluster_start, fingerprint_1, fingerprint_2 having max(hits) / any_value(shorter) >= 0.75""",
+        HEADS
+        + """,
+starts as (select distinct duration, cluster_start from clustered),
+content as (select distinct s.cluster_start, md5(concat_ws('-', m.content, m.format, cast(m.asset_id as bigint) % 32)) as fingerprint,
+              cast(m.asset_id as bigint) as id, m.format, string_split(lower(m.content), ' ') as words
+            from media m join starts s using (duration) where m.processing_status = 'SUCCESS'),
+single as (select cluster_start, fingerprint, min(id) as id, any_value(format) as format, any_value(words) as words from content group by 1, 2),
+tokens as (select cluster_start, fingerprint, id, format, len(words) as length, unnest(words) as token, unnest(range(len(words))) as pos from single),
+numbers as (select cluster_start, fingerprint, length, pos, case when format <> 'mp3' then v when pos % 4 = 0 then xor(v, one)
+              when pos % 4 = 2 then xor(v, xor(one, other)) else v end as value
+            from (select *, ('0x' || substr(md5(token), 1, 8))::bigint as v, (1::bigint << (id % 32)::int) as one,
+                         (1::bigint << ((id + 7) % 32)::int) as other from tokens)),
+-- Two of 32 bits differ in at most two of three blocks of bits: one block is equal.
+blocks as (select *, unnest([0, 1, 2]) as block, unnest([value & 1023, (value >> 10) & 2047, value >> 21]) as bits from numbers),
+votes as (select a.cluster_start, a.fingerprint as fingerprint_1, b.fingerprint as fingerprint_2, least(a.length, b.length) as shorter,
+                 a.pos - b.pos as shift, count(distinct a.pos) as hits
+          from blocks a join blocks b on a.cluster_start = b.cluster_start and a.block = b.block and a.bits = b.bits
+            and a.fingerprint < b.fingerprint and abs(a.pos - b.pos) <= 120 and bit_count(xor(a.value, b.value)) <= 2
+          group by all)""",
+        "fingerprint media",
     ),
     "all_pairs_matrix": _clustered(
         """select cluster_start, fingerprint_1, fingerprint_2, source_1, source_2, format_1, format_2, similarity,
@@ -424,8 +534,7 @@ sized_{tol} as (select *, sum(n) over (partition by cluster_start) as cluster_si
     ),
     "resume_remaining_clusters": _clustered(
         """select cluster_start, count(*) as records from clustered
-           where cluster_start not in (select cluster_start from clustered
-                                       where asset_id in (select cast(doc_id as varchar) from labels))
+           where floor(cluster_start)::bigint % 4 not in (select distinct floor(cluster_start)::bigint % 4 as batch from clustered order by 1 limit 2)
            group by cluster_start"""
     ),
     "token_fingerprint": """select doc_id, len(w)::integer as length, list_sum(w)::bigint as value_sum, list_min(w) as value_min, list_max(w) as value_max

@@ -109,21 +109,6 @@ def _append(spark, sf):
     return spark.read.schema(PAIR).json(path)
 
 
-def _errors(spark, sf):
-    """Failed comparisons (no score) go to a path of their own."""
-    path = fresh_path(spark, "pairs-errors")
-    failed = fixtures.pairs(spark, sf).where("similarity < 0.05")
-    records = failed.select(
-        F.lit("comparison_returned_none").alias("error_type"),
-        F.lit("no similarity").alias("error_message"),
-        F.current_timestamp().alias("timestamp"),
-        *(f"{c}_{n}" for n in (1, 2) for c in ("asset_id", "file_key", "format", "source", "duration")),
-        F.abs(F.col("duration_1") - F.col("duration_2")).alias("duration_diff"),
-    )
-    tables.append(records, path, "json")
-    return spark.read.schema(records.schema).json(path).drop("timestamp")
-
-
 def _result_lines(spark, sf):
     """A result file: pair records as JSON, some lines cut off, some without a score."""
     text = F.to_json(F.struct(*PAIR_COLUMNS))
@@ -210,7 +195,6 @@ SPARK = {
     "export_jsonl_roundtrip": _jsonl,
     "full_refresh_roundtrip": _refresh,
     "pairs_append_roundtrip": _append,
-    "pair_errors": _errors,
     "read_pairs_jsonl": _read_lines,
     "idempotent_upload": _upload,
     "upload_counts": lambda s, d: tables.upload_counts(_split(s, d)),
@@ -277,11 +261,6 @@ SQL = {
              duration_1, file_key_2, format_2, source_2, duration_2, abs(duration_1 - duration_2) as duration_diff from typed""",
         TYPED,
     ),
-    "pair_errors": with_views(
-        "pairs",
-        """select 'comparison_returned_none' as error_type, 'no similarity' as error_message, asset_id_1, file_key_1, format_1, source_1, duration_1,
-             asset_id_2, file_key_2, format_2, source_2, duration_2, abs(duration_1 - duration_2) as duration_diff from pairs where similarity < 0.05""",
-    ),
     "read_pairs_jsonl": with_views(
         "pairs",
         """select case when similarity < 0.05 then 'malformed' when similarity < 0.06 then 'incomplete' else 'ok' end as state, count(*) as lines,

@@ -75,6 +75,11 @@ def _stored(spark, sf):
     return known.select(*(F.when(swap, F.col(other[n])).otherwise(F.col(n)).alias(n) for n in names))
 
 
+def _sized_pairs(spark, sf):
+    """Pairs with two numbers that stand for file sizes."""
+    return _pairs(spark, sf).withColumn("size_1", F.col("duration_1")).withColumn("size_2", F.col("asset_id_2").cast("double"))
+
+
 def _size_filter(spark, sf):
     keep = ops.comparable_sizes(F.col("duration_1"), F.col("asset_id_2").cast("double"))
     return _pairs(spark, sf).where(keep).select(*KEYS, "duration_1", "asset_id_2")
@@ -93,7 +98,7 @@ SPARK = {
     "pair_records": _records,
     "classify_pairs": lambda s, d: _labelled(s, d).select(*KEYS, "similarity", "duplicate_type"),
     "similarity_status": _statuses,
-    "experiment_types": lambda s, d: ops.experiment_counts(_pairs(s, d)),
+    "experiment_types": lambda s, d: ops.experiment_counts(_sized_pairs(s, d), sizes=("size_1", "size_2")),
     "pair_arithmetic": _arithmetic,
     "pair_warnings": _warnings,
     "pairs_above_threshold": lambda s, d: ops.above(_pairs(s, d), 0.75).select(*KEYS, "similarity"),
@@ -188,7 +193,8 @@ SQL = {
         """select case when similarity >= 0.99 then case when format_1 = format_2 then 'IDENTICAL' else 'SAME_CONTENT_DIFF_FORMAT' end
              when similarity >= 0.90 then 'VERY_HIGH_SIMILARITY' when similarity >= 0.80 then 'HIGH_SIMILARITY'
              when similarity >= 0.60 then 'RELATED_VERSIONS' else 'DIFFERENT_ARRANGEMENTS' end as duplicate_type, count(*) as pairs
-           from pairs where similarity >= 0.75 group by 1"""
+           from pairs where similarity >= 0.75 and not (duration_1 > 0 and cast(asset_id_2 as double) > 0
+             and greatest(duration_1, cast(asset_id_2 as double)) / least(duration_1, cast(asset_id_2 as double)) > 10) group by 1"""
     ),
     "pair_arithmetic": _sql(
         """select file_key_1, file_key_2, abs(duration_1 - duration_2) as duration_diff, duration_1 / nullif(duration_2, 0) as size_ratio,

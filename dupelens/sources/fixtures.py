@@ -10,6 +10,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame) -> DataFrame:
+    """Rows dealt to as many tasks as shuffles have: for work per row on tables that are one file with one row group."""
+    return frame.repartition(int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def is_unreadable() -> Column:
+    """Files of :func:`media_of_documents` whose content counts as missing, where a fixture wants some."""
+    return (F.col("format") == "mp3") & (F.pmod(F.col("asset_id").cast("bigint"), F.lit(50)) == 5)
+
+
 def asset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The asset dimension."""
     return table(spark, sf_dir, "customer").select(

@@ -10,13 +10,17 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dupelens.plans import fuzzy_detection as fuzzy
 
 LEDGER = "run string, attempt string, cluster_start double, records bigint"
 RUNS = "run string, event string, at timestamp, settings string, state string"
+ERRORS = (
+    "error_type string, error_message string, timestamp timestamp, cluster_start double, asset_id string, file_key string, "
+    "fingerprint string, format string, source string, duration double, comparisons bigint"
+)
 PAIRS = (
     "cluster_start double, fingerprint_1 string, source_1 string, format_1 string, fingerprint_2 string, source_2 string, "
     "format_2 string, similarity double, duplicate_type string, files_1 bigint, files_2 bigint, file_pairs bigint"
@@ -66,6 +70,12 @@ def remaining(blocked: fuzzy.Blocked, path: str) -> DataFrame:
     return sizes.join(_ledger(blocked.records.sparkSession, path), "cluster_start", "left_anti")
 
 
+def batch_of(cluster_start: str, batches: int) -> Column:
+    """The batch of a cluster: by a digest, as lengths are often round numbers."""
+    digest = F.md5(F.floor(cluster_start).cast("string"))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(batches))
+
+
 def _of_clusters(blocked: fuzzy.Blocked, clusters: DataFrame) -> fuzzy.Blocked:
     wanted = clusters.select("cluster_start")
     return fuzzy.Blocked(
@@ -99,7 +109,7 @@ def run(
     else:
         name = uuid.uuid4().hex
         _note(spark, path, name, "started", settings, state)
-    left = remaining(blocked, path).withColumn("batch", F.pmod(F.floor("cluster_start"), F.lit(batches)))
+    left = remaining(blocked, path).withColumn("batch", batch_of("cluster_start", batches))
     todo = sorted(row["batch"] for row in left.select("batch").distinct().collect())
     for batch in todo[:most_batches]:
         clusters = left.where(F.col("batch") == batch)
@@ -116,10 +126,12 @@ def run(
     return complete
 
 
-def _finished_rows(spark: SparkSession, path: str, name: str, schema: str | None = None) -> DataFrame:
+def _finished_rows(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
+    stored = f"{schema}, attempt string"
+    spark.createDataFrame([], stored).write.mode("ignore").partitionBy("attempt").parquet(f"{path}/{name}")
     done = _ledger(spark, path).select("attempt", "cluster_start")
-    reader = spark.read.schema(f"{schema}, attempt string") if schema else spark.read
-    return reader.parquet(f"{path}/{name}").join(done, ["attempt", "cluster_start"], "left_semi").drop("attempt")
+    rows = spark.read.schema(stored).parquet(f"{path}/{name}")
+    return rows.join(done, ["attempt", "cluster_start"], "left_semi").drop("attempt")
 
 
 def pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -129,4 +141,4 @@ def pairs(spark: SparkSession, path: str) -> DataFrame:
 
 def errors(spark: SparkSession, path: str) -> DataFrame:
     """Files that could not be compared, of the finished clusters of the current run."""
-    return _finished_rows(spark, path, "errors")
+    return _finished_rows(spark, path, "errors", ERRORS)

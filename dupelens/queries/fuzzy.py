@@ -533,9 +533,12 @@ votes as (select a.cluster_start, a.fingerprint as fingerprint_1, b.fingerprint
         UNITS,
     ),
     "resume_remaining_clusters": _clustered(
-        """select cluster_start, count(*) as records from clustered
-           where floor(cluster_start)::bigint % 4 not in (select distinct floor(cluster_start)::bigint % 4 as batch from clustered order by 1 limit 2)
-           group by cluster_start"""
+        """select cluster_start, records from dealt
+           where batch not in (select distinct batch from dealt order by batch limit 2)""",
+        HEADS
+        + """,
+dealt as (select cluster_start, count(*) as records, any_value(('0x' || substr(md5(cast(floor(cluster_start)::bigint as varchar)), 1, 8))::bigint % 4) as batch
+          from clustered group by cluster_start)""",
     ),
     "token_fingerprint": """select doc_id, len(w)::integer as length, list_sum(w)::bigint as value_sum, list_min(w) as value_min, list_max(w) as value_max
       from (select doc_id, list_transform(string_split(lower(text), ' '), lambda t: ('0x' || substr(md5(t), 1, 8))::bigint) as w from documents)""",

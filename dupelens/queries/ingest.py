@@ -32,8 +32,8 @@ def _validated(spark, sf):
     return _validated_rows(fixtures.uploads(fixtures.table(spark, sf, "events")))
 
 
-def _ingest_columns(rows):
-    return rows.select("asset_id", "file_key", "source", "file_size", "processing_status", "error_message")
+def _ingest_columns(rows, *more):
+    return rows.select("asset_id", "file_key", "source", "file_size", "processing_status", "error_message", *more)
 
 
 def _validate(spark, sf):
@@ -138,27 +138,69 @@ def _upload(spark, sf):
     return tables.new_rows(_split(spark, sf)).select("asset_id_1", "file_key_1", "asset_id_2", "file_key_2", "similarity")
 
 
-def _stream(spark, sf, name):
-    schema = fixtures.table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+#: Files that the streams read one by one.
+DROPS = 3
 
 
-def _stream_ingest(spark, sf):
-    path, checkpoint = fresh_path(spark, "stream-ingest"), fresh_path(spark, "stream-checkpoint")
-    stream = _stream(spark, sf, "events")
+def _drops(spark, frame, name):
+    """``frame`` as a stream of files, one per micro-batch."""
+    path = fresh_path(spark, name)
+    frame.repartition(DROPS).write.parquet(path)
+    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
-    def transform(events):
-        return _ingest_columns(_validated_rows(fixtures.uploads(events)))
 
-    streaming.ingest(stream, transform, path, checkpoint)
-    return streaming.read_batches(spark, path, transform(fixtures.table(spark, sf, "events")).schema).drop("batch_id")
+def _stream_ingest(spark, sf):
+    """Failed uploads that can be retried come a second time, an hour later and mended; later rows of a key count."""
+    uploads = _ingest_columns(_validated(spark, sf), "created_at")
+    retried = (
+        uploads.where((F.col("processing_status") == "ERROR") & (F.col("file_size") >= validation.MIN_BYTES))
+        .withColumn("processing_status", F.lit("SUCCESS"))
+        .withColumn("error_message", F.lit(None).cast("string"))
+        .withColumn("created_at", F.col("created_at") + F.expr("interval 1 hour"))
+    )
+    rows = uploads.unionByName(retried)
+    store = streaming.records_store(fresh_path(spark, "stream-ingest"), rows.schema, ["asset_id", "file_key"], ["created_at"])
+    streaming.ingest(_drops(spark, rows, "uploads"), lambda batch: batch, store, fresh_path(spark, "stream-checkpoint"), compact_every=2)
+    return store.latest(spark).drop("created_at")
 
 
 def _stream_pairs(spark, sf):
-    path, checkpoint = fresh_path(spark, "stream-pairs"), fresh_path(spark, "stream-checkpoint")
-    source = with_labels(fixtures.pairs_of_orders(_stream(spark, sf, "orders")))
-    streaming.upload_pairs(source, path, checkpoint)
-    return streaming.read_batches(spark, path, PAIR).select("file_key_1", "file_key_2", "similarity", "duplicate_type")
+    """Pairs that arrive in several batches, some of them a second time in the other orientation."""
+    path = fresh_path(spark, "stream-pairs")
+    rows = with_labels(fixtures.pairs(spark, sf))
+    swapped = rows.where("similarity > 0.9").select(
+        *(F.col(c.replace("_1", "_3").replace("_2", "_1").replace("_3", "_2")).alias(c) for c in rows.columns)
+    )
+    source = _drops(spark, rows.unionByName(swapped), "pairs")
+    streaming.upload_pairs(source, path, fresh_path(spark, "stream-checkpoint"), compact_every=2)
+    stored = streaming.read_batches(spark, path, PAIR)
+    low, high = F.least("file_key_1", "file_key_2"), F.greatest("file_key_1", "file_key_2")
+    return stored.select(low.alias("file_key_1"), high.alias("file_key_2"), "similarity", "duplicate_type")
+
+
+def _created(spark, sf):
+    """The three result tables, made where they are missing, filled, and made again: what they hold."""
+    database = "dupelens_created"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    tables.create_tables(spark, database)
+    rows = {
+        "audio_fingerprint": fixtures.fingerprint(spark, sf),
+        "audio_detected_duplicates": with_labels(fixtures.pairs(spark, sf)),
+        "duplicated_assets": detect(fixtures.fingerprint(spark, sf)).songs,
+    }
+    held = []
+    for name, frame in rows.items():
+        table = f"{database}.{name}"
+        fields = tables.TABLES[name].fields
+        filled = frame.select(
+            *((F.col(f.name) if f.name in frame.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in fields)
+        )
+        tables.full_refresh(filled, table)
+    tables.create_tables(spark, database)
+    for name in rows:
+        back = spark.table(f"{database}.{name}")
+        held.append(back.agg(F.lit(name).alias("table_name"), F.lit(len(back.columns)).alias("columns"), F.count(F.lit(1)).alias("rows")))
+    return held[0].unionByName(held[1]).unionByName(held[2])
 
 
 def _error_bodies(spark, sf):
@@ -198,6 +240,7 @@ SPARK = {
     "read_pairs_jsonl": _read_lines,
     "idempotent_upload": _upload,
     "upload_counts": lambda s, d: tables.upload_counts(_split(s, d)),
+    "created_tables": _created,
     "stream_ingest": _stream_ingest,
     "stream_pair_upload": _stream_pairs,
 }
@@ -277,6 +320,26 @@ SQL = {
               count(*) filter (similarity < 0.06) as errors from (select p.*, {IS_STORED} as known from pairs p)""",
         STORED,
     ),
-    "stream_ingest": with_views("validated", INGESTED),
-    "stream_pair_upload": with_views("pairs", "select file_key_1, file_key_2, similarity, duplicate_type from typed", TYPED),
+    "created_tables": with_views(
+        "fingerprint pairs",
+        """select 'audio_fingerprint' as table_name, COLS_F::integer as columns, count(*) as rows from fingerprint
+           union all select 'audio_detected_duplicates', COLS_P::integer, count(*) from pairs
+           union all select 'duplicated_assets', COLS_D::integer, (select count(*) from songs)""",
+        PER_SONG,
+    )
+    .replace("COLS_F", str(len(tables.TABLES["audio_fingerprint"].fields)))
+    .replace("COLS_P", str(len(tables.TABLES["audio_detected_duplicates"].fields)))
+    .replace("COLS_D", str(len(tables.TABLES["duplicated_assets"].fields))),
+    "stream_ingest": with_views(
+        "validated",
+        """select asset_id, file_key, source, file_size,
+             case when file_size >= 1024 then 'SUCCESS' else processing_status end as processing_status,
+             case when file_size >= 1024 then null else error_message end as error_message from validated""",
+    ),
+    "stream_pair_upload": with_views(
+        "pairs",
+        """select least(file_key_1, file_key_2) as file_key_1, greatest(file_key_1, file_key_2) as file_key_2, similarity, duplicate_type
+           from typed""",
+        TYPED,
+    ),
 }

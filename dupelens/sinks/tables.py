@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,15 +47,26 @@ def append(rows: DataFrame, path: str, fmt: str = "parquet") -> None:
     rows.write.mode("append").format(fmt).save(path)
 
 
-def upsert(current: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+def latest_rows(rows: DataFrame, keys: list[str], order: Sequence[str] = ()) -> DataFrame:
+    """One row per key: the greatest by the ``order`` columns, then by all other columns, whatever the order of the input.
+    A null counts as the least value."""
+    rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
+    ranked = F.max(F.struct(*(F.col(c).alias(f"_{i}") for i, c in enumerate(order)), F.struct(*rest).alias("row")))
+    return rows.groupBy(*keys).agg(ranked.alias("latest")).select(*keys, "latest.row.*").select(*rows.columns)
+
+
+def upsert(current: DataFrame, changes: DataFrame, keys: list[str], order: Sequence[str] = ()) -> DataFrame:
     """``current`` with the rows of ``changes`` in place of those with equal keys.
 
-    A key that ``changes`` holds several times counts once, with the greatest of its rows (all other columns in
-    order), whatever the order of the input. Write the result to a new location and point the table to it
-    (:func:`swap_location`).
+    A key that ``changes`` holds several times counts once, with the row that is latest by the ``order`` columns (without any:
+    the greatest of its rows, all other columns in order). With ``order`` a change that is older than the current row does not
+    replace it. Write the result to a new location and point the table to it (:func:`swap_location`).
     """
-    rest = [c for c in changes.columns if c not in keys]
-    latest = changes.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("latest")).select(*keys, "latest.*") if rest else changes.distinct()
+    if order:
+        return latest_rows(current.unionByName(changes), keys, order)
+    latest = latest_rows(changes, keys)
     return current.join(latest.select(*keys), keys, "left_anti").unionByName(latest)
 
 

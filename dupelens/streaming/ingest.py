@@ -1,4 +1,4 @@
-"""Streaming ingest and pair upload: file sources, one idempotent write per micro-batch."""
+"""Streaming ingest and pair upload: file sources, one idempotent write per micro-batch into a keyed store."""
 
 from __future__ import annotations
 
@@ -10,25 +10,16 @@ from pyspark.sql import types as T
 
 from dupelens.operators.pairs import KEY_NAMES, not_stored, unordered_key
 from dupelens.schemas import PAIR
+from dupelens.streaming.store import KeyedStore
 
+#: Batches between two compactions of a store.
+COMPACT_EVERY = 16
 
-def write_batch(path: str) -> Callable[[DataFrame, int], None]:
-    """Writes each micro-batch to a folder of its own, so a replayed batch replaces itself."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return write
-
-
-def ingest(source: DataFrame, transform: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> None:
-    """Runs ``transform`` over everything the stream holds now and stores it exactly once.
-
-    The batch size is the source's ``maxFilesPerTrigger``; without further input the query ends.
-    """
+def _run(source: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+    """Everything the stream holds now, in micro-batches; their size is the source's ``maxFilesPerTrigger``."""
     query = (
-        transform(source)
-        .writeStream.foreachBatch(write_batch(path))
+        source.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -36,31 +27,57 @@ def ingest(source: DataFrame, transform: Callable[[DataFrame], DataFrame], path:
     query.awaitTermination()
 
 
+def _compacted(store: KeyedStore, spark: SparkSession, batch_id: int, every: int) -> None:
+    """Folds the batches before this one, at fixed batch numbers, so that a replay does the same."""
+    if every and batch_id and batch_id % every == 0:
+        store.compact(spark, batch_id - 1)
+
+
+def records_store(path: str, schema: T.StructType, keys: list[str], order: list[str]) -> KeyedStore:
+    """A store of records by key columns, of which the row that is latest by ``order`` counts."""
+    return KeyedStore(path, schema, tuple(F.col(k) for k in keys), tuple(order))
+
+
+def pair_store(path: str) -> KeyedStore:
+    """A store of pairs, in either orientation."""
+    return KeyedStore(path, PAIR, tuple(unordered_key()))
+
+
+def ingest(
+    source: DataFrame, transform: Callable[[DataFrame], DataFrame], store: KeyedStore, checkpoint: str, compact_every: int = COMPACT_EVERY
+) -> None:
+    """Runs ``transform`` over the stream and upserts its rows: a later row of a key takes the place of the earlier one."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _compacted(store, batch.sparkSession, batch_id, compact_every)
+        store.put(batch, batch_id)
+
+    _run(transform(source), write, checkpoint)
+
+
 def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])).parquet(path)
+    """All pairs of the store at ``path``."""
+    return pair_store(path).rows(spark).select(*schema.names)
 
 
-def upload_pairs(source: DataFrame, path: str, checkpoint: str) -> None:
-    """Appends the pairs that the table does not hold yet, in either orientation.
+def upload_batch(store: KeyedStore, batch: DataFrame, batch_id: int) -> DataFrame:
+    """The pairs of a batch that the batches before it do not hold, in either orientation, one row per pair.
 
-    A batch looks at the batches before it only, so a replayed batch gives the same rows again.
+    Only the buckets of the batch's keys are read. Of rows with one pair the least by a total order is kept, so a replay gives the
+    same rows again.
     """
-    spark = source.sparkSession
-    seed = f"{path}/batch_id=-1"
-    spark.createDataFrame([], PAIR).write.mode("ignore").parquet(seed)
+    rows = batch.select(*PAIR.names, *unordered_key())
+    once = rows.groupBy(*KEY_NAMES).agg(F.min(F.struct(*PAIR.names)).alias("row")).select("row.*")
+    stored = store.rows(batch.sparkSession, before=batch_id, buckets=store.touched(batch))
+    return not_stored(once, stored).select(*PAIR.names)
+
+
+def upload_pairs(source: DataFrame, path: str, checkpoint: str, compact_every: int = COMPACT_EVERY) -> None:
+    """Stores the pairs of the stream that the table at ``path`` does not hold yet."""
+    store = pair_store(path)
 
     def upload(batch: DataFrame, batch_id: int) -> None:
-        stored = read_batches(batch.sparkSession, path, PAIR).where(F.col("batch_id") < batch_id)
-        # One row per key by a total order, so that a replay keeps the same one.
-        rows = batch.select(*PAIR.names, *unordered_key())
-        once = rows.groupBy(*KEY_NAMES).agg(F.min(F.struct(*PAIR.names)).alias("row")).select("row.*")
-        fresh = not_stored(once, stored)
-        fresh.select(*PAIR.names).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        _compacted(store, batch.sparkSession, batch_id, compact_every)
+        store.put(upload_batch(store, batch, batch_id), batch_id)
 
-    query = (
-        source.writeStream.foreachBatch(upload)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _run(source, upload, checkpoint)

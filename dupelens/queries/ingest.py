@@ -138,8 +138,9 @@ def _upload(spark, sf):
     return tables.new_rows(_split(spark, sf)).select("asset_id_1", "file_key_1", "asset_id_2", "file_key_2", "similarity")
 
 
-#: Files that the streams read one by one.
+#: Files that the streams read one by one, and partitions of the tables they write.
 DROPS = 3
+BUCKETS = 8
 
 
 def _drops(spark, frame, name):
@@ -159,7 +160,7 @@ def _stream_ingest(spark, sf):
         .withColumn("created_at", F.col("created_at") + F.expr("interval 1 hour"))
     )
     rows = uploads.unionByName(retried)
-    store = streaming.records_store(fresh_path(spark, "stream-ingest"), rows.schema, ["asset_id", "file_key"], ["created_at"])
+    store = streaming.records_store(fresh_path(spark, "stream-ingest"), rows.schema, ["asset_id", "file_key"], ["created_at"], BUCKETS)
     streaming.ingest(_drops(spark, rows, "uploads"), lambda batch: batch, store, fresh_path(spark, "stream-checkpoint"), compact_every=2)
     return store.latest(spark).drop("created_at")
 
@@ -172,7 +173,7 @@ def _stream_pairs(spark, sf):
         *(F.col(c.replace("_1", "_3").replace("_2", "_1").replace("_3", "_2")).alias(c) for c in rows.columns)
     )
     source = _drops(spark, rows.unionByName(swapped), "pairs")
-    streaming.upload_pairs(source, path, fresh_path(spark, "stream-checkpoint"), compact_every=2)
+    streaming.upload_pairs(source, path, fresh_path(spark, "stream-checkpoint"), compact_every=2, buckets=BUCKETS)
     stored = streaming.read_batches(spark, path, PAIR)
     low, high = F.least("file_key_1", "file_key_2"), F.greatest("file_key_1", "file_key_2")
     return stored.select(low.alias("file_key_1"), high.alias("file_key_2"), "similarity", "duplicate_type")

@@ -12,6 +12,8 @@ from dupelens.operators.pairs import KEY_NAMES, not_stored, unordered_key
 from dupelens.schemas import PAIR
 from dupelens.streaming.store import KeyedStore
 
+#: Partitions of a store: batches much smaller than the table should touch few of them.
+BUCKETS = 64
 #: Batches between two compactions of a store.
 COMPACT_EVERY = 16
 
@@ -33,14 +35,14 @@ def _compacted(store: KeyedStore, spark: SparkSession, batch_id: int, every: int
         store.compact(spark, batch_id - 1)
 
 
-def records_store(path: str, schema: T.StructType, keys: list[str], order: list[str]) -> KeyedStore:
+def records_store(path: str, schema: T.StructType, keys: list[str], order: list[str], buckets: int = BUCKETS) -> KeyedStore:
     """A store of records by key columns, of which the row that is latest by ``order`` counts."""
-    return KeyedStore(path, schema, tuple(F.col(k) for k in keys), tuple(order))
+    return KeyedStore(path, schema, tuple(F.col(k) for k in keys), tuple(order), buckets)
 
 
-def pair_store(path: str) -> KeyedStore:
+def pair_store(path: str, buckets: int = BUCKETS) -> KeyedStore:
     """A store of pairs, in either orientation."""
-    return KeyedStore(path, PAIR, tuple(unordered_key()))
+    return KeyedStore(path, PAIR, tuple(unordered_key()), (), buckets)
 
 
 def ingest(
@@ -72,9 +74,11 @@ def upload_batch(store: KeyedStore, batch: DataFrame, batch_id: int) -> DataFram
     return not_stored(once, stored).select(*PAIR.names)
 
 
-def upload_pairs(source: DataFrame, path: str, checkpoint: str, compact_every: int = COMPACT_EVERY) -> None:
+def upload_pairs(
+    source: DataFrame, path: str, checkpoint: str, compact_every: int = COMPACT_EVERY, buckets: int = BUCKETS
+) -> None:
     """Stores the pairs of the stream that the table at ``path`` does not hold yet."""
-    store = pair_store(path)
+    store = pair_store(path, buckets)
 
     def upload(batch: DataFrame, batch_id: int) -> None:
         _compacted(store, batch.sparkSession, batch_id, compact_every)

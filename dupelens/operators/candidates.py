@@ -102,26 +102,34 @@ def _shared_postings(classes: DataFrame, sizes: list[int], max_bits: int) -> Dat
     return materialize(postings.join(shared, ["cluster_start", "key"]), "shared-postings")
 
 
-def _searched(postings: DataFrame, threshold: float, cost: Column, max_bits: int) -> DataFrame:
+def _common(length: Column | str, size: Column | int, threshold: float) -> Column:
+    """Grams of ``size`` that a qualifying pair shares at its best offset; below 1 the size cannot be used."""
+    length = F.col(length) if isinstance(length, str) else length
+    return ((length - size + 1) - size * (length - F.ceil(length * threshold - 1e-9))).cast("int")
+
+
+def _searched(postings: DataFrame, threshold: float, cost: Column, sizes: list[int], max_bits: int) -> DataFrame:
     """Places of each sequence that its longer partners are searched by, with ``asked``: the matches that must be found."""
-    of_size, of_class = Window.partitionBy("class_id", "size"), Window.partitionBy("class_id")
-    matched = F.ceil(F.col("length") * threshold - 1e-9)
-    common = (F.col("length") - F.col("size") + 1) - F.col("size") * (F.col("length") - matched)
-    usable = postings.withColumn("common", common.cast("int")).where("common >= 1")
-    # Sequences without enough shared places are left out before anything is put in order.
-    places = usable.select("class_id", "size", "common", "position")
+    usable = postings.withColumn("common", _common("length", F.col("size"), threshold)).where("common >= 1")
+    # Sequences without enough shared places, in any size that can be used, are left out before anything is put in order.
+    places = usable.select("class_id", "length", "size", "common", "position")
     places = places.distinct() if max_bits else places
-    counted = places.groupBy("class_id", "size").agg(F.count(F.lit(1)).alias("shared"), F.first("common").alias("common"))
-    enough = counted.where("shared >= common").drop("common")
-    valued = usable.join(enough, ["class_id", "size"]).withColumn("cost", cost)
+    counted = places.groupBy("class_id", "length", "size", "common").agg(F.count(F.lit(1)).alias("shared")).where("shared >= common")
+    counts = F.map_from_entries(F.collect_list(F.struct("size", "shared")))
+    can_use = sum((F.when(_common("length", k, threshold) >= 1, 1).otherwise(0) for k in sizes), F.lit(0))
+    enough = counted.groupBy("class_id", "length").agg(counts.alias("counts")).where(F.size("counts") == can_use)
+    valued = usable.join(enough.drop("length"), "class_id").withColumn("cost", cost)
+    of_size, of_class = Window.partitionBy("class_id", "size"), Window.partitionBy("class_id")
     if max_bits:
         # A place is searched by each of its blocks.
         valued = valued.withColumn("cost", F.sum("cost").over(Window.partitionBy("class_id", "size", "position")))
     turn = F.dense_rank() if max_bits else F.row_number()
+    asked = F.expr(f"least(greatest(common div 5, 1), {MAX_COMMON})").cast("int")
     return (
-        valued.withColumn("asked", F.expr(f"least(greatest(common div 5, 1), {MAX_COMMON})").cast("int"))
-        .withColumn("turn", turn.over(of_size.orderBy("cost", "position")))
-        .where(F.col("turn") <= F.col("shared") - F.col("common") + F.col("asked"))
+        valued.withColumn("turn", turn.over(of_size.orderBy("cost", "position")))
+        .withColumn("asked", asked)
+        .where(F.col("turn") <= F.col("counts")[F.col("size")] - F.col("common") + F.col("asked"))
+        .drop("counts", "common", "cost", "turn")
         .withColumn("rows", F.sum("n").over(of_size))
         .withColumn("best", F.min(F.struct("rows", "size")).over(of_class))
         .where(F.col("size") == F.col("best.size"))
@@ -144,7 +152,7 @@ def candidate_pairs(
     span = 2 * max_offset + 1
     values = ["value"] if max_bits else []
     around = F.array_distinct(F.array(*(F.floor((F.col("position") + side) / span) for side in (-max_offset, max_offset))))
-    short = _searched(postings, threshold, F.col("n") if cost is None else cost, max_bits).select(
+    short = _searched(postings, threshold, F.col("n") if cost is None else cost, sizes, max_bits).select(
         "cluster_start", "key", "asked", F.explode(around).alias("block"),
         *(F.col(c).alias(f"{c}_s") for c in ("class_id", "length", "position", *values)),
     )

@@ -16,6 +16,7 @@ entries, in as many rounds as the logarithm of the cells that the longest island
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
@@ -53,9 +54,8 @@ def _cell_bounds(rows: DataFrame, cells: int) -> list[float]:
 
 def _in_cells(rows: DataFrame, bounds: list[float], column: str = "duration") -> DataFrame:
     """``rows`` with the number of the cell that ``column`` falls into; cells ascend with it."""
-    if not bounds:
-        return rows.withColumn("cell", F.lit(0).cast("bigint"))
-    splits = [-math.inf, *bounds, math.inf]
+    # One cell: a border that nothing lies above, so that joins by cell stay joins by a column.
+    splits = [-math.inf, *(bounds or [sys.float_info.max]), math.inf]
     placed = Bucketizer(splits=splits, inputCol=column, outputCol="_cell").transform(rows)
     return placed.withColumn("cell", F.col("_cell").cast("bigint")).drop("_cell")
 

@@ -242,6 +242,13 @@ def detect(blocked: Blocked, mode: str = "all", threshold: float = DEFAULT_THRES
     return compare(blocked, mode, threshold, known).pairs
 
 
+def not_known(unit_pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs whose content is not among ``known`` (fingerprint_1, fingerprint_2), in either order."""
+    key = [F.least("fingerprint_1", "fingerprint_2").alias("low"), F.greatest("fingerprint_1", "fingerprint_2").alias("high")]
+    seen = known.select(*key).distinct()
+    return unit_pairs.select("*", *key).join(seen, ["low", "high"], "left_anti").drop("low", "high")
+
+
 def run_summary(blocked: Blocked, found: Detection) -> DataFrame:
     """One row: songs, clusters, comparisons, skipped pairs, comparisons that failed, duplicates, share of the brute-force
     work saved. A comparison fails if the content of either file is missing."""

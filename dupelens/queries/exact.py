@@ -72,9 +72,11 @@ def _both(spark, sf, operator, *more):
     return operator(materialize(found.songs, "songs"), found.members, *more)
 
 
-def _asked(songs, members):
-    """The duplicates of the songs whose id ends in 7."""
-    return exact.duplicates_of(songs.where(F.col("song_id").endswith("7")), members)
+def _of_labelled(spark, sf):
+    """The duplicates of the songs that the labels name."""
+    found = _found(spark, sf)
+    asked = fixtures.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("song_id")).distinct()
+    return exact.duplicates_of(found.songs.join(asked, "song_id", "left_semi"), found.members)
 
 
 def _suite(spark, sf):
@@ -83,7 +85,7 @@ def _suite(spark, sf):
 
 SPARK = {
     "duplicated_assets": _songs,
-    "duplicates_of_song": lambda s, d: _both(s, d, _asked),
+    "duplicates_of_song": _of_labelled,
     "scan_fingerprints": lambda s, d: reader.scan(fixtures.fingerprint(s, d)),
     "scan_fingerprints_by_duration": lambda s, d: reader.scan_by_duration(fixtures.fingerprint(s, d)),
     "exact_duplicate_groups": lambda s, d: exact.duplicate_members(_usable(s, d)).select(
@@ -155,7 +157,7 @@ SQL = {
         """select s.song_id, s.product_indicator, m.asset_id as duplicate_song_id, m.source as duplicate_source,
                   case m.source when 'catalog_a' then 1 when 'catalog_b' then 3 else 0 end as duplicate_indicator
            from songs s join members m on m.fingerprint = s.group_key
-           where s.song_id like '%7' and (m.asset_id <> s.song_id or m.source <> s.own_source)"""
+           where s.song_id in (select cast(doc_id as varchar) from labels) and (m.asset_id <> s.song_id or m.source <> s.own_source)"""
     ),
     "scan_fingerprints": with_views(
         "fingerprint", "select asset_id, file_key, format, duration, fingerprint, source from usable order by source, asset_id", USABLE

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dupelens.llm.tables import keep, most_frequent, texts
+from dupelens.llm.tables import keep, most_frequent, texts, tidy
 from dupelens.llm.words import IS_WORD, LOWER, chunks, mixed, powers, utf8, word_spans
 
 DEPTH = 5
@@ -31,8 +31,11 @@ GROUPED = 2
 HEAD_WORDS = 1 << 17
 HEAD_RUNS = 1 << 19
 TABLE_BITS = 21
+SECOND = np.uint64(0x94D049BB133111EB)
 SAMPLE = 10_000
-MERGE = 4_000_000
+#: Byte runs that a task holds before it adds them up, and distinct ones before it hands them to the shuffle.
+MERGE = 1_000_000
+FLUSH = 500_000
 SPACE, END = 32, 10
 RUN, HEAD, TAIL, TOTAL = range(4)
 
@@ -118,6 +121,11 @@ def _gather(batches: Iterator[pa.RecordBatch], head: np.ndarray) -> Iterator[pa.
         key = key.view(np.int64) if key.dtype == np.uint64 else key.astype(np.int64)
         return _batch(kind=np.full(len(key), kind, np.int32), key=key, row=row, n=n, trained=trained)
 
+    def counted(key: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(key), 100_000):
+            part = slice(a, a + 100_000)
+            yield rows_of(RUN, key[part], np.zeros(len(key[part]), np.int64), n[part], n[part])
+
     for batch in batches:
         train = ~batch.column("held_out").to_numpy(zero_copy_only=False)
         row_ids = batch.column("row").to_numpy()
@@ -128,8 +136,11 @@ def _gather(batches: Iterator[pa.RecordBatch], head: np.ndarray) -> Iterator[pa.
             runs[0].append(key)
             runs[1].append(np.bincount(inverse, weight, len(key)))
             if sum(map(len, runs[0])) > MERGE:
-                merged = _summed(*runs)
-                runs = ([merged[0]], [merged[1]])
+                key, n = _summed(*runs)
+                runs = ([key], [n])
+                if len(key) > FLUSH:
+                    yield from counted(key, n)
+                    runs = ([], [])
             at = place_in(head, hashes)
             owner = np.repeat(np.arange(last - first), np.diff(rows))
             known = at >= 0
@@ -143,14 +154,12 @@ def _gather(batches: Iterator[pa.RecordBatch], head: np.ndarray) -> Iterator[pa.
             mine = np.repeat(np.arange(last - first), [len(p[0]) for p in pieces])
             yield rows_of(TAIL, key, row_ids[first:last][mine], n, np.where(learn[mine], n, 0))
     if runs[0]:
-        key, n = _summed(*runs)
-        for a in range(0, len(key), 100_000):
-            part = slice(a, a + 100_000)
-            yield rows_of(RUN, key[part], np.zeros(len(key[part]), np.int64), n[part], n[part])
+        yield from counted(*_summed(*runs))
     some = np.flatnonzero(words)
     yield rows_of(HEAD, some, np.zeros(len(some), np.int64), words[some], words[some])
     one = np.array([tokens], np.int64)
     yield rows_of(TOTAL, np.zeros(1, np.int64), np.zeros(1, np.int64), one, one)
+    tidy()
 
 
 def _bounds(owner: np.ndarray, n: int) -> list[tuple[int, int]]:
@@ -266,18 +275,33 @@ def scored_runs(runs: DataFrame) -> DataFrame:
 
 
 class RunTable:
-    """A table of bounded size from byte runs to log probabilities; a run that finds its slot taken is not in it."""
+    """A table of bounded size from byte runs to log probabilities. Runs come by falling frequency; each has two slots, and
+    only a rare one that finds both taken is not in the table."""
 
     def __init__(self, keys: np.ndarray, p: np.ndarray):
-        slot = self.slot(keys)
-        _, first = np.unique(slot, return_index=True)
         self.keys = np.full(1 << TABLE_BITS, np.iinfo(np.uint64).max, np.uint64)
         self.p = np.zeros(1 << TABLE_BITS)
-        self.keys[slot[first]], self.p[slot[first]] = keys[first], p[first]
+        for turn in (0, 1):
+            slot = self.slot(keys, turn)
+            free, first = np.unique(slot, return_index=True)
+            first = first[self.keys[free] == np.iinfo(np.uint64).max]
+            self.keys[slot[first]], self.p[slot[first]] = keys[first], p[first]
+            left = np.ones(len(keys), bool)
+            left[first] = False
+            keys, p = keys[left], p[left]
 
     @staticmethod
-    def slot(keys: np.ndarray) -> np.ndarray:
-        return (mixed(keys) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+    def slot(keys: np.ndarray, turn: int) -> np.ndarray:
+        return (mixed(keys ^ SECOND if turn else keys) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, -1 where it is not in the table."""
+        slot = self.slot(keys, 0)
+        missed = np.flatnonzero(self.keys[slot] != keys)
+        slot[missed] = self.slot(keys[missed], 1)
+        missed = missed[self.keys[slot[missed]] != keys[missed]]
+        slot[missed] = -1
+        return slot
 
 
 SCORED = "row long, doc_id long, held_out boolean, tokens long, known long, base double, score double, key long, n long"
@@ -295,8 +319,8 @@ def _score(batches: Iterator[pa.RecordBatch], head: np.ndarray, counts: np.ndarr
             found = at >= 0
             base = np.bincount(owner[found], logs[at[found]], size) + logs[-1]
             known = np.bincount(owner[found], counts[at[found]] > 0, size) + (counts[-1] > 0)
-            slot = table.slot(codes)
-            hit = table.keys[slot] == codes
+            slot = table.places(codes)
+            hit = slot >= 0
             byte_owner = np.repeat(np.arange(size), np.diff(begins))
             score = np.bincount(byte_owner[hit], table.p[slot[hit]], size)
             ids = pa.array(row_ids[first:last])
@@ -337,6 +361,7 @@ def _score(batches: Iterator[pa.RecordBatch], head: np.ndarray, counts: np.ndarr
                     ],
                     names=names,
                 )
+    tidy()
 
 
 def head_words(source: DataFrame) -> np.ndarray:
@@ -374,8 +399,9 @@ def scores(docs: DataFrame) -> DataFrame:
     nearest = F.shiftright("key", 8 * (DEPTH + 1 - GROUPED)).cast("int")
     runs = gathered.where(F.col("kind") == RUN).groupBy("key").agg(F.sum("trained").alias("n"))
     scored = keep(scored_runs(keep(runs.withColumn("nearest", nearest), "runs")), "scored-runs")
-    top = most_frequent(scored, "n", HEAD_RUNS).select("key", "p").toArrow()
-    table = RunTable(top.column("key").to_numpy().view(np.uint64), top.column("p").to_numpy())
+    top = most_frequent(scored, "n", HEAD_RUNS).select("key", "n", "p").toArrow()
+    order = np.argsort(-top.column("n").to_numpy(), kind="stable")
+    table = RunTable(top.column("key").to_numpy().view(np.uint64)[order], top.column("p").to_numpy()[order])
 
     counts = np.zeros(len(head) + 1)
     for row in gathered.where(F.col("kind") == HEAD).groupBy("key").agg(F.sum("trained").alias("n")).toArrow().to_batches():

@@ -1,8 +1,8 @@
 """License scan with DataFrame functions only.
 
 Words are runs of letters and digits, A-Z as a-z; shingles are three words. A template of m shingles lies within a
-window of 2 m shingles that begins at a multiple of m, so texts are read in overlapping windows of one size per
-size class of templates. MinHash with ``BANDS`` bands of one row retrieves templates: a window that contains a share c of a
+window of 2 m shingles that begins at a multiple of m, so texts are read in overlapping windows for each size of
+template. MinHash with ``BANDS`` bands of one row retrieves templates: a window that contains a share c of a
 template has Jaccard similarity of at least ``c m / (3 m - c m)`` (0.36 for c = 0.8) and misses it with a probability of
 ``(1 - similarity) ** BANDS``, 2e-5 at 24 bands. Exact containment of the template's shingles then decides.
 
@@ -79,11 +79,11 @@ def shingles_of(words: Column) -> Column:
 
 
 def templates(spark: SparkSession, notices: dict[str, str]) -> DataFrame:
-    """``(license, m, shingles, width)``: distinct shingles of each notice, and its size class, a power of two."""
+    """``(license, m, shingles, width)``: distinct shingles of each notice, their number, and the shingles it takes up."""
     rows = spark.createDataFrame(sorted(notices.items()), "license string, notice string")
-    made = rows.select("license", F.array_distinct(_let(words_of(F.col("notice")), shingles_of)).alias("shingles"))
-    made = made.withColumn("m", F.size("shingles")).where("m > 0")
-    return made.withColumn("width", F.pow(F.lit(2), F.ceil(F.log2("m"))).cast("int"))
+    every = rows.select("license", _let(words_of(F.col("notice")), shingles_of).alias("every"))
+    made = every.select("license", F.array_distinct("every").alias("shingles"), F.size("every").alias("width"))
+    return made.select("license", F.size("shingles").alias("m"), "shingles", "width").where("m > 0")
 
 
 def bands(shingles: Column) -> Column:
@@ -99,45 +99,65 @@ def scanned(docs: DataFrame, notices: dict[str, str] | None = None, containment:
 
     ``first_word`` is the begin of the first matching window, ``windows`` their number. Null, empty and short texts
     contain nothing. Where windows of templates that mostly share their words overlap, the better covered template counts
-    (an LGPL notice is not reported as GPL as well). Rows that repeat a ``doc_id`` and text give one result; an empty table gives an empty one.
+    (an LGPL notice is not reported as GPL as well). Rows that repeat a ``doc_id`` and text give one result, rows with one
+    ``doc_id`` and different texts (or a null id) one for each text; an empty table gives an empty one.
     """
     spark = docs.sparkSession
-    known = templates(spark, TEMPLATES if notices is None else notices).cache()
-    sets = {r["license"]: set(r["shingles"]) for r in known.collect()}
-    alike = [f"{a}\n{b}" for a in sets for b in sets if a != b and len(sets[a] & sets[b]) >= VARIANT * min(len(sets[a]), len(sets[b]))]
+    known = templates(spark, TEMPLATES if notices is None else notices)
+    listed = known.collect()
+    sets = {r["license"]: set(r["shingles"]) for r in listed}
+    alike = [(a, b) for a in sets for b in sets if a != b and len(sets[a] & sets[b]) >= VARIANT * min(len(sets[a]), len(sets[b]))]
     # The templates are a parameter of a few entries; their shingles go into the plan as constants.
-    wanted = sorted({h for r in known.collect() for h in r["shingles"]})
-    widths = sorted({r["width"] for r in known.select("width").distinct().collect()})
+    wanted = sorted({h for shingles in sets.values() for h in shingles})
+    widths = sorted({r["width"] for r in listed})
     every = F.array(*(F.lit(h) for h in wanted)) if wanted else F.array().cast("array<bigint>")
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     holds = _let(words_of(F.col("text")), lambda w: F.arrays_overlap(shingles_of(w), every))
     holding = source.where(F.coalesce(holds, F.lit(False)))
-    read = holding.select("doc_id", _let(words_of(F.col("text")), shingles_of).alias("all"))
+    read = holding.select("doc_id", F.xxhash64("text").alias("digest"), _let(words_of(F.col("text")), shingles_of).alias("all"))
 
     width = F.explode(F.array(*(F.lit(w) for w in widths)) if widths else F.array().cast("array<int>"))
-    classes = read.select("doc_id", "all", width.alias("width"))
+    classes = read.select("doc_id", "digest", "all", width.alias("width"))
     begins = F.explode(F.sequence(F.lit(0), F.size("all") - 1, F.col("width")))
-    windows = classes.where(F.size("all") > 0).select("doc_id", "all", "width", begins.alias("begin"))
-    cut = windows.select("doc_id", "width", "begin", F.slice("all", F.col("begin") + 1, 2 * F.col("width")).alias("shingles"))
+    windows = classes.where(F.size("all") > 0).select("doc_id", "digest", "all", "width", begins.alias("begin"))
+    cut = windows.select("doc_id", "digest", "width", "begin", F.slice("all", F.col("begin") + 1, 2 * F.col("width")).alias("shingles"))
     held = cut.where(F.arrays_overlap("shingles", every))
 
     keys = known.select("license", "m", F.col("shingles").alias("template"), "width", F.posexplode(bands(F.col("shingles"))).alias("band", "value"))
-    asked = held.select("doc_id", "width", "begin", "shingles", F.posexplode(bands(F.col("shingles"))).alias("band", "value"))
+    asked = held.select("doc_id", "digest", "width", "begin", "shingles", F.posexplode(bands(F.col("shingles"))).alias("band", "value"))
     met = asked.join(F.broadcast(keys), ["width", "band", "value"])
     share = F.size(F.array_intersect("shingles", "template")) / F.col("m")
     sure = met.withColumn("share", share).where(F.col("share") >= containment)
+    sure = sure.select("doc_id", "digest", "license", "share", "begin", "width").distinct()
     if alike:
-        columns = ("license", "share", "begin", "width")
-        found = sure.select("doc_id", F.struct(*columns).alias("own")).distinct().groupBy("doc_id").agg(F.collect_set("own").alias("every"))
-        each = found.select("doc_id", "every", F.explode("every").alias("own"))
-        own, variants = F.col("own"), F.array(*map(F.lit, alike))
+        sure = _best_variants(sure, alike, 2 * max(widths))
+    return sure.groupBy("doc_id", "digest", "license").agg(
+        F.max("share").alias("containment"), F.min("begin").alias("first_word"), F.count_distinct("begin").alias("windows")
+    ).drop("digest")
 
-        def better(o: Column) -> Column:
-            near = (o["begin"] < own["begin"] + 2 * own["width"]) & (own["begin"] < o["begin"] + 2 * o["width"])
-            return near & (o["share"] > own["share"]) & F.array_contains(variants, F.concat_ws("\n", own["license"], o["license"]))
 
-        sure = each.where(~F.exists("every", better)).select("doc_id", *(own[c].alias(c) for c in columns))
-    return sure.groupBy("doc_id", "license").agg(
-        F.max("share").alias("containment"), F.min("begin").alias("first_word"), F.count_distinct("begin").alias("windows")
+def _best_variants(sure: DataFrame, alike: list[tuple[str, str]], span: int) -> DataFrame:
+    """The windows that no better covered window of a variant of their template overlaps.
+
+    Windows are joined by the cells of ``span`` shingles that they touch (two at most), so a text that repeats a notice many times
+    costs in proportion to its length.
+    """
+    touched = F.array_distinct(F.array(*(F.floor(at / span) for at in (F.col("begin"), F.col("begin") + 2 * F.col("width") - 1))))
+    others = F.create_map(*(
+        part for a in sorted({a for a, _ in alike}) for part in (F.lit(a), F.array(*(F.lit(b) for x, b in alike if x == a)))
+    ))
+    own = sure.withColumn("cell", F.explode(touched)).withColumn("variant", F.explode(others[F.col("license")]))
+    better = sure.select(
+        F.col("doc_id").alias("doc"), F.col("digest").alias("text"), F.col("license").alias("other"), F.explode(touched).alias("cell_2"),
+        F.col("share").alias("share_2"), F.col("begin").alias("begin_2"), F.col("width").alias("width_2"),
     )
+    near = (F.col("begin_2") < F.col("begin") + 2 * F.col("width")) & (F.col("begin") < F.col("begin_2") + 2 * F.col("width_2"))
+    same = F.col("doc_id").eqNullSafe(F.col("doc")) & (F.col("digest") == F.col("text"))
+    met = (F.col("cell") == F.col("cell_2")) & (F.col("variant") == F.col("other")) & near & (F.col("share_2") > F.col("share"))
+    names = ["doc_id", "digest", "license", "begin", "width"]
+    beaten = own.join(better, same & met, "left_semi").select(*(F.col(c).alias(f"_{c}") for c in names)).distinct()
+    itself = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+    for name in names[1:]:
+        itself = itself & (F.col(name) == F.col(f"_{name}"))
+    return sure.join(beaten, itself, "left_anti")

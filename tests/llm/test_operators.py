@@ -4,6 +4,7 @@ import collections
 import hashlib
 import heapq
 import math
+import re
 import zlib
 
 import numpy as np
@@ -549,3 +550,78 @@ def test_license_scan_knows_common_notices_and_their_variants(spark):
     data = [(i, f"{prose(i, 9)} {license_scan.TEMPLATES[name]} {prose(i + 99, 9)}") for i, name in enumerate(asked)]
     found = license_scan.scanned(documents(spark, data)).collect()
     assert sorted((r.doc_id, r.license) for r in found) == list(enumerate(asked))
+
+
+def test_run_table_keeps_frequent_runs_and_nearly_all():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 48, context_tree.HEAD_RUNS).astype(np.uint64))
+    np.random.default_rng(2).shuffle(keys)
+    table = context_tree.RunTable(keys, np.arange(len(keys)) * 1.0)
+    at = table.places(keys)
+    assert (at >= 0).mean() > 0.96
+    assert (at[:1000] >= 0).all()
+    assert (table.p[at[at >= 0]] == np.flatnonzero(at >= 0)).all()
+    assert (table.places(keys | np.uint64(1 << 60)) == -1).all()
+
+
+@pytest.mark.parametrize("flush", [1, 300, 1 << 20])
+def test_counts_of_byte_runs_do_not_depend_on_flushes(monkeypatch, flush):
+    monkeypatch.setattr(context_tree, "MERGE", flush)
+    monkeypatch.setattr(context_tree, "FLUSH", flush)
+    made = [prose(i, 60) for i in range(12)]
+    given = [
+        pa.RecordBatch.from_pydict({"text": [t], "held_out": pa.array([False]), "row": pa.array([i], pa.int64())}) for i, t in enumerate(made)
+    ]
+    found = collections.Counter()
+    parts = 0
+    for batch in context_tree._gather(iter(given), np.zeros(0, np.uint64)):
+        for kind, key, n in zip(*(batch.column(c).to_pylist() for c in ("kind", "key", "trained")), strict=True):
+            if kind == context_tree.RUN:
+                found[key] += n
+        parts += bool(batch.num_rows and batch.column("kind")[0].as_py() == context_tree.RUN)
+    expected = collections.Counter()
+    for t in made:
+        raw = b"\n" * context_tree.DEPTH + t.encode() + b"\n"
+        for i in range(context_tree.DEPTH, len(raw)):
+            expected[sum(raw[i - k] << 8 * (context_tree.DEPTH + 1 - k) for k in range(1, context_tree.DEPTH + 1)) | raw[i]] += 1
+    assert found == expected
+    assert (parts > 1) == (flush < 1 << 20)
+
+
+def contained(text, notices, containment=0.8):
+    """Templates whose shingles lie in one window of a text to at least that share, by all windows."""
+    def hashes(t):
+        w = re.findall("[a-z0-9]+", (t or "").lower()) if (t or "").isascii() else None
+        return [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+
+    own, found = hashes(text), {}
+    for name, notice in notices.items():
+        wanted = hashes(notice)
+        windows = [set(own[i : i + 2 * len(wanted)]) for i in range(0, len(own), len(wanted))]
+        best = max((len(w & set(wanted)) / len(set(wanted)) for w in windows), default=0)
+        if best >= containment:
+            found[name] = best
+    return found
+
+
+def test_license_scan_equals_all_windows(spark):
+    notices = {f"n{i}": prose(900 + i, 8 + 5 * i) for i in range(5)} | {"repeats": "as is as is as is without any warranty as is as is"}
+    data = []
+    for i in range(60):
+        name = list(notices)[i % 6]
+        text = " ".join([prose(i, i * 3 % 50), near(notices[name], i, i % 4) if i % 5 else notices[name], prose(i + 70, 20)])
+        data.append((i, text))
+    found = license_scan.scanned(documents(spark, data), notices).collect()
+    expected = {(i, name): share for i, text in data for name, share in contained(text, notices).items()}
+    assert {(r.doc_id, r.license): r.containment for r in found} == pytest.approx(expected)
+
+
+def test_license_notice_thousands_of_times_and_texts_of_one_id(spark):
+    gpl = license_scan.TEMPLATES["gpl3"] if "gpl3" in license_scan.TEMPLATES else next(iter(license_scan.TEMPLATES.values()))
+    mit = license_scan.TEMPLATES["mit"]
+    data = [(1, "All rights reserved. x y z " * 5000), (2, mit), (2, gpl), (2, mit), (None, mit), (None, mit + " once more")]
+    found = license_scan.scanned(documents(spark, data)).collect()
+    repeated = [r for r in found if r.doc_id == 1]
+    assert len(repeated) == 1 and repeated[0].windows > 5000 and repeated[0].containment == 1.0
+    assert sorted(r.license for r in found if r.doc_id == 2 and r.containment == 1.0)[0:1] and len({r.license for r in found if r.doc_id == 2}) >= 2
+    assert sum(r.license == "mit" for r in found if r.doc_id == 2) == 1
+    assert sum(r.license == "mit" for r in found if r.doc_id is None) == 2

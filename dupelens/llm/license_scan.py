@@ -17,6 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dupelens.llm.tables import keep
+
 BANDS = 24
 CONTAINMENT = 0.8
 WORDS = 3
@@ -131,7 +133,8 @@ def scanned(docs: DataFrame, notices: dict[str, str] | None = None, containment:
     sure = met.withColumn("share", share).where(F.col("share") >= containment)
     sure = sure.select("doc_id", "digest", "license", "share", "begin", "width").distinct()
     if alike:
-        sure = _best_variants(sure, alike, 2 * max(widths))
+        # Read three times below, and small beside the texts.
+        sure = _best_variants(keep(sure, "license-windows"), alike, 2 * max(widths))
     return sure.groupBy("doc_id", "digest", "license").agg(
         F.max("share").alias("containment"), F.min("begin").alias("first_word"), F.count_distinct("begin").alias("windows")
     ).drop("digest")

@@ -10,9 +10,11 @@ paired. A class of size n shares at least ``T(n) = ceil(percent n / 100)`` shing
    then in one of the ``n - T(n) + 1`` short ones. Short lists are merged by a join on the shingle; the long ones are
    probed by binary search in the sorted set of a candidate, which counts the exact overlap.
 3. Merging goes in rounds: each list offers one class as its centre, each class is checked against the centre that most
-   of its lists name, and lists whose classes are already connected are left out. What is left is checked in full. So
-   the pairs checked stay near the number of classes even in large families of near copies, and no link between
-   components is lost.
+   of its lists name, and lists whose classes are already connected are left out. Classes that meet, directly or through
+   others, in the lists left after ``ROUNDS`` rounds are one group. A group is dealt into blocks of bounded size, each pair of
+   blocks is counted as one sparse product, and what leaves it is one row per class: the least class that links of the
+   block reach. Where the lists of a group hold fewer pairs than the blocks need rows, its pairs are checked one by one.
+   Either way every pair that meets is checked exactly, and no link between components is lost.
 4. The number of links needs every pair. All links lie inside components, so the classes of a component are dealt into
    blocks of bounded size and each pair of blocks is counted as one sparse product. Only sums per class leave it: the
    result is linear, and no pair of classes becomes a row.
@@ -23,7 +25,7 @@ A shingle hash has 64 bits, of which step 1 uses 40; classes are known by 64 bit
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +41,7 @@ SLOTS = 1 << 20
 ROUNDS = 2
 PARITY = [f"p{i}" for i in range(8)]
 BLOCK_CLASSES = 256
+GROUP_CLASSES = 1024
 BLOCK_SHINGLES = 1 << 20
 CHUNK = 4096
 
@@ -111,9 +114,10 @@ def parity(unique: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
+def sketched(docs: DataFrame, rule: Rule, with_hash: bool = False) -> DataFrame:
     """``(doc_id, n, x, prefix)``: set size, class (null: empty set), and for the first row of a class in a task
-    the keys of the shingles that are merged."""
+    the keys of the shingles that are merged; ``with_hash`` adds ``h``, a hash of the text."""
+    more = ["h"] if with_hash else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -131,12 +135,19 @@ def sketched(docs: DataFrame, rule: Rule) -> DataFrame:
                 keys.append(key)
                 prefixes.append((unique[: rule.prefix(len(unique))] >> np.uint64(24)) if fresh else unique[:0])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), _long_lists(prefixes)],
-                names=["doc_id", "n", "x", "prefix"],
+                [
+                    batch.column("doc_id"),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(keys, pa.int64()),
+                    _long_lists(prefixes),
+                    *(batch.column(c) for c in more),
+                ],
+                names=["doc_id", "n", "x", "prefix", *more],
             )
         tidy()
 
-    return texts(docs).mapInArrow(run, "doc_id long, n long, x long, prefix array<long>")
+    source = texts(docs).select("*", *(F.xxhash64("text").alias(c) for c in more))
+    return source.mapInArrow(run, ", ".join(["doc_id long, n long, x long, prefix array<long>", *(f"{c} long" for c in more)]))
 
 
 def whole_sets(docs: DataFrame, rule: Rule, wanted: DataFrame) -> DataFrame:
@@ -258,16 +269,78 @@ def _all_pairs(lists: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
+def _blocks(weight: str = "weight") -> Column:
+    return F.ceil(F.greatest(F.count(F.lit(1)) / GROUP_CLASSES, F.sum(weight) / BLOCK_SHINGLES)).cast("long")
+
+
+def groups(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(x, root, g)``: the group of each class that meets others in ``lists``; ``(g, blocks, direct)``: the blocks of a
+    group, and whether checking the pairs of its lists one by one takes fewer rows."""
+    met = keep(lists.groupBy("s").agg(F.min("x").alias("least"), F.count(F.lit(1)).alias("m")), "met")
+    links = lists.join(met, "s").select(F.col("x").alias("a"), F.col("least").alias("b")).distinct()
+    found = components(links)
+    of = found.withColumnRenamed("a", "x").union(found.select(F.col("root").alias("x"), "root").distinct())
+    of = of.withColumnRenamed("root", "g")
+    classes = lists.groupBy("x").agg(F.first("root").alias("root"), F.first("entry.n").alias("weight"))
+    members = keep(classes.join(of, "x"), "groups")
+    pairs = met.join(of, met["least"] == of["x"]).groupBy("g").agg(F.sum(F.col("m") * (F.col("m") - 1) / 2).alias("pairs"))
+    sizes = members.groupBy("g").agg(F.count(F.lit(1)).alias("classes"), _blocks().alias("blocks")).join(pairs, "g")
+    sizes = sizes.select("g", "blocks", (F.col("pairs") < F.col("classes") * F.col("blocks")).alias("direct"))
+    return members.select("x", "root", "g"), keep(sizes, "group-sizes")
+
+
+def least_linked(linked: np.ndarray, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For the classes of two blocks the least class that a chain of links between the blocks reaches."""
+    first, second = first.copy(), second.copy()
+    far = np.iinfo(np.int64).max
+    while True:
+        new_first = np.minimum(first, np.where(linked, second[None, :], far).min(1))
+        new_second = np.minimum(second, np.where(linked, new_first[:, None], far).min(0))
+        if (new_first == first).all() and (new_second == second).all():
+            return first, second
+        first, second = new_first, new_second
+
+
+def _block_components(rule: Rule, one: bool, rows: list[tuple]) -> Iterator[tuple[int, int]]:
+    """``(a, b)``: classes of a pair of blocks, each with the least class that it is connected with, from rows of side, x,
+    root and shingles. Blocks of one component only have nothing to add."""
+    left = [r for r in rows if r[0] == 0]
+    right = left if one else [r for r in rows if r[0] == 1]
+    if not left or not right or len({r[2] for r in rows}) == 1:
+        return
+    linked = rule.links(
+        *(np.array([len(r[3]) for r in side]) for side in (left, right)),
+        common_counts([r[3] for r in left], [r[3] for r in right]),
+    )
+    ids = [np.array([r[1] for r in side], np.int64) for side in (left, right)]
+    for own, least in zip(ids, least_linked(linked, *ids), strict=True):
+        moved = own != least
+        yield from zip(own[moved].tolist(), least[moved].tolist(), strict=True)
+
+
+def _linked_in_groups(lists: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """``(a, b)``: links that connect, with those known, all classes of ``lists`` that links between lists connect."""
+    members, sizes = groups(lists)
+    blocked = members.join(sizes.where("not direct"), "g").join(sets.select("x", "shingles"), "x")
+    found = blockwise(
+        blocked.select(F.col("g").alias("of"), "blocks", "x", F.col("root").alias("with"), "shingles"),
+        lambda one, rows: _block_components(rule, one, rows),
+    ).toDF("a", "b")
+    if sizes.where("direct").isEmpty():
+        return found
+    alone = members.join(sizes.where("direct"), "g").select("x")
+    pairs = keep(_all_pairs(lists.join(alone, "x", "left_semi"), rule), "pairs")
+    return found.union(checked(pairs, sets, rule))
+
+
 def linked_classes(docs: DataFrame, sketch: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     """``(a, root)``: the component of each class that links with another one; and the sets of all that could."""
     sets = keep(whole_sets(docs, rule, keep(meeting_classes(sketch, rule), "classes")), "sets")
     lists = keep(short_lists(sets, rule), "short-lists")
     links = tried = None
-    roots = None
-    for turn in range(ROUNDS + 1):
-        now = roots if roots is not None else lists.select(F.col("x").alias("a"), F.col("x").alias("root")).limit(0)
-        open_lists = _connected(lists, now)
-        pairs = _centre_pairs(open_lists, rule, turn) if turn < ROUNDS else _all_pairs(open_lists, rule)
+    roots = lists.select(F.col("x").alias("a"), F.col("x").alias("root")).limit(0)
+    for turn in range(ROUNDS):
+        pairs = _centre_pairs(_connected(lists, roots), rule, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = keep(pairs, "pairs")
@@ -275,7 +348,8 @@ def linked_classes(docs: DataFrame, sketch: DataFrame, rule: Rule) -> tuple[Data
         tried = pairs if tried is None else tried.union(pairs)
         links = found if links is None else links.union(found)
         roots = components(links)
-    return roots, sets
+    rest = keep(_linked_in_groups(keep(_connected(lists, roots), "open-lists"), sets, rule), "links")
+    return components(rest if links is None else links.union(rest)), sets
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -324,21 +398,17 @@ def _block_links(rule: Rule, one: bool, rows: list[tuple]) -> Iterator[tuple[int
         yield from zip((r[1] for r in second), (copies[0] @ linked).tolist(), strict=True)
 
 
-def link_counts(roots: DataFrame, sets: DataFrame, sizes: DataFrame, rule: Rule) -> DataFrame:
-    """``(x, links)``: with how many rows of other classes the rows of each class link; classes without links left out.
+def blockwise(members: DataFrame, work: Callable[[bool, list[tuple]], Iterable[tuple[int, int]]]) -> DataFrame:
+    """What ``work`` yields, two numbers a row, for every pair of blocks of every group.
 
-    ``sizes (x, copies)`` has the number of rows of each class. A component of m blocks sends each class to m tasks.
+    ``members (of, blocks, x, with, shingles)``: the classes of a group are dealt into its blocks, and a group of m blocks
+    sends each class to m tasks. ``work`` takes whether the blocks are the same one, and rows of side, x, with, shingles.
     """
-    of = roots.select(F.col("a").alias("x"), "root").union(roots.select(F.col("root").alias("x"), "root").distinct())
-    members = keep(of.join(sizes, "x").join(sets.select("x", "shingles"), "x"), "members")
-    weight = F.sum(F.size("shingles").cast("long"))
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_CLASSES, weight / BLOCK_SHINGLES)).cast("int").alias("blocks")
-    dealt = members.join(members.groupBy("root").agg(blocks), "root")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    dealt = members.withColumn("own", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("int"))).alias("other")
     low, high = F.least("own", "other"), F.greatest("own", "other")
-    sent = dealt.select("root", "own", "x", "copies", "shingles", other).select(
-        "root", low.alias("low"), high.alias("high"), (F.col("own") > low).cast("int").alias("side"), "x", "copies", "shingles"
+    sent = dealt.select("of", "own", "x", "with", "shingles", other).select(
+        "of", low.alias("low"), high.alias("high"), (F.col("own") > low).cast("int").alias("side"), "x", "with", "shingles"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,27 +418,43 @@ def link_counts(roots: DataFrame, sets: DataFrame, sizes: DataFrame, rule: Rule)
             if made and (force or len(made) > 10_000):
                 x, n = zip(*made, strict=True)
                 made.clear()
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(n, pa.int64())], names=["x", "links"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(n, pa.int64())], names=["x", "found"])
 
         for batch in batches:
-            names = ("root", "low", "high", "side", "x", "copies")
+            names = ("of", "low", "high", "side", "x", "with")
             plain = zip(*(batch.column(n).to_pylist() for n in names), strict=True)
             shingles = batch.column("shingles")
-            for i, (root, low, high, *row) in enumerate(plain):
-                if (root, low, high) != now:
+            for i, (of, low, high, *row) in enumerate(plain):
+                if (of, low, high) != now:
                     if rows:
-                        made.extend(_block_links(rule, now[1] == now[2], rows))
+                        made.extend(work(now[1] == now[2], rows))
                     yield from flush(False)
-                    now, rows = (root, low, high), []
+                    now, rows = (of, low, high), []
                 rows.append((*row, shingles[i].values.to_numpy().view(np.uint64).copy()))
         if rows:
-            made.extend(_block_links(rule, now[1] == now[2], rows))
+            made.extend(work(now[1] == now[2], rows))
         yield from flush(True)
         tidy()
 
-    keys = ["root", "low", "high"]
-    counted = sent.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "x long, links long")
-    return counted.groupBy("x").agg(F.sum("links").alias("links"))
+    keys = ["of", "low", "high"]
+    return sent.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "x long, found long")
+
+
+def link_counts(roots: DataFrame, sets: DataFrame, sizes: DataFrame, rule: Rule) -> DataFrame:
+    """``(x, links)``: with how many rows of other classes the rows of each class link; classes without links left out.
+
+    ``sizes (x, copies)`` has the number of rows of each class.
+    """
+    of = roots.select(F.col("a").alias("x"), "root").union(roots.select(F.col("root").alias("x"), "root").distinct())
+    members = keep(of.join(sizes, "x").join(sets.select("x", "shingles"), "x"), "members")
+    weight = F.sum(F.size("shingles").cast("long"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_CLASSES, weight / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    dealt = members.join(members.groupBy("root").agg(blocks), "root")
+    counted = blockwise(
+        dealt.select(F.col("root").alias("of"), "blocks", "x", F.col("copies").alias("with"), "shingles"),
+        lambda one, rows: _block_links(rule, one, rows),
+    )
+    return counted.groupBy("x").agg(F.sum("found").alias("links"))
 
 
 def _of_classes(sketch: DataFrame, roots: DataFrame) -> DataFrame:
@@ -414,7 +500,28 @@ def jaccard_links(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
-    """The rows of ``docs`` without near copies: of each component the row with the least ``doc_id`` stays."""
-    keepers = jaccard_components(docs, rule).where("doc_id = component_id or doc_id is null").select("doc_id").distinct()
-    kept = docs.join(keepers, docs["doc_id"].eqNullSafe(keepers["doc_id"]), "left_semi")
-    return kept
+    """The rows of ``docs`` without near copies: of each component one row stays, that with the least ``doc_id``.
+
+    Rows without an id come last, rows with equal ids in the order of a hash of their text, and of rows that repeat both
+    one stays. Rows with an empty set (no words) have no copies: all of them stay.
+    """
+    sketch = keep(sketched(docs, rule, with_hash=True), "sketch")
+    roots = linked_classes(docs, sketch, rule)[0].withColumnRenamed("a", "x")
+    rooted = sketch.select("doc_id", "x", "h").join(roots, "x", "left").withColumn("root", F.coalesce("root", "x"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    first = rooted.where("x is not null").groupBy("root").agg(F.min(order).alias("k")).select("k.doc_id", "k.h")
+    rows = sketch.groupBy("doc_id", "h").agg(F.count(F.lit(1)).alias("rows"), F.max("x").isNotNull().alias("words"))
+    same = rows["doc_id"].eqNullSafe(first["doc_id"]) & (rows["h"] == first["h"])
+    stay = rows.where("words").join(first, same, "left_semi").union(rows.where("not words"))
+    stay = keep(stay.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), (F.col("words") & (F.col("rows") > 1)).alias("_again")), "stay")
+
+    def of(wanted: DataFrame) -> DataFrame:
+        here = docs["doc_id"].cast("long").eqNullSafe(wanted["_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == wanted["_h"])
+        return docs.join(wanted, here, "left_semi")
+
+    kept, again = of(stay.where("not _again")), stay.where("_again")
+    if again.isEmpty():
+        return kept
+    name = "_h_" + "_".join(docs.columns)
+    hashed = of(again).withColumn(name, F.xxhash64("text"))
+    return kept.union(hashed.dropDuplicates(["doc_id", name]).drop(name))

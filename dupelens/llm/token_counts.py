@@ -6,30 +6,40 @@ model is loaded). What lies between two cuts is a pre-token.
 
 Per document the frequencies of its pre-tokens are joined with the piece counts of the distinct pre-tokens. The most
 frequent pre-tokens of a bounded sample, at most ``HEAD``, are counted beforehand and joined where the documents are
-read, which keeps hot keys out of the shuffle; the frequencies of all others are dealt by pre-token, and each distinct
-one is counted once in its partition. Partial sums per document are added up.
+read, which keeps hot keys out of the shuffle. All others travel in blocks: a block is a run of documents of one task with
+about ``BLOCK`` frequencies; it names each distinct pre-token once, with the places in the block of the documents that
+hold it. Pre-tokens are dealt into buckets, each distinct one is counted once in the task of its bucket, and the sums of
+a block go back as one list per task. So the shuffles carry a string per block and small numbers, and no task holds
+more than a bucket of a few blocks.
+
+A block is known by its task and its number there, so the documents should come from files or a written table, which a
+retried task reads in the same order.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dupelens.llm.sentencepiece_lattice import PART, SPACE, model_path
-from dupelens.llm.tables import keep, most_frequent, texts
+from dupelens.llm.tables import keep, most_frequent, texts, tidy
 
 HEAD = 1 << 16
 HEAD_CHARS = 64
 SAMPLE = 10_000
 LIMIT = 4096
 LONGEST_CACHE = 500_000
+BLOCK = 1_000_000
+BUCKETS_PER_PARTITION = 4
 
 
 class PieceCounter:
@@ -79,67 +89,140 @@ def head_counts(source: DataFrame, path: str, head: int = HEAD) -> dict[str, int
     return dict(zip(parts, counter(path).counts(parts).tolist(), strict=True)) if parts else {}
 
 
-SCHEMA = "row long, doc_id long, part string, n long, size long"
+SCHEMA = (
+    "bucket long, block long, parts array<string>, uses array<int>, at array<int>, n array<long>, "
+    "ids array<long>, sizes array<long>"
+)
+KINDS = [pa.int64(), pa.int64(), pa.list_(pa.string())] + [pa.list_(pa.int32())] * 2 + [pa.list_(pa.int64())] * 3
+SUMS = "block long, at array<int>, n array<long>, ids array<long>, sizes array<long>"
 
 
-def _frequencies(batches: Iterator[pa.RecordBatch], head: dict[str, int]) -> Iterator[pa.RecordBatch]:
-    """Per document a row with its size and the tokens of its head pre-tokens, and a row for each other pre-token."""
+def _batch(rows: list[tuple], schema: str, kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in schema.split(", ")]
+    )
+
+
+class Block:
+    """A run of documents: of each its id, size and tokens of head pre-tokens, and the frequencies of all others."""
+
+    def __init__(self):
+        self.ids, self.sizes, self.known = [], [], []
+        self.codes: dict[str, int] = {}
+        self.part, self.at, self.n = [], [], []
+
+    def add(self, doc_id: int | None, text: str, head: dict[str, int]) -> None:
+        known, other = 0, []
+        for part in pretokens(text):
+            n = head.get(part)
+            if n is None:
+                other.append(part)
+            else:
+                known += n
+        for part, n in Counter(other).items():
+            self.part.append(self.codes.setdefault(part, len(self.codes)))
+            self.at.append(len(self.ids))
+            self.n.append(n)
+        self.ids.append(doc_id)
+        self.sizes.append(len(text.encode()))
+        self.known.append(known)
+
+    def rows(self, block: int, buckets: int) -> Iterator[tuple]:
+        """A row with the documents, and one for each bucket with its pre-tokens."""
+        yield zlib.crc32(b"%d" % block) % buckets, block, None, None, None, self.known, self.ids, self.sizes
+        names = list(self.codes)
+        bucket = np.array([zlib.crc32(p.encode()) % buckets for p in names], np.int64)
+        part, at, n = np.array(self.part, np.int64), np.array(self.at, np.int32), np.array(self.n, np.int64)
+        order = np.lexsort((part, bucket[part])) if len(part) else part
+        part, at, n = part[order], at[order], n[order]
+        edges = np.flatnonzero(np.diff(bucket[part])) + 1 if len(part) else part
+        for of, places, counts in zip(np.split(part, edges), np.split(at, edges), np.split(n, edges), strict=True):
+            if len(of):
+                own, uses = np.unique(of, return_counts=True)
+                yield int(bucket[of[0]]), block, [names[i] for i in own], uses.astype(np.int32), places, counts, None, None
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch], head: dict[str, int], buckets: int) -> Iterator[pa.RecordBatch]:
+    task, made, now = TaskContext.get().partitionId(), 0, Block()
+
+    def out() -> Iterator[pa.RecordBatch]:
+        rows = list(now.rows((task << 32) + made, buckets))
+        for low in range(0, len(rows), 500):
+            yield _batch(rows[low : low + 500], SCHEMA, KINDS)
+
     for batch in batches:
-        rows, ids, parts, numbers, sizes = [], [], [], [], []
-
-        def out(rows=rows, ids=ids, parts=parts, numbers=numbers, sizes=sizes) -> pa.RecordBatch:
-            columns = [rows, ids, parts, numbers, sizes]
-            made = pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.string() if c is parts else pa.int64()) for c in columns],
-                names=["row", "doc_id", "part", "n", "size"],
-            )
-            for c in columns:
-                c.clear()
-            return made
-
-        for row, key, value in zip(
-            batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text"), strict=True
-        ):
-            text = value.as_py()
-            known, other = 0, []
-            for part in pretokens(text):
-                n = head.get(part)
-                if n is None:
-                    other.append(part)
-                else:
-                    known += n
-            own = Counter(other)
-            rows += [row] * (len(own) + 1)
-            ids += [key] + [None] * len(own)
-            parts += [None, *own.keys()]
-            numbers += [known, *own.values()]
-            sizes += [len(text.encode())] + [None] * len(own)
-            if len(rows) > 50_000:
-                yield out()
-        yield out()
+        for key, value in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            now.add(key, value.as_py(), head)
+            if len(now.part) + len(now.ids) >= BLOCK:
+                yield from out()
+                made, now = made + 1, Block()
+    if now.ids:
+        yield from out()
+    tidy()
 
 
 def _weighted(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Frequencies times pieces; each distinct pre-token of the partition is counted once. Spark adds up per document."""
+    """Frequencies times pieces, summed up by document; each distinct pre-token of the task is counted once."""
     known: dict[str, int] = {}
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = 0
+
+    def sums() -> pa.RecordBatch:
+        rows = []
+        for block, pairs in held.items():
+            at, inverse = np.unique(np.concatenate([p[0] for p in pairs]), return_inverse=True)
+            total = np.zeros(len(at), np.int64)
+            np.add.at(total, inverse, np.concatenate([p[1] for p in pairs]))
+            rows.append((block, at, total, None, None))
+        held.clear()
+        return _batch(rows, SUMS, [pa.int64(), *KINDS[4:]])
+
     for batch in batches:
-        base = batch.filter(batch.column("part").is_null()).select(["row", "doc_id", "n", "size"])
+        base = batch.filter(batch.column("parts").is_null())
         if len(base):
-            yield base
-        rest = batch.filter(batch.column("part").is_valid())
-        if not len(rest):
-            continue
-        column = rest.column("part").dictionary_encode()
-        names = column.dictionary.to_pylist()
-        if len(known) > LONGEST_CACHE:
-            known.clear()
-        fresh = [p for p in names if p not in known]
-        if fresh:
-            known.update(zip(fresh, counter(path).counts(fresh).tolist(), strict=True))
-        pieces = np.array([known[p] for p in names], np.int64)
-        n = pieces[column.indices.to_numpy()] * rest.column("n").to_numpy()
-        none = pa.nulls(len(rest), pa.int64())
-        yield pa.RecordBatch.from_arrays([rest.column("row"), none, pa.array(n), none], names=["row", "doc_id", "n", "size"])
+            yield base.select(["block", "at", "n", "ids", "sizes"])
+        for row in range(len(batch)):
+            parts = batch.column("parts")[row].as_py()
+            if parts is None:
+                continue
+            if len(known) > LONGEST_CACHE:
+                known.clear()
+            fresh = [p for p in parts if p not in known]
+            if fresh:
+                known.update(zip(fresh, counter(path).counts(fresh).tolist(), strict=True))
+            pieces = np.repeat([known[p] for p in parts], batch.column("uses")[row].values.to_numpy())
+            at = batch.column("at")[row].values.to_numpy().copy()
+            held.setdefault(batch.column("block")[row].as_py(), []).append((at, pieces * batch.column("n")[row].values.to_numpy()))
+            size += len(at)
+            if size >= BLOCK:
+                yield sums()
+                size = 0
+    if held:
+        yield sums()
+    tidy(known)
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a block, whose rows follow each other, the one with its documents first."""
+    block, ids, sizes, total = None, None, None, None
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([ids, sizes, pa.array(total)], names=["doc_id", "n_bytes", "n_tokens"])
+
+    for batch in batches:
+        for row in range(len(batch)):
+            n = batch.column("n")[row].values.to_numpy()
+            if batch.column("ids")[row].is_valid:
+                if block is not None:
+                    yield out()
+                block, ids, sizes = batch.column("block")[row].as_py(), batch.column("ids")[row].values, batch.column("sizes")[row].values
+                total = n.copy()
+            else:
+                total[batch.column("at")[row].values.to_numpy()] += n
+    if block is not None:
+        yield out()
+    tidy()
 
 
 def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -> DataFrame:
@@ -151,16 +234,9 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = LIMIT) -
     path = path or model_path()
     source = texts(docs)
     head = head_counts(source, path)
-    keyed = source.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
-    found = keyed.mapInArrow(lambda b: _frequencies(b, head), SCHEMA)
-    dealt = found.repartition(F.coalesce("part", F.hex("row")))
-    sums = dealt.mapInArrow(lambda b: _weighted(b, path), "row long, doc_id long, n long, size long").groupBy("row")
-    totals = sums.agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("size").alias("n_bytes"),
-        F.sum("n").alias("n"),
-        F.count("size").alias("rows"),
-    )
-    one = totals.select("doc_id", "n_bytes", F.expr("n div rows").alias("n_tokens"), "rows")
-    each = one.select("doc_id", "n_bytes", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"))
-    return each.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = source.mapInArrow(lambda b: _frequencies(b, head, buckets), SCHEMA)
+    dealt = found.repartition("bucket").mapInArrow(lambda b: _weighted(b, path), SUMS)
+    joined = dealt.repartition("block").sortWithinPartitions("block", F.col("ids").isNull())
+    totals = joined.mapInArrow(_totals, "doc_id long, n_bytes long, n_tokens long")
+    return totals.withColumn("over_limit", F.col("n_tokens") > limit)

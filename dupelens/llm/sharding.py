@@ -3,8 +3,8 @@
 Equal texts are one unit. Units that share a MinHash value of their word shingles are linked through it, so a link
 table has at most ``HASHES`` rows per unit, however many units share a value. Each round joins the labels to the values, lets
 each value vote for the shard where most of its rows are, and each unit wish for the shard with most votes. Wishes are
-granted by quota: between two shards as many rows as wish to go the other way, plus what the target has room for; which
-units go is decided by a hash. Quotas are worked out from sums over pairs of shards, never from units.
+granted by quota: between two shards as many rows as wish to go the other way, plus what the target has room for up to ``SLACK`` percent
+above the mean; which units go is decided by a hash. Quotas are worked out from sums over pairs of shards, never from units.
 
 Last, rows are put in the order of shard, link and unit, numbered by running sums over small cells, and cut into
 equal parts: this settles what the quotas left uneven, and units without links stand at the borders to take the shift.
@@ -30,6 +30,7 @@ WORDS = 5
 ROUNDS = 4
 BUCKETS = 64
 HOT_ROWS = 1_000
+SLACK = 10
 SEEDS = [np.uint64(0x243F6A8885A308D3 + 0x9E3779B97F4A7C15 * i & (1 << 64) - 1) for i in range(HASHES)]
 
 
@@ -62,7 +63,8 @@ def described(docs: DataFrame) -> DataFrame:
 def links(units: DataFrame) -> DataFrame:
     """``(unit, n, value)``: MinHash values that at least two units share."""
     every = units.select("unit", "n", F.explode(F.array_distinct("values")).alias("value"))
-    shared = every.groupBy("value").agg(F.count(F.lit(1)).alias("units")).where("units > 1")
+    # Written, so that the join is of two plain shuffles and a value of very many units can be split.
+    shared = keep(every.groupBy("value").agg(F.count(F.lit(1)).alias("units")).where("units > 1"), "shared")
     return every.join(shared.select("value"), "value").select("unit", "n", "value")
 
 
@@ -72,23 +74,31 @@ def _hashed(*seed) -> Column:
 
 
 def wishes(linked: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(unit, n, label, wish)`` of the units that most of their linked rows would have elsewhere."""
+    """``(unit, n, label, wish)`` of the units that most of their linked rows would have elsewhere.
+
+    Ties are settled by a hash of value and label, so that they draw different values to different shards.
+    """
     labelled = linked.join(labels.select("unit", "label"), "unit")
     votes = labelled.groupBy("value", "label").agg(F.sum("n").alias("rows"))
-    best = votes.groupBy("value").agg(F.max_by("label", F.struct("rows", F.col("label"))).alias("choice"), F.max("rows").alias("rows"))
-    counted = labelled.join(best, "value").groupBy("unit", "n", "label", "choice").agg(F.count(F.lit(1)).alias("votes"), F.sum("rows").alias("rows"))
-    chosen = counted.groupBy("unit", "n", "label").agg(F.max_by("choice", F.struct("votes", "rows", "choice")).alias("wish"))
+    most = F.max(F.struct("rows", F.xxhash64("value", "label").alias("tie"), F.col("label").alias("choice"))).alias("most")
+    best = keep(votes.groupBy("value").agg(most).select("value", "most.*"), "best")
+    counted = labelled.join(best, "value").groupBy("unit", "n", "label", "choice").agg(
+        F.count(F.lit(1)).alias("votes"), F.sum("rows").alias("rows"), F.max("tie").alias("tie")
+    )
+    chosen = counted.groupBy("unit", "n", "label").agg(F.max_by("choice", F.struct("votes", "rows", "tie")).alias("wish"))
     return chosen.where("wish <> label")
 
 
-def quotas(flows: list[tuple[int, int, int]], loads: dict[int, int], shards: int) -> list[tuple[int, int, float]]:
-    """For each pair of shards the share of wishes that is granted: exchanges, and the room that the target has."""
+def quotas(flows: list[tuple[int, int, int]], loads: dict[int, int], shards: int, slack: int = 0) -> list[tuple[int, int, float]]:
+    """For each pair of shards the share of wishes that is granted: exchanges, and the room that the target has
+    below the mean load and ``slack`` percent of it more."""
     wish = {(a, b): n for a, b, n in flows}
-    room = {s: max(0, -(-sum(loads.values()) // shards) - loads.get(s, 0)) for s in range(shards)}
+    most = -(-sum(loads.values()) * (100 + slack) // (100 * shards))
+    room = {s: max(0, most - loads.get(s, 0)) for s in range(shards)}
     granted = {}
     for (a, b), n in sorted(wish.items()):
         swap = min(n, wish.get((b, a), 0))
-        extra = min(n - swap, room[b] // 2)
+        extra = min(n - swap, room[b])
         room[b] -= extra
         granted[a, b] = (swap + extra) / n
     return [(a, b, share) for (a, b), share in granted.items()]
@@ -112,7 +122,7 @@ def propagated(units: DataFrame, shards: int, rounds: int) -> DataFrame:
         loads = dict(rest)
         for r in labels.groupBy("label").agg(F.sum("n").alias("n")).collect():
             loads[r["label"]] = loads.get(r["label"], 0) + r["n"]
-        shares = spark.createDataFrame(quotas(flows, loads, shards), "label int, wish int, share double")
+        shares = spark.createDataFrame(quotas(flows, loads, shards, SLACK), "label int, wish int, share double")
         moved = asked.join(F.broadcast(shares), ["label", "wish"]).where(_hashed(turn) < F.col("share")).select("unit", "wish")
         labels = keep(
             labels.join(moved, "unit", "left").withColumn("label", F.coalesce("wish", "label")).select("unit", "n", "value", "label"),

@@ -10,6 +10,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from dupelens.llm import (
     components,
@@ -109,6 +110,45 @@ def test_common_counts_over_chunks(monkeypatch):
     assert jaccard_join.common_counts(sets, sets[1:]).tolist() == [[len(np.intersect1d(a, b)) for b in sets[1:]] for a in sets]
 
 
+@pytest.mark.parametrize(("rounds", "block"), [(0, 1024), (0, 9), (1, 9), (2, 1024)])
+def test_jaccard_groups_in_blocks(spark, monkeypatch, rounds, block):
+    monkeypatch.setattr(jaccard_join, "ROUNDS", rounds)
+    monkeypatch.setattr(jaccard_join, "GROUP_CLASSES", block)
+    base = prose(7, 90)
+    data = [(i, near(base, i, 1 + i % 9)) for i in range(90)] + [(200 + i, t) for i, t in rows()]
+    found = jaccard_join.jaccard_components(documents(spark, data)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(data, 3, 90)
+
+
+def test_groups_with_few_pairs_are_checked_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 0)
+    monkeypatch.setattr(jaccard_join, "GROUP_CLASSES", 1)
+    direct = []
+    plain = jaccard_join._all_pairs
+    monkeypatch.setattr(jaccard_join, "_all_pairs", lambda *a: direct.append(1) or plain(*a))
+    first = [prose(1000 + i, 60) for i in range(30)]
+    data = [(i, t) for i, t in enumerate(first)] + [(100 + i, near(t, i)) for i, t in enumerate(first)]
+    found = jaccard_join.jaccard_components(documents(spark, data), jaccard_join.Rule(3, 80)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(data, 3, 80)
+
+
+def test_least_linked_follows_chains():
+    linked = np.zeros((4, 4), bool)
+    linked[[0, 1, 1, 2], [1, 1, 2, 2]] = True
+    first, second = jaccard_join.least_linked(linked, np.array([50, 40, 30, 1]), np.array([9, 70, 60, 2]))
+    assert (first.tolist(), second.tolist()) == ([30, 30, 30, 1], [9, 30, 30, 2])
+
+
+def test_one_row_of_each_group_stays(spark):
+    text, other = prose(1, 80), prose(2, 80)
+    data = [(5, text), (5, text), (5, near(text, 1)), (None, text), (7, near(text, 2)), (None, other), (None, other), (None, near(other, 3))]
+    data += [(9, None), (9, None), (None, ""), (9, prose(3, 50)), (11, "unlike all others")]
+    kept = jaccard_join.one_of_each(documents(spark, data), jaccard_join.Rule(5, 80)).collect()
+    assert sorted(str(r.doc_id) for r in kept) == sorted(["5", "None", "9", "9", "None", "9", "11"])
+    assert sum(r.text is None for r in kept) == 2 and kept[0].n == "clash"
+    assert jaccard_join.one_of_each(empty(spark), jaccard_join.Rule(5, 80)).count() == 0
+
+
 def test_jaccard_keeps_repeated_rows_and_takes_nulls(spark):
     data = [(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (2, None), (2, None)]
     found = jaccard_join.jaccard_components(documents(spark, data)).collect()
@@ -368,6 +408,16 @@ def test_token_counts_without_a_head(spark, monkeypatch):
     assert found == {i: len(token_counts.counter(sentencepiece_lattice.model_path()).model.encode(t or "")) for i, t in rows()}
 
 
+def test_token_counts_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "head_counts", lambda *_: {})
+    monkeypatch.setattr(token_counts, "BLOCK", 40)
+    data = [*rows(), (0, rows()[0][1]), (None, "null id"), (None, None)]
+    model = token_counts.counter(sentencepiece_lattice.model_path()).model
+    found = token_counts.token_counts(documents(spark, data)).collect()
+    expected = sorted((str(i), len((t or "").encode()), len(model.encode(t or ""))) for i, t in data)
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in found) == expected
+
+
 def test_base_scores_and_counts(spark):
     data = [*rows(), (0, rows()[0][1])]
     found = context_tree.scores(documents(spark, data)).collect()
@@ -481,6 +531,30 @@ def test_sharding(spark):
     assert sharding.sharded(empty(spark)).count() == 0
 
 
+def test_propagation_keeps_near_copies_together(spark):
+    families = [prose(5000 + i, 60) for i in range(60)]
+    data = [(i, near(families[i % 60], i)) for i in range(1200)]
+    docs = documents(spark, data)
+    values = sharding.described(docs).select("unit", F.explode("values").alias("value"))
+
+    def cut(rounds):
+        placed = sharding.sharded(docs, rounds=rounds).select("unit", "shard")
+        # Of the links of a value, those to another shard than that of most of its units.
+        rows = values.join(placed, "unit").groupBy("value", "shard").agg(F.countDistinct("unit").alias("n"))
+        r = rows.groupBy("value").agg(F.max("n").alias("most"), F.sum("n").alias("all")).where("all > 1")
+        r = r.agg(F.sum("most"), F.sum("all")).first()
+        return 1 - r[0] / r[1]
+
+    before, after = cut(0), cut(4)
+    assert after <= 0.35 and after <= before / 2
+
+
+def test_quotas_grant_slack():
+    flows, loads = [(0, 1, 50)], {0: 100, 1: 100}
+    assert sharding.quotas(flows, loads, 2) == [(0, 1, 0.0)]
+    assert sharding.quotas(flows, loads, 2, 10)[0][2] == pytest.approx(0.2)
+
+
 def test_quotas_never_overfill():
     flows = [(0, 1, 50), (1, 0, 20), (2, 1, 40), (0, 2, 5)]
     loads = {0: 100, 1: 90, 2: 110}

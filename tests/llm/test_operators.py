@@ -572,9 +572,6 @@ def test_decontamination_by_tiles(spark):
     found = decontamination.contaminated(documents(spark, docs), items).collect()
     assert sorted((r.doc_id, r.item_id) for r in found) == sorted([(400, 1), (400, 5), (401, 1), (401, 5), (401, 1), (401, 5), (403, 1), (403, 5)])
     assert [list(t)[1:] for t in next(r for r in found if r.doc_id == 401).tiles] == [[0, 25], [25, 15]]
-    split = decontamination.Rule(part_bytes=10)
-    again = decontamination.contaminated(documents(spark, docs), items, split).collect()
-    assert sorted((r.doc_id, r.item_id, r.covered) for r in again) == sorted((r.doc_id, r.item_id, r.covered) for r in found)
     kept = decontamination.without_contaminated(documents(spark, docs), items)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i not in (400, 401, 403))
     assert decontamination.contaminated(empty(spark), items).count() == 0
@@ -603,10 +600,58 @@ def slow_tiles(doc, item, seed):
 def test_tiles_equal_a_plain_search(case):
     rng = np.random.default_rng(case)
     doc, item = rng.integers(0, 3, 40).tolist(), rng.integers(0, 3, 18).tolist()
-    places = [(i, j) for i in range(len(doc) - 2) for j in range(len(item) - 2) if doc[i : i + 3] == item[j : j + 3]]
+    places = [np.array([i for i in range(len(doc) - 2) if doc[i : i + 3] == item[j : j + 3]], np.int64) for j in range(len(item) - 2)]
     assert sum(t[2] for t in decontamination.tiles(places, 3)) == sum(t[2] for t in slow_tiles(doc, item, 3))
 
 
+def slow_words(text):
+    return re.findall(r"[^\x00-\x20!-/:-@\[-`{-~]+", words_lower(text))
+
+
+def words_lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def slow_contaminated(docs, items, coverage=0.6):
+    out = []
+    for doc_id, text in docs:
+        for item_id, item in items:
+            doc, words = slow_words(text), slow_words(item)
+            covered = sum(t[2] for t in slow_tiles(doc, words, min(5, len(words)))) if words else 0
+            if words and covered and covered >= coverage * len(words):
+                out.append((doc_id, item_id, covered))
+    return out
+
+
+def test_decontamination_equals_plain_tiling_with_short_and_common_items(spark):
+    head = "the quick brown fox jumps over"
+    items = [(i, f"{head} {prose(700 + i, 2 + i)}") for i in range(12)]
+    items += [(20, "one"), (21, "One two!"), (22, "one two three"), (23, "alpha, beta; gamma delta"), (24, "five words are a seed"), (25, "..."), (26, None)]
+    items += [(None, items[3][1]), (30, "la " * 12), (30, "la " * 12)]
+    docs = [(i, f"{head} {prose(i, 12)} {items[i % 12][1]}") for i in range(24)]
+    docs += [(100 + i, f"{prose(i, 9)} {items[i][1]} x") for i in range(12, 16)] + [(200, items[9][1]), (200, items[9][1]), (None, items[2][1])]
+    docs += [(201, "la " * 40), (202, head), (203, None), (204, "five words are a"), (205, "words are a seed five"), (206, "...")]
+    found = decontamination.contaminated(documents(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    order = lambda rows: sorted(rows, key=str)
+    assert order((r.doc_id, r.item_id, r.covered) for r in found.collect()) == order(slow_contaminated(docs, items))
+
+
+def test_decontamination_of_equal_words_and_plan(spark):
+    items = spark.createDataFrame([(1, "same " * 400), (2, prose(5, 60))], "item_id long, text string")
+    docs = documents(spark, [(1, "same " * 8000), (2, "same " * 100), (3, prose(5, 60)), (3, prose(5, 60))])
+    assert sorted((r.doc_id, r.item_id, r.covered) for r in decontamination.contaminated(docs, items).collect()) == [(1, 1, 400), (3, 2, 60), (3, 2, 60)]
+    assert [r.doc_id for r in decontamination.without_contaminated(docs, items).collect()] == [2]
+
+
+def test_least_seeds_is_a_lower_bound(spark):
+    rule = decontamination.Rule()
+    found = spark.range(1, 200).select("id", rule.least_seeds(F.col("id")).alias("k")).collect()
+    for n, k in found:
+        need = next(c for c in range(n + 1) if c >= rule.coverage * n)
+        seeds = [need - t * (rule.seed - 1) for t in range(1, need // rule.seed + 1)]
+        assert k == 1 if n < rule.seed else k <= min(seeds, default=1)
+
+
 def test_license_scan(spark):
     mit = license_scan.TEMPLATES["mit"]
     docs = [*rows(), (500, prose(1, 70) + "\nReleased under the MIT License.\n" + prose(2, 33)), (501, "ALL RIGHTS RESERVED"), (502, prose(3, 517) + " " + mit),

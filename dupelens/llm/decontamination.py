@@ -6,8 +6,8 @@ each other in both texts make up maximal matches. The longest match of words tha
 again, until none of ``seed`` words is left, so reordered passages are found piece by piece. A document is contaminated by
 an item when the marks cover at least ``coverage`` of the words of the item.
 
-1. The running hashes of each document are held against a bit table of the seeds, of at most 2^26 bits whatever the size
-   of the benchmark; what is left is written once, for each text its hashes and places. A fuller table lets more hashes
+1. The running hashes of each document are held against a Bloom filter of the seeds, of at most 2^26 bits whatever the size
+   of the benchmark; what is left is written once, for each text its hashes and places. A fuller filter lets more hashes
    through and loses none.
 2. Marks that cover c words hold at least ``c / seed`` seeds of the item. So many less one may be left out, the most
    frequent ones: the rest is joined to the hashes of the texts and gives the pairs of texts and items, with equal texts
@@ -33,6 +33,8 @@ from dupelens.llm.words import IS_WORD, STEP, chunks, mixed, utf8, word_hashes
 PLAIN = IS_WORD.copy()
 PLAIN[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = False
 LEAST_BITS, MOST_BITS = 16, 26
+#: The slots of a hash begin at these bits.
+PROBES = (0, 19, 38)
 SEEN = 200_000
 
 
@@ -131,19 +133,24 @@ def seeded(benchmark: DataFrame, rule: Rule) -> DataFrame:
 
 
 def bit_table(seeds: DataFrame) -> np.ndarray:
-    """Which slots seeds fall into, 64 in a number; put together by tasks, at most 2^20 rows of two numbers reach the driver."""
+    """A Bloom filter of the seeds, 64 slots in a number; put together by tasks, at most 2^20 rows of two numbers reach the driver."""
     bits = min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(64 * (seeds.count() + 1)))))
-    slot = F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
-    one = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
-    found = seeds.groupBy(F.shiftright(slot, 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
+    probes = F.array(*(F.shiftrightunsigned("seed", s).bitwiseAND(F.lit((1 << bits) - 1)) for s in PROBES))
+    slots = seeds.select(F.explode(probes).alias("slot"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
+    found = slots.groupBy(F.shiftright("slot", 6).alias("at")).agg(F.bit_or(one).alias("bits")).toArrow()
     table = np.zeros(1 << (bits - 6), np.int64)
     table[found.column("at").to_numpy()] = found.column("bits").to_numpy()
     return table.view(np.uint64)
 
 
-def _in_table(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    slot = hashes & np.uint64(64 * len(table) - 1)
-    return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+def _places_in(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where all slots of each hash are set."""
+    left = np.arange(len(hashes))
+    for shift in PROBES:
+        slot = (hashes[left] >> np.uint64(shift)) & np.uint64(64 * len(table) - 1)
+        left = left[(table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1]
+    return left
 
 
 def hits_of(column: pa.Array, table: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,7 +163,7 @@ def hits_of(column: pa.Array, table: np.ndarray, sizes: list[int]) -> tuple[np.n
         own = []
         for size in sizes:
             found = rolling(words, size)
-            at_word = np.flatnonzero(_in_table(table, found))
+            at_word = _places_in(table, found)
             row = np.searchsorted(rows, at_word, "right") - 1
             inside = at_word + size <= rows[row + 1]
             own.append((row[inside], found[at_word[inside]].view(np.int64), (at_word - rows[row])[inside]))

@@ -24,19 +24,24 @@ from dupelens.llm.tables import texts
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>?",
+    # Quotes belong to a value only behind its equals sign.
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*+(?:\"[^\"]*\"|'[^']*')|[^>])*+)>?",
     re.S,
 )
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
+ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?。，；：！？、…]")
 
-RAW = frozenset("script style noscript template textarea title iframe svg math canvas object audio video".split())
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml canvas object audio video".split())
 SKIPPED = frozenset("nav header footer aside form button select option input label menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var wbr img".split()
+    "strong sub sup time tt u var wbr img "
+    "math semantics mi mo mn ms mtext mrow msup msub msubsup mfrac msqrt mroot munder mover munderover mstyle mspace".split()
 )
+#: These stand inside a line of text as well, though their own text is no article text.
+IN_LINE = INLINE | frozenset("label button select option output input".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 "
@@ -71,7 +76,8 @@ MOST = 0.5
 
 
 class Node:
-    """An element: its parent, its tag, the path of block elements down to it, and what says that it is no article text.
+    """An element: its parent, its tag, a number for the path of block elements down to it, and what says that it is no
+    article text.
 
     ``hidden``: nothing inside is text of the page; ``marks``: the words of its tag, role, class and id that mark it.
     """
@@ -82,8 +88,8 @@ class Node:
         self.parent, self.tag = parent, tag
         self.marks, hidden = _marks(tag, attributes)
         self.hidden = hidden or (parent is not None and parent.hidden)
-        above = parent.path if parent else ""
-        self.path = above if tag in INLINE else f"{above}/{tag}"
+        above = parent.path if parent else 0
+        self.path = above if tag in INLINE else hash((above, tag))
         self.depth = parent.depth + 1 if parent else 0
 
 
@@ -101,7 +107,9 @@ def _marks(tag: str, attributes: str) -> tuple[frozenset[str], bool]:
                     marks |= words & NOISE_WORDS
         elif name == "role" and value.lower() in NOISE_ROLES:
             marks.add(value.lower())
-        elif name in ("hidden", "aria-hidden") and value.lower() == "true":
+        elif tag in ("html", "body"):
+            continue  # hidden until a script has run: still the page
+        elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (name == "style" and UNSEEN.search(value)):
             hidden = True
     return frozenset(marks), hidden
 
@@ -149,7 +157,7 @@ def leaves(page: str) -> list[Leaf]:
                     stack.pop()
                 links -= tag == "a"
                 stack.pop()
-            if tag not in INLINE:
+            if tag not in IN_LINE:
                 block += 1
             continue
         if tag in RAW:
@@ -157,7 +165,7 @@ def leaves(page: str) -> list[Leaf]:
             end = raw_until.search(page, at)
             at = end.end() if end else size
             continue
-        if tag not in INLINE and tag != "br":
+        if tag not in IN_LINE and tag != "br":
             block += 1
             if tag in CLOSES_P:
                 links -= _close(stack, {"p"}, LISTS | {"td", "th"})
@@ -249,9 +257,9 @@ def _block_of(node: Node) -> Node:
 
 def _scores(found: list[Leaf]) -> np.ndarray:
     """The fused, smoothed ratio of each leaf."""
-    length: dict[str, float] = defaultdict(float)
-    marks: dict[str, float] = defaultdict(float)
-    blocks: dict[str, set[int]] = defaultdict(set)
+    length: dict[int, float] = defaultdict(float)
+    marks: dict[int, float] = defaultdict(float)
+    blocks: dict[int, set[int]] = defaultdict(set)
     for leaf in found:
         path = leaf.node.path
         blocks[path].add(leaf.block)

@@ -280,6 +280,32 @@ def test_html_extraction_leaves_out_longer_text_beside_the_article(mark):
     assert "article, and" in text and "reader" not in text
 
 
+@pytest.mark.parametrize(
+    ("inside", "wanted"),
+    [
+        ("<p>Seen one.</p><div hidden><p>Secret.</p></div>", "Seen one."),
+        ("<p>Seen one.</p><div hidden=''><p>Secret.</p></div><p hidden=until-found>Secret.</p>", "Seen one."),
+        ("<p>Seen one.</p><div style='color: red; display : none'><p>Secret.</p></div><p style=visibility:hidden>Secret.</p>", "Seen one."),
+        ("<p data-hidden=no style='display:block' title='hidden display:none'>Seen one.</p>", "Seen one."),
+        ("<p>Let <math><msup><mi>x</mi><mn>2</mn></msup><annotation>Secret</annotation></math> grow.</p>", "Let x2 grow."),
+        ("<p>Press <button>Secret</button> once, then <select><option>Secret</select> wait.</p>", "Press once, then wait."),
+        ("<p title=It's>Seen one.</p><p title=it's>Seen two.</p>", "Seen one.\nSeen two."),
+        ("<p title='a > b' lang = \"c > d\">Seen one.</p>", "Seen one."),
+        ("<p title=\"it's\">Seen <b class=x'y>one</b>.</p>", "Seen one."),
+    ],
+)
+def test_html_extraction_of_hidden_and_inline_elements(inside, wanted):
+    text = html_extraction.main_text(f"<body>{NAV}<article>{LONG}{inside}{LONG}</article></body>")
+    line = " ".join(["This is a sentence of the article, and it goes on."] * 12)
+    assert text == f"{line}\n{wanted}\n{line}"
+    assert html_extraction.main_text(f"<body style='visibility:hidden'><article>{LONG}</article></body>") == line
+
+
+def test_html_extraction_of_deep_nesting():
+    text = html_extraction.main_text("<div>" * 3000 + LONG + "</div>" * 3000)
+    assert text.count("article, and") == 12
+
+
 BAD = "idiotic moronic trashy".split()
 
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from dupelens.operators import backlog as work
 from dupelens.operators import pairs as ops
 from dupelens.runtime import fresh_path
@@ -151,3 +152,14 @@ def test_pair_records_join_both_endpoints(spark):
     row = ops.assemble(ops.star_links(records), records).first().asDict()
     assert row["duplicate_type"] == "SAME_CONTENT_DIFF_FORMAT" and row["duration_diff"] == 2.5
     assert list(row) == PAIR.names
+
+
+def test_experiment_counts_pairs_of_any_length(spark, tmp_path):
+    """A pair counts by its score alone, whatever the numbers of its order."""
+    rows = [(10, 1, 900_000.0, "O", "1-URGENT"), (90_000_000, 2, 440_000.0, "F", "5-LOW"), (30, 3, 1_000.0, "F", "5-LOW")]
+    orders = spark.createDataFrame(
+        rows, "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderstatus string, o_orderpriority string"
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    counted = queries()["experiment_types"](spark, str(tmp_path)).collect()
+    assert {r["duplicate_type"]: r["pairs"] for r in counted} == {"SAME_CONTENT_DIFF_FORMAT": 1, "VERY_HIGH_SIMILARITY": 1}

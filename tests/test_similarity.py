@@ -228,3 +228,32 @@ def test_known_pairs_are_left_out_in_either_order(spark):
     found = spark.createDataFrame([("a", "b"), ("c", "d")], "fingerprint_1 string, fingerprint_2 string")
     known = spark.createDataFrame([("b", "a")], "fingerprint_1 string, fingerprint_2 string")
     assert [tuple(r) for r in fuzzy.not_known(found, known).collect()] == [("c", "d")]
+
+
+def test_places_and_their_order_bound_the_search(spark):
+    """Texts of one cluster with a common opening of 40 % and a rest of their own: no pair, and hardly a place that meets."""
+    rnd = random.Random(9)
+    opening = [rnd.randrange(10**6) for _ in range(40)]
+    rows = [(0.0, f"t{i:03d}", opening + [10**7 + 100 * i + k for k in range(60)]) for i in range(150)]
+    classes = candidates.content_classes(spark.createDataFrame(rows, "cluster_start double, fingerprint string, words array<bigint>"))
+    assert candidates.candidate_pairs(classes, 0.75).count() == 0
+    places = candidates._places(classes, 0.75, None)
+    assert places.count() == 150 * (100 - 75 + 5)
+    assert places.where(F.col("value") < 10**6).count() == 0
+
+
+def test_only_asked_content_is_moved(spark):
+    _, frame = make_classes(spark, n=200)
+    classes = candidates.content_classes(frame)
+    some = classes.where("fingerprint < 'fp010'").select("class_id")
+    among = {r["fingerprint"] for r in candidates._among(classes, some).collect()}
+    assert {f"fp{i:03d}" for i in range(10)} <= among and len(among) < 20
+
+
+def test_full_matches_at_any_offset_end_the_scoring():
+    rnd = random.Random(3)
+    for _ in range(60):
+        a = [rnd.randrange(6) for _ in range(rnd.randrange(1, 60))]
+        b = [9] * rnd.randrange(40) + a[rnd.randrange(len(a)) :] + [8] * rnd.randrange(3)
+        for reach in (0, 5, 12, 13, 50):
+            assert _best_alignment(np.array(a), np.array(b), reach) == naive(a, b, reach) if b else True

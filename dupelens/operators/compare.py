@@ -109,24 +109,29 @@ def perturbations(words: Column, filler: Column, recased: Column) -> list[tuple[
 
 def robustness(items: DataFrame, filler: Column) -> DataFrame:
     """Similarity of every altered version with its original, ranked per item (ties in creation order)."""
+    named = perturbations(F.col("words"), filler, F.col("recased"))
+    changed = items.select("id", "words", *(altered.alias(f"altered_{i}") for i, (_, altered) in enumerate(named)))
+    # All versions of an item are scored in one row, so the original goes to Python once; a copy needs no scoring.
+    score = best_alignment()
+    similar = changed.select("*", *(
+        (F.lit(1.0) if name == "exact_copy" else score("words", f"altered_{i}")).alias(f"similarity_{i}")
+        for i, (name, _) in enumerate(named)
+    ))
     versions = F.filter(
         F.array(
             *(
-                F.struct(F.lit(i).alias("created"), F.lit(name).alias("modification"), changed.alias("altered"))
-                for i, (name, changed) in enumerate(perturbations(F.col("words"), filler, F.col("recased")))
+                F.struct(
+                    F.lit(i).alias("created"), F.lit(name).alias("modification"), F.col(f"similarity_{i}").alias("similarity"),
+                    (F.size(f"altered_{i}") - F.size("words")).alias("length_change"),
+                    F.col(f"altered_{i}").isNotNull().alias("made"),
+                )
+                for i, (name, _) in enumerate(named)
             )
         ),
-        lambda v: v["altered"].isNotNull(),
+        lambda v: v["made"],
     )
-    scored = (
-        items.select("id", "words", F.explode(versions).alias("v"))
-        .select(
-            "id",
-            "v.created",
-            "v.modification",
-            best_alignment()("words", "v.altered").alias("similarity"),
-            (F.size("v.altered") - F.size("words")).alias("length_change"),
-        )
+    scored = similar.select("id", F.explode(versions).alias("v")).select(
+        "id", "v.created", "v.modification", "v.similarity", "v.length_change"
     )
     by_similarity = Window.partitionBy("id").orderBy(F.desc("similarity"), "created")
     return scored.withColumn("rank", F.row_number().over(by_similarity)).drop("created")

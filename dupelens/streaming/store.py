@@ -71,9 +71,9 @@ class KeyedStore:
         """Stores the rows of a batch in place of what an earlier attempt of it stored."""
         self._prepared(rows.sparkSession)
         placed = rows.select(*self.schema.names, self.bucket(), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        # A bucket's rows of a batch lie in one file.
+        # A bucket's rows of a batch lie in one file, or in several where they are too many for one task.
         (
-            placed.repartition("bucket")
+            placed.hint("rebalance", "bucket")
             .write.partitionBy("bucket", "batch_id")
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite")
@@ -92,7 +92,7 @@ class KeyedStore:
             return
         folder = fresh_path(spark, "snapshot")
         rows = self.latest(spark, upto + 1).select("*", self.bucket(), F.lit(upto).cast("bigint").alias("batch_id"))
-        rows.repartition("bucket").write.partitionBy("bucket", "batch_id").parquet(folder)
+        rows.hint("rebalance", "bucket").write.partitionBy("bucket", "batch_id").parquet(folder)
         spark.createDataFrame([(upto, folder)], SNAPSHOTS).coalesce(1).write.mode("append").parquet(f"{self.path}_snapshots")
 
     def _snapshot_of(self, spark: SparkSession, upto: int) -> bool:

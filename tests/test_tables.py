@@ -163,3 +163,18 @@ def test_experiment_counts_pairs_of_any_length(spark, tmp_path):
     orders.write.parquet(f"{tmp_path}/orders.parquet")
     counted = queries()["experiment_types"](spark, str(tmp_path)).collect()
     assert {r["duplicate_type"]: r["pairs"] for r in counted} == {"SAME_CONTENT_DIFF_FORMAT": 1, "VERY_HIGH_SIMILARITY": 1}
+
+
+def test_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """A store of one bucket: its rows go to as many files as their size asks for, and all of them come back."""
+    store = ingest.pair_store(f"{tmp_path}/pairs", buckets=1)
+    row = ", ".join(f"cast({'id' if f.name.startswith('file_key') else 'null'} as {f.dataType.simpleString()}) {f.name}" for f in PAIR)
+    rows = spark.range(40_000).selectExpr(*row.split(", "))
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "64k")
+    try:
+        store.put(rows, 0)
+    finally:
+        spark.conf.unset(setting)
+    assert len(list(tmp_path.glob("pairs/bucket=0/batch_id=0/*.parquet"))) > 1
+    assert store.rows(spark).select("file_key_1").distinct().count() == 40_000

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -257,3 +258,58 @@ def test_full_matches_at_any_offset_end_the_scoring():
         b = [9] * rnd.randrange(40) + a[rnd.randrange(len(a)) :] + [8] * rnd.randrange(3)
         for reach in (0, 5, 12, 13, 50):
             assert _best_alignment(np.array(a), np.array(b), reach) == naive(a, b, reach) if b else True
+
+
+@pytest.mark.parametrize("bits", [0, 2])
+def test_blocks_of_a_cluster_meet_once(spark, monkeypatch, bits):
+    """A cluster in many blocks gives each pair once, and the same pairs as in one group."""
+    _, frame = make_classes(spark, n=90)
+    classes = candidates.content_classes(frame)
+
+    def found():
+        pairs = candidates.candidate_pairs(classes, 0.6, 10, bits)
+        return sorted(tuple(sorted(r)) for r in pairs.collect())
+
+    whole = found()
+    monkeypatch.setattr(candidates, "BLOCK_WORDS", 60)
+    assert found() == whole and len(set(whole)) == len(whole) > 10
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_matches_are_counted_in_pieces(monkeypatch, bits):
+    rnd = random.Random(bits)
+    words = [[rnd.choice([rnd.getrandbits(32), 0, 1, 7]) for _ in range(rnd.randrange(1, 30))] for _ in range(25)]
+    words += [[flipped(v, rnd, bits) for v in rnd.choice(words)] for _ in range(25)]
+    rows = pa.table(
+        {"low": [0] * 50, "high": [0] * 50, "own": [0] * 50, "class_id": range(50), "words": pa.array(words, pa.list_(pa.int64()))}
+    )
+    none = np.zeros(0, np.int64)
+    for piece in (1, 13, 1 << 20):
+        monkeypatch.setattr(candidates, "PIECE", piece)
+        pairs = {(int(a), int(b)) for a, b in zip(*candidates._Group(rows, 0.5, 6, bits, none, none).pairs())}
+        ids = candidates._Group(rows, 0.5, 6, bits, none, none).ids
+        assert {tuple(sorted((ids[a], ids[b]))) for a, b in pairs} == {
+            (i, j) for i in range(50) for j in range(i + 1, 50) if naive_bits(words[i], words[j], 6, bits) >= 0.5
+        }
+
+
+def test_a_common_passage_makes_no_candidates(spark):
+    """Texts with one rare passage in common: each two match in more places than are asked for, and none qualifies."""
+    rnd = random.Random(4)
+    passage = [rnd.randrange(10**6) for _ in range(12)]
+    rows = [(0.0, f"t{i:03d}", [10**7 + 100 * i + k for k in range(20)] + passage + [7] * 8) for i in range(60)]
+    classes = candidates.content_classes(spark.createDataFrame(rows, "cluster_start double, fingerprint string, words array<bigint>"))
+    assert candidates.candidate_pairs(classes, 0.6).count() == 0
+    assert candidates.candidate_pairs(classes, 0.5).count() == 60 * 59 // 2
+
+
+def test_sequences_are_made_of_one_copy(spark):
+    rows = [("a", 100.0, "x", "one two"), ("b", 101.0, "x", None), ("c", 102.0, "y", "one three"), ("d", 103.0, "z", None)]
+    frame = spark.createDataFrame(rows, "asset_id string, duration double, fingerprint string, content string").selectExpr(
+        "*", "asset_id as file_key", "'wav' as format", "'s' as source"
+    )
+    blocked = fuzzy.block(frame, words=sequences.token_hashes("content"))
+    made = {r["fingerprint"]: (r["length"], r["words"]) for r in blocked.classes.collect()}
+    expected = {r[0]: r[1] for r in frame.select("content", sequences.token_hashes("content")).collect()}
+    assert made == {"x": (2, expected["one two"]), "y": (2, expected["one three"]), "z": (0, None)}
+    assert "content" not in blocked.records.columns

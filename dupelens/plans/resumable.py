@@ -77,7 +77,8 @@ def batch_of(cluster_start: str, batches: int) -> Column:
 
 
 def _of_clusters(blocked: fuzzy.Blocked, clusters: DataFrame) -> fuzzy.Blocked:
-    wanted = clusters.select("cluster_start")
+    # One row per cluster, as many as tolerances fit into the range of durations: records and content stay where they are.
+    wanted = F.broadcast(clusters.select("cluster_start"))
     return fuzzy.Blocked(
         blocked.records.join(wanted, "cluster_start", "left_semi"),
         blocked.durations,

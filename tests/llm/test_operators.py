@@ -4,6 +4,7 @@ import collections
 import hashlib
 import heapq
 import math
+import random
 import re
 import zlib
 
@@ -404,6 +405,35 @@ def test_long_parts_without_a_cut_or_full_of_cuts(lattice):
         assert len(best) == 1 or best[0][0] >= best[1][0]
 
 
+def test_parts_of_a_block_are_solved_together(lattice, monkeypatch):
+    rng = random.Random(5)
+    letters = ["a", "b", "e", "th", "ing", " ", "  ", "\n", "\u2581", ".", "-", "0", "\x00", "\u00e9", "\u6f22", "\u2603", "\U0001f600"]
+    texts = [None, "", " ", "\n", "the the\n the", *("".join(rng.choices(letters, k=rng.randint(1, 40))) for _ in range(150)), "", None]
+    solved = [[lattice.solve(p) for p in lattice.parts(t or "")] for t in texts]
+    lattice.known.clear()
+    alone = sentencepiece_lattice.Lattice.solve
+    calls = []
+    monkeypatch.setattr(sentencepiece_lattice.Lattice, "solve", lambda self, part: calls.append(part) or alone(self, part))
+    for some in (slice(None), slice(0, 2), slice(0, 0)):
+        made = sentencepiece_lattice._columns(pa.array(texts, pa.string())[some], lattice, 2)
+        ids, sizes, score, nbest, _, same = (c.to_pylist() for c in made)
+        assert ids == [[i for p in s for i in p[1]] for s in solved[some]]
+        assert sizes == [len(i) for i in ids] and all(same)
+        assert score == pytest.approx([sum(p[0] for p in s) for s in solved[some]])
+        second = [min((p[2] for p in s), default=float("inf")) for s in solved[some]]
+        assert [b[0] - b[1] if len(b) > 1 else float("inf") for b in nbest] == pytest.approx(second)
+    assert not calls, "no part of these texts is solved on its own"
+
+
+def test_blocks_of_any_size_give_the_same(lattice, monkeypatch):
+    column = pa.array([t for _, t in rows()] + ["a" * 90 + " b" * 90, "\u2603\u00fc" * 90], pa.string())
+    expected = sentencepiece_lattice._columns(column, lattice, 4)
+    for name, value in (("TOGETHER", 500), ("BLOCK_BYTES", 500), ("LONG_CELL", 3)):
+        monkeypatch.setattr(sentencepiece_lattice, name, value)
+        found = sentencepiece_lattice._columns(column, lattice, 4)
+        assert [c.to_pylist() for c in found] == [c.to_pylist() for c in expected]
+
+
 def test_encoding_round_trip(spark):
     docs = documents(spark)
     made = sentencepiece_lattice.encoded(docs)

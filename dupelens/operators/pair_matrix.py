@@ -3,9 +3,9 @@
 A unit stands for the files of a cluster with equal fingerprint, source and format. Nothing is left out: pairs without a value in common
 score 0, and files of one asset (its formats) are compared like all others.
 
-The result has a row per pair, so it grows with the square of a cluster; what is moved does not. Contents and units are dealt into
-blocks of a cluster, of which each two meet in a group of their own, where the rows are made: with about ``BLOCK_UNITS`` units to a
-block a group makes no more than about the square of that, however large the cluster is. Inside a group the places of equal values
+The result has a row per pair, so it grows with the square of a cluster. Contents and units are dealt into blocks of a cluster, of
+which each two meet in a group of their own, where the rows are made: what is moved is each content, once per block of its cluster. With
+about ``BLOCK_UNITS`` units to a block a group makes about the square of that in rows, however large the cluster is. Inside a group the places of equal values
 within the offset window are counted by pair and offset, so work follows the values that two contents have in common.
 """
 
